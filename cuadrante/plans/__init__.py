@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("basics", "domain")
+MODULES = ("basics", "domain", "jobs", "models")
 
 
 def load() -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cuadrante.functions import draws
-from cuadrante.operators import frames, ledger, proximity, ranking, relational, territory
+from cuadrante.operators import clusters, frames, ledger, proximity, ranking, relational, territory
 from cuadrante.operators.apportion import apportion_truncate
 from cuadrante.plans.basics import md5_fraction
 from cuadrante.plans.registry import query, rounded
@@ -414,7 +414,7 @@ _MONTHS = """, m AS (SELECT account, period, sum(payment) AS payment, sum(charge
               CASE WHEN z.kind = 'fijo' THEN z.quota + s.overdue * (1 + z.rate * 1.5::DOUBLE)
                 WHEN s.balance > 0 THEN s.balance * z.rate + s.balance * 0.0125::DOUBLE ELSE 0.0::DOUBLE END AS due
             FROM st s JOIN z ON z.account = s.account AND z.k = s.k + 1))))
-    SELECT st.account, st.period, round(balance, 4) AS balance, round(paid, 4) AS payment, arrears,
+    SELECT st.account, st.period, round(balance + 1e-6::DOUBLE, 4) AS balance, round(paid + 1e-6::DOUBLE, 4) AS payment, arrears,
     CASE WHEN arrears >= 90 THEN 'Cobranza' WHEN balance <= 0 THEN 'Liquidado' ELSE 'Vigente' END AS status, round(st.score, 2) AS score,
     CASE WHEN balance <= 0 THEN 0 WHEN paid <= balance * z.rate THEN 99
       ELSE least(99, ceil(ln(paid / (paid - balance * z.rate)) / ln(1 + z.rate)))::INT END AS months_left
@@ -422,7 +422,7 @@ _MONTHS = """, m AS (SELECT account, period, sum(payment) AS payment, sum(charge
 )
 def ledger_fold(spark, d):
     out = ledger.ledger_fold(payments(spark, d), ["account"])
-    return rounded(rounded(out, 4, "balance", "payment"), 2, "score")
+    return rounded(rounded(out, 4, "balance", "payment", shift=1e-6), 2, "score")
 
 
 @query(
@@ -454,7 +454,7 @@ def ledger_fold(spark, d):
                   CASE WHEN s.product IS DISTINCT FROM n.product THEN 0 ELSE s.renewals END AS renewals0,
                   CASE WHEN s.product IS DISTINCT FROM n.product THEN false ELSE s.ended END AS ended, s.score AS score0
                 FROM st s JOIN n ON n.client = s.client AND n.k = s.k + 1))))))
-    SELECT client, product, period, term_left, round(balance, 4) AS balance, round(payment, 4) AS payment, delay, status,
+    SELECT client, product, period, term_left, round(balance + 1e-6::DOUBLE, 4) AS balance, round(payment + 1e-6::DOUBLE, 4) AS payment, delay, status,
     round(score)::BIGINT AS score, renewals FROM st WHERE shown""",
 )
 def renewal_ledger(spark, d):
@@ -468,4 +468,43 @@ def renewal_ledger(spark, d):
         F.when(late, F.col("line_days")).otherwise(0).alias("delay"),
         F.when(F.col("line_days") == 105, 1).otherwise(0).alias("renew"),
     )
-    return rounded(ledger.renewal_ledger(txns, "client"), 4, "balance", "payment")
+    return rounded(ledger.renewal_ledger(txns, "client"), 4, "balance", "payment", shift=1e-6)
+
+
+# --- density clusters -------------------------------------------------------
+
+
+def _clusters_sql(eps: float, min_pts: int, min_size: int) -> str:
+    return (
+        with_("clients", recursive=True)
+        + f""", p AS (SELECT client AS k, lon AS x, lat AS y FROM clients),
+    nb AS (SELECT a.k AS a, b.k AS b FROM p a JOIN p b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {eps}::DOUBLE * {eps}::DOUBLE),
+    core AS (SELECT a AS k FROM nb GROUP BY a HAVING count(*) >= {min_pts}),
+    ce AS (SELECT a, b FROM nb WHERE a IN (SELECT k FROM core) AND b IN (SELECT k FROM core)),
+    reach(a, b) AS (SELECT k, k FROM core UNION SELECT r.a, ce.b FROM reach r JOIN ce ON r.b = ce.a),
+    lab AS (SELECT a AS k, min(b) AS label FROM reach GROUP BY a),
+    fin AS (SELECT * FROM lab UNION ALL SELECT nb.a, min(label) FROM nb JOIN lab ON nb.b = lab.k WHERE nb.a NOT IN (SELECT k FROM core) GROUP BY nb.a),
+    big AS (SELECT label, row_number() OVER (ORDER BY label) AS id FROM fin GROUP BY label HAVING count(*) >= {min_size})"""
+    )
+
+
+@query(
+    "density_clusters",
+    _clusters_sql(0.6, 5, 8)
+    + " SELECT p.k AS client, coalesce(id, 0)::BIGINT AS cluster FROM p LEFT JOIN fin ON p.k = fin.k LEFT JOIN big USING (label)",
+)
+def density_clusters(spark, d):
+    points = clients(spark, d).select("client", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    return clusters.density_clusters(points, "client", "x", "y", 0.6, 5, 8).select("client", "cluster")
+
+
+@query(
+    "cluster_summary",
+    _clusters_sql(0.9, 8, 20)
+    + """, r AS (SELECT coalesce(id, 0) AS c FROM p LEFT JOIN fin ON p.k = fin.k LEFT JOIN big USING (label))
+    SELECT count(DISTINCT CASE WHEN c > 0 THEN c END) AS n_clusters, count(*) FILTER (WHERE c > 0) AS n_clustered,
+    count(*) FILTER (WHERE c = 0) AS n_noise FROM r""",
+)
+def cluster_summary(spark, d):
+    points = clients(spark, d).select("client", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    return clusters.cluster_summary(clusters.density_clusters(points, "client", "x", "y", 0.9, 8, 20))

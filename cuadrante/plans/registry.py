@@ -26,9 +26,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
-    """Round the named columns, to compare sums taken in different orders."""
-    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
+def rounded(df: DataFrame, digits: int, *cols: str, shift: float = 0.0) -> DataFrame:
+    """Round the named columns, to compare sums taken in different orders.
+
+    Engines break decimal ties differently.  Where the values often end in a 5
+    just past the last digit, both sides add a ``shift`` far below that digit.
+    """
+    return df.withColumns({c: F.round(F.col(c) + F.lit(shift) if shift else F.col(c), digits) for c in cols})
 
 
 def r(col: Column, digits: int) -> Column:
