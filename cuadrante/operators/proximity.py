@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from cuadrante.functions import geo
 from cuadrante.functions.measures import let
 from cuadrante.operators.ranking import top_k_per_group
+from cuadrante.session import pin
 
 ARRAY_POLES = 20_000  # poles that may travel as one array value (about 1 MB)
 CELL_CANDIDATES = 20_000  # candidates one cell may hold before it is refined
 FINEST_LEVEL = 26
+PIN_EVERY = 6  # levels between two cuts of the descent's plan
 SLACK_KM = 1e-3  # covers the rounding of acos when pruning
 
 
@@ -90,7 +92,7 @@ def _by_descent(cells: DataFrame, poles: DataFrame, fields: Sequence[str], k: in
     them by their occupied quarters on the next level.  Each step is an equi-join
     of cells with pole *counts*; poles themselves join once, at the end.
     """
-    fine = poles.groupBy("_b", "_r", "_c").agg(F.count(F.lit(1)).alias("_n"))
+    fine = pin(poles.groupBy("_b", "_r", "_c").agg(F.count(F.lit(1)).alias("_n")))
     own = _radius_km(level)
     frontier = cells.select("_b", "_r", "_c").withColumn(
         "_p", F.explode(F.array(*[F.struct(F.lit(r).cast("bigint").alias("r"), F.lit(c).cast("bigint").alias("c"))
@@ -114,6 +116,8 @@ def _by_descent(cells: DataFrame, poles: DataFrame, fields: Sequence[str], k: in
         if radius_km is not None:
             bound = F.least(bound, F.lit(radius_km))
         kept = met.withColumn("_bound", bound).filter(F.col("_d") - spread <= F.col("_bound"))
+        if at % PIN_EVERY == PIN_EVERY - 1 or at == level:
+            kept = pin(kept.select("_b", "_r", "_c", "_pr", "_pc", "_n"))
         if at < level:
             quarters = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
             frontier = kept.withColumn("_q", F.explode(quarters)).select(

@@ -55,12 +55,14 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage.
+    """Write ``df`` to a table in the shared folder and read it back.
 
-    The rows survive the loss of executors, and later reads all see the same
-    partitioning and the same values.
+    This cuts the lineage: the rows survive the loss of executors, and later
+    reads all see the same values.  Unlike a checkpoint the table is columnar and
+    brings its true size, where iterated checkpoints hand on estimates that grow
+    with every join until no side of a join looks small.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+    path = scratch(spark, "pinned")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
