@@ -112,13 +112,21 @@ def start_split(df: DataFrame, schema: StructType, path: str, dead_path: str, ch
 
 
 def run_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> bool:
-    """Wait until any query of the session ends; false when time runs out first.
-    A failed query raises its error here."""
-    if not any(q.isActive for q in queries):
-        return True
-    manager = spark.streams
-    ended = manager.awaitAnyTermination() if timeout is None else manager.awaitAnyTermination(timeout)
-    return True if ended is None else bool(ended)
+    """Wait until any of the queries ends; false when time runs out first.  A
+    failed query raises its error here."""
+    # Queries that ended earlier in the session must not end the wait.  One that
+    # ends while they are being forgotten is caught by the check that follows.
+    spark.streams.resetTerminated()
+    ended = [q for q in queries if not q.isActive]
+    if not ended and any(q.isActive for q in queries):
+        done = spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+        if done is False:
+            return False
+        ended = [q for q in queries if not q.isActive]
+    for q in ended:
+        if q.exception() is not None:
+            raise q.exception()
+    return True
 
 
 def finish_all(queries: list[StreamingQuery], timeout: float = 600) -> None:
