@@ -56,7 +56,10 @@ def uncount(df: DataFrame, n, ordinal: str = "ordinal", chunk: int = CHUNK, spre
     last = F.floor((F.col("_n") - 1) / F.lit(chunk)).cast("bigint")
     chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     if spread:
-        chunks = chunks.repartition(F.xxhash64(*[F.col(c) for c in df.columns], F.col("_chunk")))
+        # A stated number, as few rows would be coalesced into one task that then
+        # repeats all of them.
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunks = chunks.repartition(tasks, F.xxhash64(*[F.col(c) for c in df.columns], F.col("_chunk")))
     low = F.col("_chunk") * F.lit(chunk)
     ordinals = F.sequence(low + 1, F.least(F.col("_n"), low + F.lit(chunk)))
     return chunks.withColumn(ordinal, F.explode(ordinals)).drop("_n", "_chunk")

@@ -104,8 +104,11 @@ def _touching(pairs: DataFrame, left: DataFrame, right: DataFrame, eps: float, s
             .filter(_square(F.col("ax") - F.col("bx")) + _square(F.col("ay") - F.col("by")) <= reach2)
             .select("l", "r").distinct()
         )
-        done = pin(sure.unionByName(compared))
+        done = sure.unionByName(compared)
         settled.append(done)
+        if near.filter(~F.col("_sure")).filter(~small).isEmpty():
+            break
+        done = settled[-1] = pin(done)
         rest = pin(
             open_.filter(~small).join(done, ["l", "r"], "left_anti").select(
                 "l", "r", F.col("aqx").alias("_apx"), F.col("aqy").alias("_apy"),
@@ -155,7 +158,7 @@ def _crowded(pairs: DataFrame, probes: DataFrame, positions: DataFrame, need: in
             F.sum(F.when(~F.col("_sure") & ~F.col("_small"), F.col("bw")).otherwise(F.lit(0))).alias("maybe"),
         )
         zero = F.lit(0).cast("bigint")
-        counted = pin(
+        counted = (
             tally.join(sums, "l", "left").join(exact, "l", "left").select(
                 "l",
                 (F.col("have") + F.coalesce("inside", zero) + F.coalesce("exact", zero)).alias("have"),
@@ -163,6 +166,10 @@ def _crowded(pairs: DataFrame, probes: DataFrame, positions: DataFrame, need: in
             )
         )
         found.append(counted.filter(F.col("have") >= need).select("l"))
+        if near.filter("NOT _sure AND NOT _small").isEmpty():
+            break
+        counted = pin(counted)
+        found[-1] = counted.filter(F.col("have") >= need).select("l")
         tally = counted.filter((F.col("have") < need) & (F.col("have") + F.col("maybe") >= need)).select("l", "have")
         rest = pin(
             near.filter("NOT _sure AND NOT _small").join(tally, "l", "left_semi").select(
@@ -181,33 +188,42 @@ def _crowded(pairs: DataFrame, probes: DataFrame, positions: DataFrame, need: in
     return out
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """Least label of each connected component.
 
-    ``nodes`` is (node, label) with labels unique, ``edges`` is (l, r).  Each
-    round takes the least label of the neighbours and then the label's own label,
-    so the distance covered doubles; it ends when nothing changes.
+    ``nodes`` is (node, label) with labels unique, ``edges`` is (l, r) of nodes.
+    Every round links the larger neighbours of each label to its least one, then
+    the smaller ones, which turns components into stars around their least label
+    in a logarithmic number of rounds (Kiveris et al., "Connected Components in
+    MapReduce and Beyond").  Only least neighbours are aggregated and joined
+    back, so the growing stars are never gathered.
     """
-    both = pin(
-        edges.select("l", "r").unionByName(edges.select(F.col("r").alias("l"), F.col("l").alias("r"))).distinct()
-    )
-    state = pin(nodes.select("node", F.col("label").alias("own"), "label"))
+    left = nodes.select(F.col("node").alias("l"), F.col("label").alias("u"))
+    right = nodes.select(F.col("node").alias("r"), F.col("label").alias("v"))
+    links = pin(edges.join(left, "l").join(right, "r").select("u", "v").filter("u <> v").distinct())
     for _ in range(max_rounds):
-        seen = both.join(state.select(F.col("node").alias("r"), "label"), "r").groupBy("l").agg(
-            F.min("label").alias("_seen")
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        large = (
+            both.filter("v > u").join(least, "u")
+            .select(F.greatest("v", F.least("u", "m")).alias("u"), F.least("u", "m").alias("v"))
+            .filter("u <> v").distinct()
         )
-        hooked = state.join(seen.withColumnRenamed("l", "node"), "node", "left").withColumn(
-            "_next", F.least("label", F.coalesce("_seen", "label"))
+        # Now u > v throughout: link each label's smaller neighbours to the least.
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        links = pin(
+            large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            .unionByName(least.select("u", F.col("m").alias("v")))
+            .filter("u <> v").distinct()
         )
-        jump = state.select(F.col("own").alias("_next"), F.col("label").alias("_jump"))
-        moved = pin(
-            hooked.join(jump, "_next", "left").select(
-                "node", "own", F.col("label").alias("_before"), F.least("_next", F.coalesce("_jump", "_next")).alias("label")
+        # Stars: every label has one link, and none leads to a label with a link.
+        several = links.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("u")
+        deeper = links.select(F.col("v").alias("u")).join(links.select("u"), "u", "left_semi")
+        if several.unionByName(deeper).isEmpty():
+            centre = links.select(F.col("u").alias("label"), F.col("v").alias("_centre"))
+            return nodes.join(centre, "label", "left").select(
+                "node", F.coalesce("_centre", "label").alias("label")
             )
-        )
-        state = moved.select("node", "own", "label")
-        if moved.filter(F.col("label") != F.col("_before")).isEmpty():
-            return state.select("node", "label")
     raise RuntimeError("components did not settle")
 
 
@@ -259,7 +275,7 @@ def density_clusters(
     edges = _touching(
         pairs, core_points.withColumnRenamed("node", "l"), core_points.withColumnRenamed("node", "r"), eps, side, few
     )
-    labels = components(nodes, edges)
+    labels = pin(components(nodes, edges))
 
     loose = pin(sparse.join(core, "l", "left_anti"))
     border_pairs = (

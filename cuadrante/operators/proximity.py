@@ -53,34 +53,53 @@ def _distance_to(level: int, lat: Column, lon: Column) -> Column:
     )
 
 
+def _unit_vector(lat: Column, lon: Column) -> Column:
+    """Place on the unit sphere; two places' distance is the angle of their vectors."""
+    a, o = F.radians(lat), F.radians(lon)
+    return F.struct(
+        (F.cos(a) * F.cos(o)).alias("x"), (F.cos(a) * F.sin(o)).alias("y"), F.sin(a).alias("z")
+    )
+
+
+def _angle_km(u: Column, v: Column) -> Column:
+    cosine = u["x"] * v["x"] + u["y"] * v["y"] + u["z"] * v["z"]
+    return F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) * F.lit(geo.EARTH_KM)
+
+
 def _from_array(cells: DataFrame, poles: DataFrame, fields: Sequence[str], k: int, level: int,
                 radius_km: float | None) -> DataFrame:
     """Candidates of each cell out of one array holding all poles (few of them)."""
-    everyone = poles.agg(
-        F.collect_list(F.struct(F.col("_b").alias("b"), *fields)).alias("a")
-    ).scalar()
+    vector = _unit_vector(F.col("lat"), F.col("lon")).alias("u")
+    everyone = poles.agg(F.collect_list(F.struct(F.col("_b").alias("b"), vector, *fields)).alias("a")).scalar()
     reach = _radius_km(level)
-    ranked = F.transform(
-        F.filter("_everyone", lambda p: p["b"] == F.col("_b")),
-        lambda p: F.struct(
-            _distance_to(level, p["lat"], p["lon"]).alias("d"), *[p[f].alias(f) for f in fields]
-        ),
-    )
+    # Few cells would be coalesced into one task; each has a long array to scan.
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    here = _unit_vector(_centre(F.col("_r"), 90.0, level), _centre(F.col("_c"), 180.0, level))
+
+    def ranked(v: Column) -> Column:
+        return F.transform(
+            F.filter(v["everyone"], lambda p: p["b"] == F.col("_b")),
+            lambda p: F.struct(_angle_km(p["u"], v["here"]).alias("d"), *[p[f].alias(f) for f in fields]),
+        )
 
     def bound(found: Column) -> Column:
         kth = F.try_element_at(F.array_sort(F.transform(found, lambda p: p["d"])), F.lit(k))
         limit = F.coalesce(kth + F.lit(2 * reach), F.lit(float("inf")))
         return limit if radius_km is None else F.least(limit, F.lit(radius_km + reach))
 
-    # Distances and bound are bound by name, so that each is computed once a cell.
+    # Bound by name, so that each is computed once a cell and not once a pole.
     near = let(
-        ranked,
-        lambda found: let(
-            F.struct(found.alias("found"), bound(found).alias("bound")),
-            lambda v: F.filter(v["found"], lambda p: p["d"] <= v["bound"]),
+        F.struct(F.col("_everyone").alias("everyone"), here.alias("here")),
+        lambda v: let(
+            ranked(v),
+            lambda found: let(
+                F.struct(found.alias("found"), bound(found).alias("bound")),
+                lambda w: F.filter(w["found"], lambda p: p["d"] <= w["bound"]),
+            ),
         ),
     )
-    return cells.withColumn("_everyone", everyone).select("_b", "_r", "_c", near.alias("_near"))
+    dealt = cells.repartition(tasks, "_b", "_r", "_c").withColumn("_everyone", everyone)
+    return dealt.select("_b", "_r", "_c", near.alias("_near"))
 
 
 def _by_descent(cells: DataFrame, poles: DataFrame, fields: Sequence[str], k: int, level: int,

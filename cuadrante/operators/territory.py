@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from cuadrante.functions import measures
 from cuadrante.functions.keys import prefix_in
-from cuadrante.operators.relational import fill_defaults, with_group_totals, zscore_columns
+from cuadrante.operators.relational import fill_defaults
+from cuadrante.session import pin
 
 # Activity-code prefixes and the constants of each index.
 CASH_HIGH = ["46", "72", "81"]
@@ -72,13 +73,13 @@ def friction(df: DataFrame, cell: str = "cell", workers: str = "workers", name:
     Both whole-table ranges come from the cells: a cell's extremes are its own
     extreme capacities times its one crowding factor.
     """
-    cells = _crowding(
-        df.groupBy(cell).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(capacity(workers)).alias("_low"),
-            F.max(capacity(workers)).alias("_high"),
-        )
+    cells = df.groupBy(cell).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(capacity(workers)).alias("_low"),
+        F.max(capacity(workers)).alias("_high"),
     )
+    # Written down once (a row per cell), as three places below read it.
+    cells = _crowding(pin(cells))
     low, high = _friction_range(cells)
     factor = cells.select(F.col(cell).alias("_cell"), "_crowd")
     scaled = F.coalesce(measures.minmax(capacity(workers) * F.col("_crowd"), low, high), F.lit(0.0))
@@ -139,8 +140,8 @@ def cell_master(df: DataFrame, cell: str = "cell", active_only: bool = True) ->
     """All indices of a cell from its establishments.
 
     One map-side combined aggregate by cell and four-digit branch is the only
-    pass over the rows.  Everything else, friction included, is derived from
-    that small table: friction is linear in the capacity once a cell's crowding
+    pass over the rows.  It is written down, and everything else, friction
+    included, is derived from that small table: friction is linear in the capacity once a cell's crowding
     and the global range are known, so its weighted sums follow from the
     capacity's.
     """
@@ -163,6 +164,7 @@ def cell_master(df: DataFrame, cell: str = "cell", active_only: bool = True) ->
         F.min(cap).alias("cap_low"),
         F.max(cap).alias("cap_high"),
     )
+    branches = pin(branches)
 
     def total(c: str) -> Column:
         return F.coalesce(F.sum(c), F.lit(0.0))
@@ -256,15 +258,25 @@ def territory_enriched(df: DataFrame, cell: str, income: str, client: str, label
 def zscore_territory(df: DataFrame, cell: str, a: str, b: str, client: str) -> DataFrame:
     """Mean Z-scores of two amounts per cell and their average.
 
-    The Z-score is linear, so a cell's mean score is the score of its mean:
-    cells are aggregated first and only they are scored.
+    The Z-score is linear, so a cell's mean score is the score of its mean, and
+    the whole table's mean and deviation follow from the cells' own.  The rows
+    are read once; the table of cells is written down and read for the rest.
     """
-    stats = measures.global_stats(df, [a, b])
-    cells = df.groupBy(cell).agg(
-        F.avg(a).alias("_a"), F.avg(b).alias("_b"), F.count(client).alias("n_clients")
-    )
-    za = measures.zscore("_a", stats[a]["avg"], stats[a]["std"])
-    zb = measures.zscore("_b", stats[b]["avg"], stats[b]["std"])
+    per_cell = [F.count(client).alias("n_clients")]
+    for c, p in ((a, "a"), (b, "b")):
+        per_cell += [F.count(c).alias(f"_n{p}"), F.avg(c).alias(f"_m{p}"), F.var_pop(c).alias(f"_v{p}")]
+    cells = pin(df.groupBy(cell).agg(*per_cell))
+    means = cells.agg(
+        F.struct(*[F.try_divide(F.sum(F.col(f"_m{p}") * F.col(f"_n{p}")), F.sum(f"_n{p}")).alias(p) for p in "ab"]).alias("m")
+    ).scalar()
+    spread = cells.withColumn("_mean", means)
+
+    def deviation(p: str) -> Column:
+        n, off = F.col(f"_n{p}"), F.col(f"_m{p}") - F.col(f"_mean.{p}")
+        return F.sqrt(F.try_divide(F.sum(n * (F.col(f"_v{p}") + off * off)), F.sum(n) - F.lit(1)))
+
+    devs = spread.agg(F.struct(*[deviation(p).alias(p) for p in "ab"]).alias("d")).scalar()
+    za, zb = (measures.zscore(f"_m{p}", means[p], devs[p]) for p in "ab")
     return cells.select(
         cell,
         za.alias("index_a"),
