@@ -49,9 +49,21 @@ def shared_root(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's part of the shared folder; nothing is
+    created yet."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what the application wrote to its scratch paths.  Call it once the
+    results that were read from them have been written elsewhere."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from cuadrante.session import pin, scratch, shared_root
+from cuadrante.session import pin, release_scratch, scratch, shared_root
 from cuadrante.sources import catalog, files
 
 SCHEMA = StructType([StructField("id", LongType())])
@@ -92,3 +92,13 @@ def test_health_check(spark, tmp_path):
     got = {r["name"]: r for r in catalog.health_check(spark, {"ok": str(tmp_path / "ok"), "no": str(tmp_path / "no")}).collect()}
     assert got["ok"]["alive"] and got["ok"]["error"] is None
     assert not got["no"]["alive"] and got["no"]["error"]
+
+
+def test_scratch_can_be_released(spark):
+    import os
+
+    df = pin(spark.range(3))
+    folder = os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    assert os.path.exists(folder)
+    release_scratch(spark)
+    assert not os.path.exists(folder)
