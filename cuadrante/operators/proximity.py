@@ -20,6 +20,9 @@ from cuadrante.session import pin
 
 ARRAY_POLES = 20_000  # poles that may travel as one array value (about 1 MB)
 CELL_CANDIDATES = 20_000  # candidates one cell may hold before it is refined
+SCANNED = 48  # candidates every point of a busy cell may look at
+BUSY = 256  # points that make a cell busy
+FINER = 3  # levels between a busy cell and the cells it is split into
 FINEST_LEVEL = 26
 PIN_EVERY = 6  # levels between two cuts of the descent's plan
 SLACK_KM = 1e-3  # covers the rounding of acos when pruning
@@ -66,14 +69,36 @@ def _angle_km(u: Column, v: Column) -> Column:
     return F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) * F.lit(geo.EARTH_KM)
 
 
+def _pruned(found: Column, k: int, reach: float, radius_km: float | None) -> Column:
+    """Of poles with their distance ``d`` to a cell's centre, those that may be
+    among the k nearest of some place within ``reach`` of it."""
+
+    def bound(found: Column) -> Column:
+        kth = F.try_element_at(F.array_sort(F.transform(found, lambda p: p["d"])), F.lit(k))
+        limit = F.coalesce(kth + F.lit(2 * reach), F.lit(float("inf")))
+        return limit if radius_km is None else F.least(limit, F.lit(radius_km + reach))
+
+    # Bound by name, so that each is computed once a cell and not once a pole.
+    return let(
+        found,
+        lambda f: let(
+            F.struct(f.alias("found"), bound(f).alias("bound")),
+            lambda w: F.filter(w["found"], lambda p: p["d"] <= w["bound"]),
+        ),
+    )
+
+
+def _dealt(cells: DataFrame) -> DataFrame:
+    """Few cells would be coalesced into one task, and each has a list to scan."""
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(tasks, "_b", "_r", "_c")
+
+
 def _from_array(cells: DataFrame, poles: DataFrame, fields: Sequence[str], k: int, level: int,
                 radius_km: float | None) -> DataFrame:
     """Candidates of each cell out of one array holding all poles (few of them)."""
     vector = _unit_vector(F.col("lat"), F.col("lon")).alias("u")
     everyone = poles.agg(F.collect_list(F.struct(F.col("_b").alias("b"), vector, *fields)).alias("a")).scalar()
-    reach = _radius_km(level)
-    # Few cells would be coalesced into one task; each has a long array to scan.
-    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     here = _unit_vector(_centre(F.col("_r"), 90.0, level), _centre(F.col("_c"), 180.0, level))
 
     def ranked(v: Column) -> Column:
@@ -82,24 +107,25 @@ def _from_array(cells: DataFrame, poles: DataFrame, fields: Sequence[str], k: in
             lambda p: F.struct(_angle_km(p["u"], v["here"]).alias("d"), *[p[f].alias(f) for f in fields]),
         )
 
-    def bound(found: Column) -> Column:
-        kth = F.try_element_at(F.array_sort(F.transform(found, lambda p: p["d"])), F.lit(k))
-        limit = F.coalesce(kth + F.lit(2 * reach), F.lit(float("inf")))
-        return limit if radius_km is None else F.least(limit, F.lit(radius_km + reach))
-
-    # Bound by name, so that each is computed once a cell and not once a pole.
     near = let(
         F.struct(F.col("_everyone").alias("everyone"), here.alias("here")),
-        lambda v: let(
-            ranked(v),
-            lambda found: let(
-                F.struct(found.alias("found"), bound(found).alias("bound")),
-                lambda w: F.filter(w["found"], lambda p: p["d"] <= w["bound"]),
-            ),
-        ),
+        lambda v: _pruned(ranked(v), k, _radius_km(level), radius_km),
+    )
+    return _dealt(cells).withColumn("_everyone", everyone).select("_b", "_r", "_c", "_points", near.alias("_near"))
+
+
+def _from_parents(cells: DataFrame, parents: DataFrame, fields: Sequence[str], k: int, level: int,
+                  radius_km: float | None) -> DataFrame:
+    """Candidates of each cell out of those of the larger cell that holds it."""
+    step = F.lit(2**FINER).cast("bigint")
+    inside = cells.withColumns({"_pr": F.floor(F.col("_r") / step), "_pc": F.floor(F.col("_c") / step)})
+    above = parents.select("_b", F.col("_r").alias("_pr"), F.col("_c").alias("_pc"), F.col("_near").alias("_above"))
+    ranked = F.transform(
+        "_above",
+        lambda p: F.struct(_distance_to(level, p["lat"], p["lon"]).alias("d"), *[p[f].alias(f) for f in fields]),
     )
-    dealt = cells.repartition(tasks, "_b", "_r", "_c").withColumn("_everyone", everyone)
-    return dealt.select("_b", "_r", "_c", near.alias("_near"))
+    near = _pruned(ranked, k, _radius_km(level), radius_km)
+    return _dealt(inside).join(above, ["_b", "_pr", "_pc"]).select("_b", "_r", "_c", "_points", near.alias("_near"))
 
 
 def _by_descent(cells: DataFrame, poles: DataFrame, fields: Sequence[str], k: int, level: int,
@@ -155,7 +181,7 @@ def _by_descent(cells: DataFrame, poles: DataFrame, fields: Sequence[str], k: in
         few.join(named, ["_b", "_pr", "_pc"])
         .groupBy("_b", "_r", "_c")
         .agg(F.collect_list(F.struct(F.lit(0.0).alias("d"), *fields)).alias("_near"))
-    )
+    ).join(cells, ["_b", "_r", "_c"])
     return near, dense
 
 
@@ -202,36 +228,56 @@ def nearest_k(
 
 
 def _nearest(points, named, fields, k, lat, lon, carry, name, level, block_key, block, radius_km, few) -> DataFrame:
-    placed = _indexed(points, lat, lon, level, block_key)
-    cells = placed.filter(F.col("_r").isNotNull() & F.col("_c").isNotNull()).select("_b", "_r", "_c").distinct()
-    poles = _indexed(named, "lat", "lon", level, block)
-    dense = None
-    if few:
-        near = _from_array(cells, poles, fields, k, level, radius_km)
-    else:
-        near, dense = _by_descent(cells, poles, fields, k, level, radius_km)
-        if dense.isEmpty():
-            dense = None
     keys = ["_b", "_r", "_c"]
-    refine = None
-    if dense is not None:
-        crowded = placed.join(dense, keys, "left_semi").select(*points.columns)
-        refine = _nearest(crowded, named, fields, k, lat, lon, carry, name,
-                          min(level + 4, FINEST_LEVEL), block_key, block, radius_km, False)
-        placed = placed.join(dense, keys, "left_anti")
-    joined = placed.join(near, keys, "left")
+
+    def occupied(placed: DataFrame) -> DataFrame:
+        here = placed.filter(F.col("_r").isNotNull() & F.col("_c").isNotNull())
+        return here.groupBy(*keys).agg(F.count(F.lit(1)).alias("_points"))
 
     def measured(p: Column) -> Column:
         d = geo.great_circle_km(lat, lon, p["lat"], p["lon"])
         return F.struct(F.round(d, 6).alias("d"), *[p[f].alias(f) for f in ("id", *carry)])
 
-    ranked = F.transform("_near", measured)
-    if radius_km is not None:
-        ranked = F.filter(ranked, lambda p: p["d"] <= F.lit(float(radius_km)))
-    # Distances are never null here: an unknown one would sort first and win.
-    best = F.slice(F.array_sort(ranked), 1, k)
-    out = joined.withColumn(name, F.coalesce(best, F.array())).select(*points.columns, name)
-    return out if refine is None else out.unionByName(refine)
+    def finish(placed: DataFrame, near: DataFrame) -> DataFrame:
+        ranked = F.transform("_near", measured)
+        if radius_km is not None:
+            ranked = F.filter(ranked, lambda p: p["d"] <= F.lit(float(radius_km)))
+        # Distances are never null here: an unknown one would sort first and win.
+        best = F.slice(F.array_sort(ranked), 1, k)
+        found = placed.join(near.select(*keys, "_near"), keys, "left")
+        return found.withColumn(name, F.coalesce(best, F.array())).select(*points.columns, name)
+
+    placed = _indexed(points, lat, lon, level, block_key)
+    poles = _indexed(named, "lat", "lon", level, block)
+    parts = []
+    if few:
+        near = pin(_from_array(occupied(placed), poles, fields, k, level, radius_km))
+    else:
+        near, dense = _by_descent(pin(occupied(placed)), poles, fields, k, level, radius_km)
+        near = pin(near)
+        if not dense.isEmpty():
+            crowded = placed.join(dense, keys, "left_semi").select(*points.columns)
+            parts.append(
+                _nearest(crowded, named, fields, k, lat, lon, carry, name,
+                         min(level + 4, FINEST_LEVEL), block_key, block, radius_km, False)
+            )
+            placed = placed.join(dense, keys, "left_anti")
+    # Busy cells with long lists are split into finer cells, whose lists come out
+    # of theirs, so that many points in one place do not each scan a long list.
+    busy = (F.size("_near") > F.lit(max(SCANNED, 4 * k))) & (F.col("_points") > F.lit(BUSY))
+    while level + FINER <= FINEST_LEVEL:
+        parents = near.filter(busy)
+        if parents.isEmpty():
+            break
+        split = parents.select(*keys)
+        parts.append(finish(placed.join(split, keys, "left_anti"), near))
+        level += FINER
+        placed = _indexed(placed.join(split, keys, "left_semi").select(*points.columns), lat, lon, level, block_key)
+        near = pin(_from_parents(occupied(placed), parents, fields, k, level, radius_km))
+    out = finish(placed, near)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
 
 
 def assign_nearest(

@@ -97,3 +97,12 @@ def test_uplift_is_zero_without_poles(spark):
     q = spark.createDataFrame([], "pole_id long, pole_lat double, pole_lon double, w double, f double")
     row = proximity.gravity_uplift(p, q, 3, ["m"]).first()
     assert row["uplift"] == 0.0 and row["m"] == 100.0
+
+
+@pytest.mark.parametrize("array_poles", [10**6, 0])
+def test_busy_cells_are_split(data, monkeypatch, array_poles):
+    points, poles, p, q = data
+    monkeypatch.setattr(proximity, "SCANNED", 12)
+    monkeypatch.setattr(proximity, "BUSY", 3)
+    got = found(proximity.nearest_k(p, q, 3, level=5, array_poles=array_poles))
+    assert got == brute(points, poles, 3)
