@@ -41,8 +41,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marked = keyed.join(bounded(open_groups), ["_bytes", "_prefix"], "left")
     hashed = pin(marked.select("_id", "_carry", "_bytes", F.when(F.col("_open"), F.sha2("_text", 256)).alias("_full")))
     copies = hashed.filter("_full is not null")
-    groups = copies.groupBy("_bytes", "_full").agg(F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    settled = copies.join(groups, ["_bytes", "_full"]).select("_id", "_carry", "keep_id", "group_size")
+    groups = pin(copies.groupBy("_bytes", "_full").agg(F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    settled = copies.join(bounded(groups), ["_bytes", "_full"]).select("_id", "_carry", "keep_id", "group_size")
     alone = hashed.filter("_full is null").select("_id", "_carry", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     return settled.unionByName(alone).select(
         F.col("_id").alias(id_col), *(F.col(f"_carry.{c}").alias(c) for c in carry), "keep_id", "group_size", F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cuadrante.llm import sql
 from cuadrante.llm.exact_dedup import exact_dedup
 from cuadrante.llm.host_rules import host_rules
+from cuadrante.llm.near_dedup import near_dedup
 from cuadrante.llm.warc import join_originals, read_archive, write_archive
 from cuadrante.session import scratch
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to archives that store equal payloads once, and read back."""
     path = scratch(spark, "archive")
@@ -36,8 +42,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_host_rules": op4_host_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES = {"op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP}
+ORACLES = {"op1_near_dedup": sql.NEAR_DEDUP, "op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP}

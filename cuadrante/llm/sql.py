@@ -35,3 +35,17 @@ v AS (SELECT h.source, CASE WHEN p.strength IS NULL THEN p.m ELSE (h.k + p.stren
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(v.rate <= 0.5, true) AS kept
 FROM b LEFT JOIN v ON v.source = b.source
 """
+
+NEAR_DEDUP = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, list_slice(words, i, i + 4) AS s FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 85 * (nx.n + ny.n - k)),
+edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.y FROM reach r JOIN edge e ON e.x = r.b),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, comp.component_id, d.doc_id = comp.component_id AS kept
+FROM documents d JOIN comp ON comp.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
