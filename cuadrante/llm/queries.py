@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuadrante.llm import sql
+from cuadrante.llm.common import held_out
 from cuadrante.llm.exact_dedup import exact_dedup
 from cuadrante.llm.host_rules import host_rules
+from cuadrante.llm.language import fit_languages, identify
 from cuadrante.llm.near_dedup import near_dedup
+from cuadrante.llm.quality import fit_quality, score_quality
 from cuadrante.llm.warc import join_originals, read_archive, write_archive
 from cuadrante.session import scratch
 
@@ -35,6 +38,29 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def quality_scores(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """Scores of ``docs`` by a model learned from the labelled documents in ``sf_dir``."""
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", F.col("quality").alias("label"))
+    return score_quality(docs, fit_quality(table(spark, sf_dir, "documents"), labels))
+
+
+def op6_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    scored = quality_scores(spark, sf_dir, table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def languages_of(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """Languages of ``docs`` by a model learned from the documents in ``sf_dir``."""
+    return identify(docs, fit_languages(table(spark, sf_dir, "documents").filter(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", "text", "lang")))
+
+
+def op9_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents."""
+    found = languages_of(spark, sf_dir, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts."""
     docs = table(spark, sf_dir, "documents").withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
@@ -45,6 +71,8 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_host_rules": op4_host_rules,
+    "op6_quality_ftrl": op6_quality_ftrl,
+    "op9_language_ecoc": op9_language_ecoc,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES = {"op1_near_dedup": sql.NEAR_DEDUP, "op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP}
