@@ -12,6 +12,7 @@ from cuadrante.llm.host_rules import host_rules
 from cuadrante.llm.language import fit_languages, identify
 from cuadrante.llm.near_dedup import near_dedup
 from cuadrante.llm.quality import fit_quality, score_quality
+from cuadrante.llm.toxicity import fit_index, score_toxicity
 from cuadrante.llm.warc import join_originals, read_archive, write_archive
 from cuadrante.session import scratch
 
@@ -25,6 +26,14 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", F.col("toxic").alias("label"))
+    scored = score_toxicity(docs, fit_index(docs, labels))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to archives that store equal payloads once, and read back."""
     path = scratch(spark, "archive")
@@ -69,6 +78,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_toxicity_knn": op2_toxicity_knn,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_host_rules": op4_host_rules,
     "op6_quality_ftrl": op6_quality_ftrl,
