@@ -28,6 +28,7 @@ MIN_CHI2 = 24.0  # one in a million by chance, as there are very many terms
 BEGINNINGS = (4, 5)  # bytes of a longer word that are a term of their own
 K = 25
 BLOCK = 64
+FIRST_BLOCKS = 8
 PRIOR_WEIGHT = 0.5
 
 # Letters and all bytes beyond ASCII stay, A-Z lower; the rest parts words.
@@ -54,8 +55,8 @@ def terms_of(b: np.ndarray) -> np.ndarray:
 class Index(NamedTuple):
     """Labelled examples as blocked postings.
 
-    ``terms`` (ascending hashes) have ``idf``; ``start[t]:start[t + 1]`` are the postings of
-    term t, ascending by example; ``ceiling[t, b]`` is the largest weight of t in block b.
+    ``terms`` (ascending hashes) have ``idf``; ``start[t, b]:start[t, b + 1]`` are the postings
+    of term t in block b; ``ceiling[t, b]`` is the largest weight among them.
     """
 
     terms: np.ndarray
@@ -90,27 +91,29 @@ def nearest(index: Index, at: np.ndarray, w: np.ndarray, k: int = K, without: in
         return np.empty(0, np.int64), np.empty(0)
     bound = w @ index.ceiling[at]
     order = np.argsort(-bound, kind="stable")
-    lists = [(index.example[s:e], index.weight[s:e]) for s, e in zip(index.start[at], index.start[at + 1])]
-    who, score, least = np.empty(0, np.int64), np.empty(0), 0.0
-    for block in order:
-        if bound[block] <= 0 or bound[block] < least - 1e-12:
-            break
-        got = np.zeros(BLOCK)
-        lo, hi = block * BLOCK, (block + 1) * BLOCK
-        for (ex, ew), q in zip(lists, w):
-            s, e = np.searchsorted(ex, (lo, hi))
-            got[ex[s:e] - lo] += q * ew[s:e]
-        if lo <= without < hi:
-            got[without - lo] = 0
-        hit = np.flatnonzero(got)
-        who, score = np.concatenate([who, hit + lo]), np.concatenate([score, got[hit]])
-        if len(who) > k:
-            best = np.lexsort((who, -np.round(score, 12)))[:k]
-            who, score = who[best], score[best]
-        if len(who) == k:
-            least = score.min()
-    best = np.lexsort((who, -np.round(score, 12)))
-    return who[best], score[best]
+    order = order[bound[order] > 0]
+    who, score, least, opened = np.empty(0, np.int64), np.empty(0), 0.0, 0
+    while opened < len(order) and bound[order[opened]] >= least - 1e-12:
+        # The most promising blocks first; then all that can still reach the k-th.
+        last = opened + FIRST_BLOCKS if not opened else int(np.searchsorted(-bound[order], -(least - 1e-12), side="right"))
+        hit, got = _scores(index, at, w, order[opened:last])
+        opened = max(last, opened + 1)
+        hit, got = (hit[hit != without], got[hit != without]) if without >= 0 else (hit, got)
+        who, score = np.concatenate([who, hit]), np.concatenate([score, got])
+        best = np.lexsort((who, -np.round(score, 12)))[:k]
+        who, score = who[best], score[best]
+        least = score[-1] if len(who) == k else 0.0
+    return who, score
+
+
+def _scores(index: Index, at: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The examples of ``blocks`` that share a term with the query, and their cosines."""
+    first, last = index.start[np.ix_(at, blocks)].ravel(), index.start[np.ix_(at, blocks + 1)].ravel()
+    n = last - first
+    ends = np.cumsum(n)
+    posting = np.arange(ends[-1]) + np.repeat(first - (ends - n), n)
+    who, place = np.unique(index.example[posting], return_inverse=True)
+    return who, np.bincount(place, np.repeat(np.repeat(w, len(blocks)), n) * index.weight[posting], len(who))
 
 
 def vote(index: Index, who: np.ndarray, cosine: np.ndarray) -> float:
@@ -215,7 +218,10 @@ def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, ma
     ceiling = np.zeros((len(terms), (len(ids) + BLOCK - 1) // BLOCK))
     np.maximum.at(ceiling, (t, place // BLOCK), w)
     share = everyone.get(1, 0) / max(1, sum(everyone.values()))
-    index = Index(terms, idf, np.searchsorted(t, np.arange(len(terms) + 1)), place, w, ceiling, y, names, share, 1.0, 0.0)
+    blocks = ceiling.shape[1]
+    edges = np.arange(len(terms))[:, None] * (blocks + 1) + np.arange(blocks + 1)
+    start = np.searchsorted(t * (blocks + 1) + place // BLOCK, edges)
+    index = Index(terms, idf, start, place, w, ceiling, y, names, share, 1.0, 0.0)
     # Votes of each example by the others, weighted back to the labels' own shares; the
     # sampled texts without a telling term vote as the prior does.
     by_example = np.lexsort((t, place))
