@@ -1,28 +1,63 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: stages over ``documents``, each written and read again.
+
+Documents are told apart by ``doc_id``.  Filters leave rows as they are, with the
+columns of ``documents``; a row without an id passes unless its own text is rejected.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuadrante.llm.common import bounded
 from cuadrante.llm.exact_dedup import exact_dedup
+from cuadrante.llm.near_dedup import near_dedup
+from cuadrante.llm.queries import languages_of, packed, quality_scores
 from cuadrante.session import pin
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+MIN_QUALITY = 0.3
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` but for the ids in ``dropped`` (doc_id)."""
-    gone = pin(dropped.select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti").select(*COLUMNS)
+    gone = pin(dropped.select(F.col("doc_id").alias("_gone")).filter("_gone is not null").distinct())
+    return docs.join(bounded(gone), docs["doc_id"] == gone["_gone"], "left_anti").select(*COLUMNS)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores below ``MIN_QUALITY`` go."""
+    return without(docs, quality_scores(spark, sf_dir, docs).filter(F.col("score") < MIN_QUALITY))
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no language or of an ambiguous one go."""
+    return without(docs, languages_of(spark, sf_dir, docs).filter("lang_pred = 'und' or ambiguous"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+    """Of each group of equal texts the document with the largest id stays."""
     return without(docs, exact_dedup(docs).filter("not kept"))
 
 
-STAGES = [("exact dedup", exact_stage)]
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates the document with the least id stays."""
+    return without(docs, near_dedup(docs).filter("not kept"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of what is left and their places in sequences."""
+    return packed(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("language ID", language_stage),
+    ("exact dedup", exact_stage),
+    ("MinHash near-dedup", near_stage),
+    ("best-fit packing", packing_stage),
+]
+# Models and tokens are not for SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from cuadrante.llm.exact_dedup import exact_dedup
 from cuadrante.llm.host_rules import host_rules
 from cuadrante.llm.language import fit_languages, identify
 from cuadrante.llm.near_dedup import near_dedup
+from cuadrante.llm.packing import pack, token_pieces
 from cuadrante.llm.quality import fit_quality, score_quality
 from cuadrante.llm.toxicity import fit_index, score_toxicity
 from cuadrante.llm.warc import join_originals, read_archive, write_archive
@@ -47,6 +49,17 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Token pieces of ``docs`` in sequences of at most 4096 tokens."""
+    pieces = token_pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised and packed."""
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def quality_scores(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     """Scores of ``docs`` by a model learned from the labelled documents in ``sf_dir``."""
     labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", F.col("quality").alias("label"))
@@ -81,6 +94,7 @@ QUERIES = {
     "op2_toxicity_knn": op2_toxicity_knn,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_host_rules": op4_host_rules,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_ftrl": op6_quality_ftrl,
     "op9_language_ecoc": op9_language_ecoc,
     "op10_exact_dedup": op10_exact_dedup,
