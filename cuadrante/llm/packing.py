@@ -10,6 +10,7 @@ Spark.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,12 +26,16 @@ CAPACITY = 4096
 END_ID = 1
 NODES = 30_000  # of the search; the incumbent at its end is used
 FILLINGS = 6  # tried at a node
-CACHED_WORDS = 400_000
-CACHED_CHARS = 64
+CACHED_WORDS = 900_000  # kept by a worker, some 200 MB
+CACHED_CHARS = 32
+DOCS = 1000  # encoded at once
 
 Pattern = tuple[tuple[int, int], ...]  # (length, copies) of one sequence, longest first
 
 
+_MARKS = re.compile("[\u0300-\U0010ffff]")
+
+
 class _Encoder:
     """Token ids as bytes.  The tokenizer never joins what a blank parts, so each run of
     characters between blanks is encoded once and kept while there is room."""
@@ -58,17 +63,21 @@ class _Encoder:
         return out
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*parts) - self.kept.keys() if parts else set()
-        long = {w for w in new if len(w) > CACHED_CHARS}
-        rare = self._add(list(long))
-        if len(self.kept) + len(new) > CACHED_WORDS:
-            self.kept = {"": b""}
-            new = set().union(*parts) - {""}
-        self.kept.update(self._add(list(new - long)))
-        find = {**self.kept, **rare}.__getitem__ if rare else self.kept.__getitem__
+        # The tokenizer makes letters lower after composing marks: without marks, A-Z can
+        # be made lower before, so that fewer words are told apart.
+        parts = [(t if _MARKS.search(t) else t.encode().lower().decode()).replace("\n", " ").split(" ") for t in texts]
+        new = self._add(list(set().union(*parts) - self.kept.keys()))
+        for w, ids in new.items():
+            if len(w) <= CACHED_CHARS:
+                if len(self.kept) >= CACHED_WORDS:
+                    break
+                self.kept[w] = ids
+        kept = self.kept
         for p in parts:
-            yield b"".join(map(find, p))
+            found = list(map(kept.get, p))
+            if None in found:
+                found = [new[w] if ids is None else ids for w, ids in zip(p, found)]
+            yield b"".join(found)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -85,7 +94,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder.of(tokenizer)
         for batch in batches:
-            for part in (batch.slice(at, 250) for at in range(0, batch.num_rows, 250)):
+            for part in (batch.slice(at, DOCS) for at in range(0, batch.num_rows, DOCS)):
                 rows: list[tuple] = []
                 for i, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()])):
                     ids += end
