@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuadrante.llm import sql
+from cuadrante.llm.byte_bpe import encode_documents
 from cuadrante.llm.common import held_out
 from cuadrante.llm.exact_dedup import exact_dedup
 from cuadrante.llm.host_rules import host_rules
@@ -72,6 +73,11 @@ def op6_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
+
+
 def languages_of(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     """Languages of ``docs`` by a model learned from the documents in ``sf_dir``."""
     return identify(docs, fit_languages(table(spark, sf_dir, "documents").filter(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", "text", "lang")))
@@ -96,6 +102,7 @@ QUERIES = {
     "op4_host_rules": op4_host_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_ftrl": op6_quality_ftrl,
+    "op7_byte_bpe": op7_byte_bpe,
     "op9_language_ecoc": op9_language_ecoc,
     "op10_exact_dedup": op10_exact_dedup,
 }
