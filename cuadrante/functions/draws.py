@@ -14,17 +14,23 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _part(k: Column) -> Column:
+    return F.coalesce(F.concat(F.length(k).cast("string"), F.lit(":"), k), F.lit("-"))
+
+
 def hash_fraction(*cols, salt: str = "", algo: str = "md5", signed: bool = False) -> Column:
     """A fraction in [0, 1) that depends only on the key columns and ``salt``.
 
-    ``md5`` gives 32-bit resolution and can be recomputed in other engines.
+    ``md5`` gives 32-bit resolution and can be recomputed in other engines.  Each key
+    part is hashed with its length before it, and a null part as a dash, so keys that
+    only look alike when joined, or that differ by a null, draw on their own.
     ``murmur3`` is cheaper and has the 1/100 steps of the rules written for it.
     ``signed=True`` keeps the sign of the murmur3 remainder (range -0.99..0.99),
     only to reproduce data that was cut that way.
     """
     keys = [_col(c) for c in cols]
     if algo == "md5":
-        text = F.concat_ws("|", *[k.cast("string") for k in keys], F.lit(salt))
+        text = F.concat_ws("|", *[_part(k.cast("string")) for k in keys], F.lit(salt))
         head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
         return head / F.lit(TWO_32)
     if algo != "murmur3":

@@ -30,11 +30,12 @@ def grid_index(degrees, offset: float, level: int) -> Column:
 
 def grid_cell(lat, lon, level: int) -> Column:
     """Cell id ``level:row:column``.  The side is 180/2^level degrees, so a cell's
-    parent has both indices halved and the levels nest."""
-    return F.concat_ws(
-        ":",
-        F.lit(str(level)),
+    parent has both indices halved and the levels nest.  A row without a latitude or a
+    longitude has no cell."""
+    return F.concat(
+        F.lit(f"{level}:"),
         grid_index(lat, 90.0, level).cast("string"),
+        F.lit(":"),
         grid_index(lon, 180.0, level).cast("string"),
     )
 
@@ -48,4 +49,4 @@ def grid_parent(cell, levels_up: int = 1) -> Column:
         return F.floor(parts[i].cast("bigint") / step).cast("string")
 
     level = (parts[0].cast("int") - F.lit(levels_up)).cast("string")
-    return F.concat_ws(":", level, index(1), index(2))
+    return F.concat(level, F.lit(":"), index(1), F.lit(":"), index(2))

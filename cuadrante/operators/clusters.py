@@ -188,7 +188,7 @@ def _crowded(pairs: DataFrame, probes: DataFrame, positions: DataFrame, need: in
     return out
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Least label of each connected component.
 
     ``nodes`` is (node, label) with labels unique, ``edges`` is (l, r) of nodes.
@@ -201,7 +201,7 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> Dat
     left = nodes.select(F.col("node").alias("l"), F.col("label").alias("u"))
     right = nodes.select(F.col("node").alias("r"), F.col("label").alias("v"))
     links = pin(edges.join(left, "l").join(right, "r").select("u", "v").filter("u <> v").distinct())
-    for _ in range(max_rounds):
+    while True:  # every round that changes a link lowers a label, so it settles
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
@@ -224,7 +224,6 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> Dat
             return nodes.join(centre, "label", "left").select(
                 "node", F.coalesce("_centre", "label").alias("label")
             )
-    raise RuntimeError("components did not settle")
 
 
 def _cell(dx: Column | int = 0, dy: Column | int = 0) -> Column:

@@ -1,5 +1,5 @@
 """Population frames: blocks to dwellings to households to persons, census
-enrichment, client lots and tiered attributes."""
+enrichment and tiered attributes."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuadrante.functions import draws, geo, keys
+from cuadrante.functions import keys
 from cuadrante.operators.apportion import uncount
 from cuadrante.operators.relational import cast_columns, fill_defaults
 
@@ -155,73 +155,6 @@ def unmatched_tiers(df: DataFrame, rules: DataFrame, tier: str) -> DataFrame:
     return counts.join(rules.select("tier").distinct(), "tier", "left_anti")
 
 
-# --- client lots ------------------------------------------------------------
-
-# Education levels with their weights and income multiples,
-# marital states and numbers of children with their weights, and the parameters
-# of the income and expense laws.
-EDUCATION = ["Sin Educacion", "Primaria", "Secundaria", "Preparatoria", "Licenciatura", "Maestría", "Doctorado"]
-EDUCATION_WEIGHTS = [1, 3, 4, 7, 2, 1, 1]
-EDUCATION_INCOME = [0.5, 0.7, 0.85, 1.0, 1.8, 2.5, 3.5]
+# Marital states and their weights.
 MARITAL = ["Soltero(a)", "Casado(a)", "Divorciado(a)", "Viudo(a)"]
 MARITAL_WEIGHTS = [3, 4, 2, 1]
-CHILDREN = [0, 1, 2, 3, 4, 5]
-CHILDREN_WEIGHTS = [5, 3, 2, 1, 1, 1]
-INCOME_LAW = (0.7, 3.5)
-EXPENSE_LAW = (0.8, 4.0)
-EXPENSE_SHARE = 0.61
-YOUNG_AGE = 21
-YOUNG_LEVELS = 4
-GEO_SIGMA = 0.01
-
-
-def client_lot(segments: DataFrame, quota: str, key: str, entity: str, salary: str,
-               lat: str, lon: str, level: int = 8, reference: str = "2024-01-01") -> DataFrame:
-    """Clients of each segment, ``quota`` many, with drawn attributes.
-
-    Every draw is a hash of the segment key, the client's place in it and the
-    attribute's name, so each run gives the same lot and no task depends on
-    another.  The id is left to ``sequential_id``.
-    """
-    people = uncount(segments, quota, "place", spread=True)
-
-    def u(name: str) -> Column:
-        return draws.hash_fraction(key, "place", salt=name)
-
-    age = draws.between_int(u("edad"), 18, 75)
-    young = draws.weighted_pick(u("nivel"), EDUCATION[:YOUNG_LEVELS], EDUCATION_WEIGHTS[:YOUNG_LEVELS])
-    adult = draws.weighted_pick(u("nivel"), EDUCATION, EDUCATION_WEIGHTS)
-    multiple = F.element_at(
-        F.create_map(*[F.lit(x) for pair in zip(EDUCATION, EDUCATION_INCOME) for x in pair]), F.col("nivel_edu")
-    )
-    return (
-        people.withColumns(
-            {
-                "sexo": F.when(u("sexo") < 0.5, "M").otherwise("F"),
-                "edad": age,
-                "lat_cli": draws.normal(u("lat1"), u("lat2"), F.col(lat), GEO_SIGMA),
-                "lon_cli": draws.normal(u("lon1"), u("lon2"), F.col(lon), GEO_SIGMA),
-            }
-        )
-        .withColumn("nivel_edu", F.when(F.col("edad") < YOUNG_AGE, young).otherwise(adult))
-        .withColumn("_base", F.col(salary) * multiple)
-        .withColumn("ingreso_mensual", draws.dagum_quantile(u("ingreso"), F.col("_base"), *INCOME_LAW))
-        .withColumn(
-            "gasto_mensual",
-            F.least(
-                draws.dagum_quantile(u("gasto"), F.col("_base") * EXPENSE_SHARE, *EXPENSE_LAW),
-                F.col("ingreso_mensual") * draws.between(u("tope"), 0.8, 1.2),
-            ),
-        )
-        .withColumns(
-            {
-                "cell": geo.grid_cell("lat_cli", "lon_cli", level),
-                "Fecha_nacimiento": keys.birth_date("edad", F.lit(reference).cast("date"), u("nacimiento")),
-                "estado_civil": draws.weighted_pick(u("civil"), MARITAL, MARITAL_WEIGHTS),
-                "numero_de_hijos": draws.weighted_pick(u("hijos"), CHILDREN, CHILDREN_WEIGHTS),
-                "capacidad_ahorro": F.greatest(F.lit(0.0), F.col("ingreso_mensual") - F.col("gasto_mensual")),
-                "zip": keys.prefixed_code(F.col(entity), u("zip")),
-            }
-        )
-        .drop("_base")
-    )

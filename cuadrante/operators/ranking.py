@@ -95,9 +95,9 @@ def row_numbers(df: DataFrame, keys, order_by, name: str = "rn", hot_rows: int =
         "_first",
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
     )
-    # One piece per hot key and range it touches: at most hot keys + partitions.
+    # One piece per hot key and range it touches; Spark broadcasts them while small.
     hot_rows_df = (
-        placed.join(F.broadcast(pieces), match & (F.col("_part") == F.col("_h_part")))
+        placed.join(pieces, match & (F.col("_part") == F.col("_h_part")))
         .withColumn(name, F.col("_pos") - F.col("_first") + F.lit(1) + F.col("_before"))
         .select(*df.columns, name)
     )
@@ -114,18 +114,20 @@ def daily_account_key(df: DataFrame, ts: str, order_by, width: int = 7,
                       name: str = "account_key", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Account number ``1yyyyMMdd`` + the row's number within its day.
 
-    A day with more rows than ``width`` digits can count raises an error, since
-    cutting the number would repeat keys.
+    The number has ``width`` digits, or as many as the fullest day needs: all keys of
+    one call have the same length, so they stay unique and sort by day.  Only a day of
+    10**10 rows or more does not fit into the bigint and raises an error.
     """
     dated = df.withColumn("_day", F.to_date(F.col(ts)))
     out = row_numbers(dated, "_day", order_by, "_seq", hot_rows)
+    most = dated.groupBy("_day").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    width = max(width, len(str(most)))
+    if width > 10:
+        raise ValueError(f"daily_account_key: {most} rows in a day do not fit into a bigint key")
     key = F.concat(
         F.lit("1"), F.date_format("_day", "yyyyMMdd"), F.lpad(F.col("_seq").cast("string"), width, "0")
     ).cast("bigint")
-    full = F.when(
-        F.col("_seq") >= F.lit(10**width), F.raise_error(F.lit("daily_account_key: too many rows in a day"))
-    )
-    return out.withColumn(name, full.otherwise(key)).drop("_day", "_seq")
+    return out.withColumn(name, key).drop("_day", "_seq")
 
 
 def top_k_per_group(df: DataFrame, keys, order_by, k: int, name: str = "rn") -> DataFrame:

@@ -199,14 +199,16 @@ def multi_resolution(df: DataFrame, lat: str, lon: str, levels: Sequence[int], s
     """Row counts, sums and means per grid cell at several levels.
 
     The rows are combined once at the finest level.  Cells nest, so the coarser
-    levels are summed from those few cells and not from the rows again.
+    levels are summed from those few cells and not from the rows again.  Rows without a
+    place are counted once per level, under a null cell.
     """
     levels = sorted(set(levels), reverse=True)
     finest = levels[0]
+    placed = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     fine = (
         df.select(
-            geo.grid_index(lat, 90.0, finest).alias("_r"),
-            geo.grid_index(lon, 180.0, finest).alias("_c"),
+            F.when(placed, geo.grid_index(lat, 90.0, finest)).alias("_r"),
+            F.when(placed, geo.grid_index(lon, 180.0, finest)).alias("_c"),
             *sums,
         )
         .groupBy("_r", "_c")
@@ -220,10 +222,11 @@ def multi_resolution(df: DataFrame, lat: str, lon: str, levels: Sequence[int], s
     step = F.pow(F.lit(2.0), F.lit(finest) - F.col("level")).cast("bigint")
     each = each.withColumn(
         "cell",
-        F.concat_ws(
-            ":",
+        F.concat(
             F.col("level").cast("string"),
+            F.lit(":"),
             F.floor(F.col("_r") / step).cast("string"),
+            F.lit(":"),
             F.floor(F.col("_c") / step).cast("string"),
         ),
     )

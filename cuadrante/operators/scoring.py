@@ -184,7 +184,7 @@ def evaluate(pred: DataFrame, label: str, prediction: str = "prediction", score:
     for a multiclass model (no ``score``)."""
     auc = None
     if score is not None:
-        auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score).evaluate(pred)
+        auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=0).evaluate(pred)
     return classification_metrics(pred, label, prediction).withColumn("auc", F.lit(auc).cast("double"))
 
 

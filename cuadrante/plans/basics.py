@@ -168,10 +168,10 @@ def split_sentinel(spark, d):
 @query(
     "inner_join_multi",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name, n_name FROM lineitem
-    JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_quantity <= 10""",
+    JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""",
 )
 def inner_join_multi(spark, d):
-    li = table(spark, d, "lineitem").filter("l_quantity <= 10").withColumnRenamed("l_suppkey", "s_suppkey")
+    li = table(spark, d, "lineitem").withColumnRenamed("l_suppkey", "s_suppkey")
     joined = li.join(table(spark, d, "supplier"), "s_suppkey").join(
         table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
@@ -512,14 +512,29 @@ def clamp_nulls(spark, d):
     )
 
 
-def md5_fraction(text: str) -> str:
-    """The SQL of ``hash_fraction`` over the text of a key."""
+def md5_fraction(*keys: str, salt: str = "") -> str:
+    """The SQL of ``hash_fraction`` over the parts of a key."""
+    text = " || '|' || ".join([*(f"coalesce(length(({k})::VARCHAR) || ':' || ({k})::VARCHAR, '-')" for k in keys), f"'{salt}'"])
     return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
 
 
+@query(
+    "hash_fraction_parts",
+    f"""WITH k AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus || '|' || o_orderpriority ELSE o_orderstatus END AS a,
+      CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE o_orderpriority END AS b FROM orders)
+    SELECT o_orderkey, {md5_fraction("a", "b", salt="p")} AS u FROM k""",
+)
+def hash_fraction_parts(spark, d):
+    """Keys with a bar in a part and with a null part."""
+    third = F.col("o_orderkey") % 3
+    a = F.when(third == 0, F.concat_ws("|", "o_orderstatus", "o_orderpriority")).otherwise(F.col("o_orderstatus"))
+    b = F.when(third != 1, F.col("o_orderpriority"))
+    return table(spark, d, "orders").select("o_orderkey", draws.hash_fraction(a, b, salt="p").alias("u"))
+
+
 @query(
     "hash_fraction",
-    f"SELECT c_custkey, {md5_fraction("c_custkey || '|' || c_nationkey || '|x'")} AS u FROM customer",
+    f"SELECT c_custkey, {md5_fraction("c_custkey", "c_nationkey", salt="x")} AS u FROM customer",
 )
 def hash_fraction(spark, d):
     return table(spark, d, "customer").select(
@@ -623,7 +638,7 @@ def zscore(spark, d):
 
 @query(
     "dagum_quantile",
-    f"""WITH u AS (SELECT c_custkey, {md5_fraction("c_custkey || '|i'")} AS u, {md5_fraction("c_custkey || '|g'")} AS g FROM customer)
+    f"""WITH u AS (SELECT c_custkey, {md5_fraction("c_custkey", salt="i")} AS u, {md5_fraction("c_custkey", salt="g")} AS g FROM customer)
     SELECT c_custkey, round(15000.0::DOUBLE * pow(pow(u, -1 / 0.7::DOUBLE) - 1, -1 / 3.5::DOUBLE), 4) AS income,
     round(9000.0::DOUBLE * pow(pow(g, -1 / 0.8::DOUBLE) - 1, -1 / 4.0::DOUBLE), 4) AS expense FROM u""",
 )
@@ -637,7 +652,7 @@ def dagum_quantile(spark, d):
 
 @query(
     "weighted_pick",
-    f"""WITH u AS (SELECT c_custkey, {md5_fraction("c_custkey || '|civil'")} AS u FROM customer)
+    f"""WITH u AS (SELECT c_custkey, {md5_fraction("c_custkey", salt="civil")} AS u FROM customer)
     SELECT c_custkey, CASE WHEN u < 0.3 THEN 'Soltero(a)' WHEN u < 0.7 THEN 'Casado(a)' WHEN u < 0.9 THEN 'Divorciado(a)'
     ELSE 'Viudo(a)' END AS marital FROM u""",
 )
@@ -650,7 +665,7 @@ def weighted_pick(spark, d):
 
 @query(
     "noise",
-    f"""WITH u AS (SELECT c_custkey, {md5_fraction("c_custkey || '|n1'")} AS a, {md5_fraction("c_custkey || '|n2'")} AS b FROM customer)
+    f"""WITH u AS (SELECT c_custkey, {md5_fraction("c_custkey", salt="n1")} AS a, {md5_fraction("c_custkey", salt="n2")} AS b FROM customer)
     SELECT c_custkey, floor(a * 480)::INT AS months, round(0.5::DOUBLE + a * (1.2::DOUBLE - 0.5::DOUBLE), 8) AS uniform,
     round(sqrt(-2 * ln(1 - a)) * cos(2 * pi() * b), 6) + 0.0 AS normal FROM u""",
 )
@@ -729,7 +744,7 @@ def uncount(spark, d):
        WHEN 7 THEN '29' WHEN 8 THEN '31' WHEN 9 THEN '0' WHEN 10 THEN '34' WHEN 11 THEN '36' WHEN 12 THEN '39' WHEN 13 THEN '42'
        WHEN 14 THEN '44' WHEN 15 THEN '50' WHEN 16 THEN '58' WHEN 17 THEN '62' WHEN 18 THEN '63' WHEN 19 THEN '64' WHEN 20 THEN '68'
        WHEN 21 THEN '72' WHEN 22 THEN '76' WHEN 23 THEN '77' WHEN 24 THEN '78' WHEN 25 THEN '80' ELSE '0' END AS prefix,
-      {md5_fraction("s_suppkey || '|zip'")} AS u FROM supplier)
+      {md5_fraction("s_suppkey", salt="zip")} AS u FROM supplier)
     SELECT s_suppkey, prefix || lpad(floor(u * pow(10.0::DOUBLE, 5 - length(prefix)))::BIGINT::VARCHAR, (5 - length(prefix))::INT, '0') AS zip FROM p""",
 )
 def prefixed_code(spark, d):
@@ -739,7 +754,7 @@ def prefixed_code(spark, d):
 
 @query(
     "birth_date",
-    f"""WITH u AS (SELECT c_custkey, (18 + c_custkey % 58)::INT AS age, {md5_fraction("c_custkey || '|b'")} AS u FROM customer)
+    f"""WITH u AS (SELECT c_custkey, (18 + c_custkey % 58)::INT AS age, {md5_fraction("c_custkey", salt="b")} AS u FROM customer)
     SELECT c_custkey, age, ((DATE '2024-02-29' - to_months(12 * age))::DATE - floor(u * 365)::INT)::DATE AS born FROM u""",
 )
 def birth_date(spark, d):

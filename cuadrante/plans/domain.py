@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cuadrante.functions import draws
 from cuadrante.operators import clusters, frames, ledger, proximity, ranking, relational, territory
-from cuadrante.operators.apportion import apportion_truncate
+from cuadrante.operators.apportion import apportion_truncate, uncount
 from cuadrante.plans.basics import md5_fraction
 from cuadrante.plans.registry import query, rounded
 from cuadrante.plans.tables import blocks, clients, establishments, history, lat_of, lon_of, payments, poles, table, with_
@@ -168,6 +168,13 @@ TIER_RULES = [
     ("*", "wealth", 0.0, 5000000.0),
     ("*", "first_score", 450.0, 500.0),
 ]
+
+
+def md5_fraction_col(key: str, salt: str) -> str:
+    """As ``md5_fraction`` with the salt from a column."""
+    return md5_fraction(key, salt="' || " + salt + " || '")
+
+
 _RULES_SQL = ", ".join(f"('{t}', '{c}', {lo}::DOUBLE, {sp}::DOUBLE)" for t, c, lo, sp in TIER_RULES)
 
 
@@ -176,7 +183,7 @@ _RULES_SQL = ", ".join(f"('{t}', '{c}', {lo}::DOUBLE, {sp}::DOUBLE)" for t, c, l
     with_("clients")
     + f""", rules(tier, col, low, span) AS (VALUES {_RULES_SQL}),
     k AS (SELECT client, tier, tier IN (SELECT tier FROM rules WHERE tier <> '*') AS hit FROM clients),
-    v AS (SELECT client, k.tier, hit, col, low + span * (('0x' || substr(md5(client || '|' || col), 1, 8))::BIGINT / 4294967296.0::DOUBLE) AS x
+    v AS (SELECT client, k.tier, hit, col, low + span * {md5_fraction_col("client", "col")} AS x
       FROM k JOIN rules ON rules.tier = CASE WHEN hit THEN k.tier ELSE '*' END)
     SELECT client, tier, floor(max(x) FILTER (WHERE col = 'dependants'))::INT AS dependants, round(max(x) FILTER (WHERE col = 'wealth'), 4) AS wealth,
     round(max(x) FILTER (WHERE col = 'first_score'), 6) AS first_score, hit AS tier_matched FROM v GROUP BY client, tier, hit""",
@@ -203,46 +210,18 @@ def unmatched_tiers(spark, d):
     return frames.unmatched_tiers(clients(spark, d), rules, "tier")
 
 
-def _u(name: str) -> str:
-    return md5_fraction(f"segment || '|' || place || '|{name}'")
-
-
 @query(
     "client_lot",
-    f"""WITH w AS (SELECT c_nationkey AS segment, count(*) AS n FROM customer GROUP BY 1),
-    q AS (SELECT segment, floor((SELECT count(*) FROM orders) * (n / (SELECT sum(n) FROM w)::DOUBLE))::BIGINT AS quota,
-      (15000 + segment * 500)::DOUBLE AS salary, 14.5::DOUBLE + ((segment * 7919) % 18000) / 1000.0::DOUBLE AS lat0 FROM w),
-    p AS (SELECT segment, salary, lat0, unnest(range(1, quota + 1)) AS place FROM q WHERE quota > 0),
-    a AS (SELECT *, (floor({_u('edad')} * 58) + 18)::INT AS edad, CASE WHEN {_u('sexo')} < 0.5 THEN 'M' ELSE 'F' END AS sexo, {_u('nivel')} AS un FROM p),
-    e AS (SELECT *, CASE WHEN edad < 21 THEN (CASE WHEN un < 1 / 15.0::DOUBLE THEN 0.5 WHEN un < 4 / 15.0::DOUBLE THEN 0.7 WHEN un < 8 / 15.0::DOUBLE THEN 0.85 ELSE 1.0 END)
-      ELSE (CASE WHEN un < 1 / 19.0::DOUBLE THEN 0.5 WHEN un < 4 / 19.0::DOUBLE THEN 0.7 WHEN un < 8 / 19.0::DOUBLE THEN 0.85 WHEN un < 15 / 19.0::DOUBLE THEN 1.0
-        WHEN un < 17 / 19.0::DOUBLE THEN 1.8 WHEN un < 18 / 19.0::DOUBLE THEN 2.5 ELSE 3.5 END) END::DOUBLE AS m FROM a),
-    i AS (SELECT *, salary * m * pow(pow({_u('ingreso')}, -1 / 0.7::DOUBLE) - 1, -1 / 3.5::DOUBLE) AS income FROM e),
-    g AS (SELECT *, least(salary * m * 0.61::DOUBLE * pow(pow({_u('gasto')}, -1 / 0.8::DOUBLE) - 1, -1 / 4.0::DOUBLE),
-      income * (0.8::DOUBLE + {_u('tope')} * (1.2::DOUBLE - 0.8::DOUBLE))) AS expense FROM i)
-    SELECT segment, place, sexo, edad, CASE m WHEN 0.5 THEN 'Sin Educacion' WHEN 0.7 THEN 'Primaria' WHEN 0.85 THEN 'Secundaria' WHEN 1.0 THEN 'Preparatoria'
-      WHEN 1.8 THEN 'Licenciatura' WHEN 2.5 THEN 'Maestría' ELSE 'Doctorado' END AS nivel_edu,
-    round(lat0 + 0.01::DOUBLE * sqrt(-2 * ln(1 - {_u('lat1')})) * cos(2 * pi() * {_u('lat2')}), 6) AS lat_cli,
-    round(income, 3) AS ingreso_mensual, round(expense, 3) AS gasto_mensual, round(greatest(0, income - expense), 3) AS capacidad_ahorro,
-    CASE WHEN {_u('hijos')} < 5 / 13.0::DOUBLE THEN 0 WHEN {_u('hijos')} < 8 / 13.0::DOUBLE THEN 1 WHEN {_u('hijos')} < 10 / 13.0::DOUBLE THEN 2
-      WHEN {_u('hijos')} < 11 / 13.0::DOUBLE THEN 3 WHEN {_u('hijos')} < 12 / 13.0::DOUBLE THEN 4 ELSE 5 END AS numero_de_hijos FROM g""",
+    """WITH w AS (SELECT c_nationkey AS segment, count(*) AS n FROM customer GROUP BY 1),
+    q AS (SELECT segment, n, floor((SELECT count(*) FROM orders) * (n / (SELECT sum(n) FROM w)::DOUBLE))::BIGINT AS quota FROM w)
+    SELECT segment, n AS members, quota, unnest(range(1, quota + 1)) AS place FROM q WHERE quota > 0""",
 )
 def client_lot(spark, d):
+    """Places of each segment's lot, in proportion to the segment's customers."""
     weights = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("segment")).agg(F.count(F.lit(1)).alias("n"))
     total = table(spark, d, "orders").agg(F.count(F.lit(1)).alias("n")).scalar()
-    segments = apportion_truncate(weights, total, "n").select(
-        "segment",
-        "quota",
-        (F.lit(15000) + F.col("segment") * 500).cast("double").alias("salary"),
-        lat_of(F.col("segment").cast("bigint")).alias("lat0"),
-        lon_of(F.col("segment").cast("bigint")).alias("lon0"),
-    )
-    lot = frames.client_lot(segments, "quota", "segment", "segment", "salary", "lat0", "lon0")
-    out = lot.select(
-        "segment", "place", "sexo", "edad", "nivel_edu", "lat_cli", "ingreso_mensual", "gasto_mensual",
-        "capacidad_ahorro", "numero_de_hijos",
-    )
-    return rounded(rounded(out, 6, "lat_cli"), 3, "ingreso_mensual", "gasto_mensual", "capacidad_ahorro")
+    segments = apportion_truncate(weights, total, "n")
+    return uncount(segments, "quota", "place", spread=True).select("segment", F.col("n").alias("members"), "quota", "place")
 
 
 # --- population frames ------------------------------------------------------
@@ -363,7 +342,7 @@ def gravity_uplift(spark, d):
 
 _ELIGIBLE = with_("clients") + f""", pr(product, annual_rate, term, limit_multiple, kind) AS (VALUES ('Nomina', 0.22::DOUBLE, 24, 1.5::DOUBLE, 'fijo'),
       ('Personal', 0.38::DOUBLE, 36, 2.2::DOUBLE, 'fijo'), ('TDC_1', 0.55::DOUBLE, 12, 0.9::DOUBLE, 'revolvente'), ('TDC_2', 0.75::DOUBLE, 12, 1.4::DOUBLE, 'revolvente')),
-    el AS (SELECT client, income, pr.* FROM clients, pr WHERE {md5_fraction("client || '|' || product || '|'")} < CASE WHEN income > 12000 THEN 0.45 ELSE 0.18 END)"""
+    el AS (SELECT client, income, pr.* FROM clients, pr WHERE {md5_fraction("client", "product", salt="")} < CASE WHEN income > 12000 THEN 0.45 ELSE 0.18 END)"""
 
 
 @query("eligible_products", _ELIGIBLE + " SELECT client, product, term, kind FROM el")
@@ -375,19 +354,12 @@ def eligible_products(spark, d):
 @query(
     "account_grid",
     _ELIGIBLE
-    + f""" SELECT client, product, m::INT AS period, (DATE '2020-01-01' + to_months(m::INT))::DATE AS month,
-    round(income * limit_multiple * ({md5_fraction("client || '|'")} * 0.5::DOUBLE + 0.8::DOUBLE), 4) AS opening,
-    (floor({md5_fraction("client || '|' || m || '|'")} * 5) + 1)::INT AS deposits,
-    CASE WHEN kind = 'fijo' THEN 0.0::DOUBLE ELSE floor({md5_fraction("client || '|' || m || '|d'")} * 50) END AS home_distance,
-    CASE WHEN {md5_fraction("client || '|f'")} < 0.01 THEN 1 WHEN {md5_fraction("client || '|a'")} < 0.02 THEN 2 ELSE 0 END AS anomaly
-    FROM el, (SELECT unnest(range(1, 49)) AS m)""",
+    + """ SELECT client, product, m::INT AS period, (DATE '2020-01-01' + to_months(m::INT))::DATE AS month,
+    round(income * limit_multiple, 4) AS opening FROM el, (SELECT unnest(range(1, 49)) AS m)""",
 )
 def account_grid(spark, d):
     grid = ledger.account_grid(clients(spark, d).select("client", "income"), "client", "income")
-    out = ledger.account_signals(grid, "client", algo="md5")
-    return rounded(
-        out.select("client", "product", "period", "month", "opening", "deposits", "home_distance", "anomaly"), 4, "opening"
-    )
+    return rounded(grid.select("client", "product", "period", "month", "opening"), 4, "opening")
 
 
 _MONTHS = """, m AS (SELECT account, period, sum(payment) AS payment, sum(charge) AS charge, max(opening) AS opening, max(rate) AS rate,

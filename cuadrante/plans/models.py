@@ -67,7 +67,7 @@ def segment(spark, d):
 
 @query(
     "hash_split",
-    f"SELECT c_custkey, {md5_fraction("c_custkey || '|split'")} < 0.7 AS train FROM customer",
+    f"SELECT c_custkey, {md5_fraction("c_custkey", salt="split")} < 0.7 AS train FROM customer",
 )
 def hash_split(spark, d):
     train, held_out = scoring.hash_split(table(spark, d, "customer").select("c_custkey"), ["c_custkey"])
@@ -146,8 +146,8 @@ def classification_metrics(spark, d):
 
 @query(
     "score_blend",
-    f"""WITH c AS (SELECT DISTINCT o_custkey AS client FROM orders), a AS (SELECT client, {md5_fraction("client || '|c'")} AS p FROM c WHERE client % 5 <> 0),
-    b AS (SELECT client, {md5_fraction("client || '|l'")} AS p FROM c WHERE client % 7 <> 0)
+    f"""WITH c AS (SELECT DISTINCT o_custkey AS client FROM orders), a AS (SELECT client, {md5_fraction("client", salt="c")} AS p FROM c WHERE client % 5 <> 0),
+    b AS (SELECT client, {md5_fraction("client", salt="l")} AS p FROM c WHERE client % 7 <> 0)
     SELECT client, round(a.p * 0.6::DOUBLE + b.p * 0.4::DOUBLE, 8) AS score, CASE WHEN a.p IS NOT NULL AND b.p IS NOT NULL THEN 'Score Integral Completo'
     ELSE 'Datos Insuficientes - Requiere Modelo Reducido' END AS routing FROM c LEFT JOIN a USING (client) LEFT JOIN b USING (client)""",
 )

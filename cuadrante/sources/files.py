@@ -66,14 +66,15 @@ def write_table(
 ) -> None:
     """Write a table, with its physical layout where one is wanted.
 
-    ``by`` hashes rows to ``partitions`` files by key; ``sort_by`` alone ranges
+    ``by`` hashes rows to ``partitions`` files by key, or rebalances them by key where no
+    number is given, so that a hot key gets several files; ``sort_by`` alone ranges
     and sorts them, so readers can skip row groups.  ``max_records`` bounds the
     rows of a file, however many a task holds.
     """
     if sort_by and not by:
         df = df.repartitionByRange(partitions, *sort_by) if partitions else df.repartitionByRange(*sort_by)
     elif by:
-        df = df.repartition(partitions, *by) if partitions else df.repartition(*by)
+        df = df.repartition(partitions, *by) if partitions else df.hint("rebalance", *by)
     elif partitions:
         df = df.repartition(partitions)
     if sort_by:
@@ -89,15 +90,16 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
     """Write one folder per value of ``by``; a re-run replaces only the folders
     it has rows for.
 
-    ``spread`` deals each value out over that many tasks, so a value with a
-    large part of the rows is not written by a single one.
+    Rows are rebalanced by value: small values share a task and a value with a large
+    part of the rows is split by adaptive execution.  ``spread`` deals each value out
+    over that many tasks beforehand, where adaptive execution is off.
     """
     by = [by] if isinstance(by, str) else list(by)
     if spread > 1:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
         df = df.repartition(*by, salt)
     else:
-        df = df.repartition(*by)
+        df = df.hint("rebalance", *by)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)

@@ -129,10 +129,15 @@ def run_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float |
     return True
 
 
-def finish_all(queries: list[StreamingQuery], timeout: float = 600) -> None:
-    """Wait until each of the bounded queries has taken all its input."""
+def finish_all(queries: list[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait until each of the bounded queries has taken all its input.  With a
+    ``timeout`` all are stopped once one has taken longer."""
     for q in queries:
-        if not q.awaitTermination(timeout):
+        if timeout is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout):
+            for late in queries:
+                late.stop()
             raise TimeoutError(f"stream {q.name or q.id} is still running after {timeout} s")
 
 

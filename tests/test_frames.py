@@ -58,12 +58,3 @@ def test_tiers_fall_back_and_are_reported(spark):
     got = {r["id"]: (r["x"], r["tier_matched"]) for r in frames.apply_tiers(df, rules, "tier", {"x": "int"}, lambda c: F.lit(0.5)).collect()}
     assert got[1] == (10, True) and got[2] == (99, False) and got[3][0] == 99 and not got[3][1]
     assert {(r["tier"], r["n"]) for r in frames.unmatched_tiers(df, rules, "tier").collect()} == {("Z", 1), (None, 1)}
-
-
-def test_lot_is_the_same_on_every_run(spark):
-    seg = spark.createDataFrame([(1, 50, 20000.0, 19.4, -99.1)], "s int, n long, pay double, lat double, lon double")
-    lot = frames.client_lot(seg, "n", "s", "s", "pay", "lat", "lon")
-    a, b = ([tuple(r) for r in lot.orderBy("place").collect()] for _ in range(2))
-    assert a == b and len(a) == 50
-    assert lot.filter("edad NOT BETWEEN 18 AND 75 OR capacidad_ahorro < 0 OR length(zip) <> 5").count() == 0
-    assert lot.filter("edad < 21 AND nivel_edu IN ('Licenciatura', 'Maestría', 'Doctorado')").count() == 0

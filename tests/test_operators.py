@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cuadrante.functions import draws, geo
 from cuadrante.operators import apportion, maintenance, ranking, relational, territory
 
 
@@ -41,12 +42,26 @@ def test_sequential_id_of_nothing(spark):
     assert ranking.sequential_id(spark.range(0), "id", name="seq").count() == 0
 
 
-def test_daily_key_overflow_raises(spark):
-    df = spark.range(12).select("id", F.lit("2024-01-01").cast("timestamp").alias("ts"))
-    with pytest.raises(Exception, match="too many rows"):
-        ranking.daily_account_key(df, "ts", "id", width=1).collect()
-    key = ranking.daily_account_key(df, "ts", "id").agg(F.min("account_key")).first()[0]
-    assert key == 1202401010000001
+def test_daily_key_widens_for_a_full_day(spark):
+    df = spark.range(12).select("id", F.when(F.col("id") < 11, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("timestamp").alias("ts"))
+    got = [r["account_key"] for r in ranking.daily_account_key(df, "ts", "id", width=1).orderBy("id").collect()]
+    assert got == sorted(set(got)) and got[0] == 12024010101 and got[-1] == 12024010201
+    with pytest.raises(ValueError, match="do not fit"):
+        ranking.daily_account_key(df, "ts", "id", width=11)
+
+
+def test_cells_without_a_place(spark):
+    df = spark.createDataFrame([(10.0, None, 1.0), (None, 20.0, 2.0), (10.0, 20.0, 4.0)], "lat double, lon double, v double")
+    cells = [r[0] for r in df.select(geo.grid_cell("lat", "lon", 4)).collect()]
+    assert cells[:2] == [None, None] and cells[2].startswith("4:")
+    assert df.limit(1).select(geo.grid_parent(F.lit(None).cast("string"))).first()[0] is None
+    got = {(r["level"], r["cell"]): r["n"] for r in relational.multi_resolution(df, "lat", "lon", [2, 3], ["v"]).collect()}
+    assert got[2, None] == got[3, None] == 2 and sum(got.values()) == 6
+
+
+def test_hash_fraction_tells_parts_apart(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a", None), (None, "a"), ("a", "-")], "x string, y string")
+    assert df.select(draws.hash_fraction("x", "y").alias("u")).distinct().count() == 5
 
 
 def test_remainder_goes_to_the_first_rows(spark):
