@@ -22,7 +22,7 @@ from cuadrante.llm.words import mix, text_bytes, text_words, word_spans
 from cuadrante.session import pin
 
 PER_LABEL = 6_000  # labelled documents of either label in the index, about
-TERMS = 4_096
+TERMS = 512
 MIN_EXAMPLES = 5  # documents of the sample that must hold a term
 MIN_CHI2 = 24.0  # one in a million by chance, as there are very many terms
 BEGINNINGS = (4, 5)  # bytes of a longer word that are a term of their own
@@ -112,8 +112,10 @@ def _scores(index: Index, at: np.ndarray, w: np.ndarray, blocks: np.ndarray) ->
     n = last - first
     ends = np.cumsum(n)
     posting = np.arange(ends[-1]) + np.repeat(first - (ends - n), n)
-    who, place = np.unique(index.example[posting], return_inverse=True)
-    return who, np.bincount(place, np.repeat(np.repeat(w, len(blocks)), n) * index.weight[posting], len(who))
+    part = np.repeat(np.repeat(w, len(blocks)), n) * index.weight[posting]
+    cosine = np.bincount(index.example[posting], part, len(index.label))
+    who = np.flatnonzero(cosine)
+    return who, cosine[who]
 
 
 def vote(index: Index, who: np.ndarray, cosine: np.ndarray) -> float:
