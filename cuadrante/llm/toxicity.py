@@ -234,8 +234,8 @@ def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, ma
     truth = np.append(y, [1, 0])
     weight = np.append(np.ones(len(y)), [max(0, s) for s in silent])
     weight *= np.where(truth == 1, everyone.get(1, 0) / max(1, pos), everyone.get(0, 0) / max(1, neg))
-    if not pos or not neg:
-        return index
+    if not pos or not neg:  # one kind of label, or none: every text gets its share
+        return index._replace(slope=0.0, shift=float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     slope, shift = _calibrate(votes, truth, weight)
     return index._replace(slope=slope, shift=shift)
 
