@@ -196,7 +196,7 @@ def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, ma
     by_term = held.groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     chi2 = n * F.pow(a * (neg - b) - b * (pos - a), F.lit(2)) / ((a + b) * (n - a - b) * float(pos) * float(neg))
-    telling = by_term.filter(a + b >= MIN_EXAMPLES).filter(a + b < n).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2) if pos and neg else by_term.limit(0)
+    telling = by_term.filter(a + b >= MIN_EXAMPLES).filter(a + b < n).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2) if pos and neg else by_term.limit(0).withColumn("chi2", F.lit(0.0))
     terms = np.sort(np.array([r["term"] for r in telling.orderBy(F.desc("chi2"), "term").limit(max_terms).collect()], np.int64))
     idf = np.log((docs.count() + 1) / (document_counts(docs, terms) + 1)) if len(terms) else np.empty(0)
     chosen = spark.createDataFrame([(int(t), k) for k, t in enumerate(terms)], "term long, t int")
