@@ -2,8 +2,7 @@
 
 ``encoded`` is one expression: it cuts a text by the pattern, folds the merges over
 the bytes of each match with a literal rank map, and gives the ids.  Over a corpus it
-runs on distinct words only: once for each frequent word, of which there are at most
-``KEPT_WORDS``, and for the words of a document that are not among them.
+runs on distinct words, once for each of the ``KEPT_WORDS`` most frequent.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ from cuadrante.session import pin
 BUCKETS = 1 << 16  # of the rank map, so that a look-up does not scan all of it
 KEPT_WORDS = 1 << 19
 KEPT_CHARS = 64  # longer words are never kept, which bounds what is broadcast
+TAIL_WORDS = 300_000  # other words a worker keeps
 LONG_WORD = 48  # pieces from which neighbouring equal merges are told apart in one pass
 DOCS = 250  # encoded at once
 
@@ -164,89 +164,105 @@ def frequent_words(docs: DataFrame, most: int = KEPT_WORDS) -> DataFrame:
     return counts.filter(step >= least if least is not None else F.lit(False)).select("word")
 
 
-def _look_up(sent, name: str):
-    """Documents as places in the table of frequent words, and their other words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = _tables(sent, name)[0].get
-        for batch in batches:
-            for part in (batch.slice(at, DOCS) for at in range(0, batch.num_rows, DOCS)):
-                codes, others = [], []
-                for t in part.column(1).to_pylist():
-                    words = words_of(t) if t else []
-                    places = list(map(find, words))
-                    rare: dict[str, int] = {}
-                    if None in places:
-                        for i, c in enumerate(places):
-                            if c is None:
-                                places[i] = -1 - rare.setdefault(words[i], len(rare))
-                    codes.append(np.array(places, np.int32).tobytes())
-                    others.append(list(rare))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.binary()), pa.array(others, pa.list_(pa.string()))], names=["doc_id", "codes", "words"])
-
-    return run
-
-
-_held: dict[str, tuple[dict[str, int], list[bytes]]] = {}
-
-
-def _tables(sent, name: str) -> tuple[dict[str, int], list[bytes]]:
-    """Places of the frequent words and their ids as bytes, made once in a worker."""
-    if name not in _held:
-        _held.clear()
-        words, ids, ends = sent.value
-        cuts = np.concatenate([[0], ends]).tolist()
-        _held[name] = {w: i for i, w in enumerate(words.to_pylist())}, [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-    return _held[name]
+def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of one word by the same rule as ``fold_merges``."""
+    if word in ranks:
+        return [ranks[word]]
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    while len(pieces) > 1:
+        found = [ranks.get(a + b) for a, b in zip(pieces, pieces[1:])]
+        least = min((r for r in found if r is not None), default=None)
+        if least is None:
+            break
+        after, i = [], 0
+        while i < len(pieces):  # all pairs of that rank, from the left
+            if i < len(found) and found[i] == least:
+                after.append(pieces[i] + pieces[i + 1])
+                i += 2
+            else:
+                after.append(pieces[i])
+                i += 1
+        pieces = after
+    return [ranks[p] for p in pieces]
+
+
+class _Words:
+    """Ids by word as bytes: the frequent words' from Spark's fold, other words' as they
+    come, kept while there is room.  Made once in a worker."""
+
+    made: dict[str, "_Words"] = {}
+
+    def __init__(self, frequent, ranks: dict[bytes, int], pattern: str):
+        import regex
+
+        words, ids, ends = frequent
+        cuts = [0, *ends.tolist()]
+        self.known = {w: ids[a:b] for w, a, b in zip(words.to_pylist(), cuts[:-1], cuts[1:])}
+        self.room = len(self.known) + TAIL_WORDS
+        self.ranks, self.pattern = ranks, regex.compile(pattern)
+
+    @classmethod
+    def of(cls, name: str, frequent, ranks, pattern: str) -> "_Words":
+        if name not in cls.made:
+            cls.made.clear()
+            cls.made[name] = cls(frequent.value, ranks.value, pattern)
+        return cls.made[name]
+
+    def rest(self, word: str) -> bytes:
+        ids = [i for m in self.pattern.findall(word) for i in merge(m.encode(), self.ranks)]
+        out = np.array(ids, "<u4").tobytes()
+        if len(self.known) < self.room and len(word) <= KEPT_CHARS:
+            self.known[word] = out
+        return out
+
+    def encode(self, text: str) -> bytes:
+        words = words_of(text)
+        found = list(map(self.known.get, words))
+        if None in found:
+            found = [self.rest(w) if ids is None else ids for w, ids in zip(words, found)]
+        return b"".join(found)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, digests: bool = False, most: int = KEPT_WORDS) -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit numbers) of each whole text.
 
+    Spark folds the merges over each of the ``most`` most frequent distinct words once;
+    their table is sent to the tasks, where documents are cut into words and looked up.
+    Words that are not in it are merged in the task by the same rule.  (To fold those
+    too within each row gives the same ids at five times the cost; see the README.)
+
     With ``digests`` the ids are decoded again and the columns are ``n_tokens``,
     ``ids_sha256`` and ``decoded_sha256`` instead.  Null text counts as empty and has no
     ids.  Rows are kept as they come; columns other than doc_id and text are left out.
     """
     spark = docs.sparkSession
     ranks = read_ranks(ranks_path)
-    literal = rank_map(spark, ranks)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    kept = pin(frequent_words(docs, most).repartition(max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    kept = pin(kept.select("word", F.get(encoded(F.array("word"), literal, pattern), F.lit(0)).alias("ids"))).toArrow().combine_chunks()  # bounded by ``most`` words of bounded length
-    ids = kept["ids"].combine_chunks() if isinstance(kept["ids"], pa.ChunkedArray) else kept["ids"]
-    ends = np.cumsum([] if not len(ids) else pa.compute.list_value_length(ids).to_numpy(zero_copy_only=False)) * 4
-    words = kept["word"].combine_chunks() if isinstance(kept["word"], pa.ChunkedArray) else kept["word"]
-    sent, name = spark.sparkContext.broadcast((words, np.asarray(ids.flatten(), "<u4").tobytes(), ends.astype(np.int64))), uuid.uuid4().hex
-    pieces = spark.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _tables(sent, name)[1]
-        piece = pieces.value.__getitem__
+    frequent = pin(frequent_words(docs, most).repartition(max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    folded = pin(frequent.select("word", F.get(encoded(F.array("word"), rank_map(spark, ranks), pattern), F.lit(0)).alias("ids")))
+    kept = folded.toArrow().combine_chunks()  # bounded by ``most`` words of bounded length
+    words, ids = (pa.concat_arrays(kept[c].chunks) if kept.num_rows else pa.array([], kept.schema.field(c).type) for c in ("word", "ids"))
+    ends = np.cumsum(pa.compute.list_value_length(ids).to_numpy(zero_copy_only=False)).astype(np.int64) * 4
+    sent = spark.sparkContext.broadcast((words, ids.flatten().to_numpy().astype("<u4").tobytes(), ends))
+    sent_ranks, name = spark.sparkContext.broadcast(ranks), uuid.uuid4().hex
+    fields = [("doc_id", pa.int64())] + ([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digests else [("ids", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _Words.of(name, sent, sent_ranks, pattern)
+        piece = {rank: token for token, rank in table.ranks.items()}.__getitem__
         for batch in batches:
             for part in (batch.slice(at, DOCS) for at in range(0, batch.num_rows, DOCS)):
                 rows = []
-                for i, codes, own in zip(part.column(0).to_pylist(), part.column(1), part.column(2)):
-                    codes = np.frombuffer(codes.as_buffer(), np.int32)
-                    if len(table):
-                        found = list(map(table.__getitem__, np.maximum(codes, 0).tolist()))
-                    else:
-                        found = [b""] * len(codes)
-                    rare = [np.asarray(x.values, "<u4").tobytes() for x in own]
-                    for j in np.flatnonzero(codes < 0).tolist():
-                        found[j] = rare[-1 - codes[j]]
-                    ids = b"".join(found)
+                for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    ids = table.encode(text) if text else b""
                     if digests:
                         decoded = b"".join(map(piece, np.frombuffer(ids, "<u4").tolist()))
                         rows.append((i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
                     else:
                         rows.append((i, ids))
-                columns = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, fields)], names=[n for n, _ in fields])
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
 
-    fields = [("doc_id", pa.int64())] + ([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digests else [("ids", pa.binary())])
-    looked_up = docs.mapInArrow(_look_up(sent, name), "doc_id long, codes binary, words array<string>")
-    folded = looked_up.select("doc_id", "codes", encoded(F.col("words"), literal, pattern).alias("own"))
-    return folded.mapInArrow(assemble, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids binary")
+    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids binary")
 
 
 def decode_documents(encoded_docs: DataFrame, ranks_path: str) -> DataFrame:
