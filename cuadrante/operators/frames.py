@@ -108,6 +108,14 @@ def household_frame(dwellings: DataFrame, carry: Sequence[str]) -> DataFrame:
     )
 
 
+def unhoused_frame(dwellings: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """One row per person whom ``household_frame`` leaves out: those the block's census
+    puts into dwellings that are not inhabited.  With ``person_frame`` they add up to
+    the block's persons."""
+    p = uncount(dwellings.filter("ID_VPH = 0 OR HOGxVPH = 0"), "PERxVIV", "_p")
+    return p.select(*carry, "ID_DOMICILIO", keys.padded("_p", 3).alias("ID_PER"))
+
+
 def person_frame(households: DataFrame, carry: Sequence[str]) -> DataFrame:
     """One row per person of a household."""
     p = uncount(households, "PERxHOG", "_p")

@@ -39,12 +39,25 @@ def _centre(index: Column, offset: float, level: int) -> Column:
     return (index + F.lit(0.5)) * F.lit(side) - F.lit(offset)
 
 
+def _around(lon: str) -> Column:
+    """Longitude in [-180, 180), however often it goes around."""
+    return F.when(F.col(lon).between(-180.0, 179.999999999), F.col(lon)).otherwise(
+        F.pmod(F.col(lon) + F.lit(180.0), F.lit(360.0)) - F.lit(180.0)
+    )
+
+
+def _on_earth(lat: str, lon: str) -> Column:
+    """Whether there is such a place: both known, and a latitude that exists."""
+    return F.coalesce(F.col(lat).between(-90.0, 90.0) & F.col(lon).isNotNull() & ~F.isnan(lon), F.lit(False))
+
+
 def _indexed(df: DataFrame, lat: str, lon: str, level: int, block_key: str | None) -> DataFrame:
     block = F.lit("") if block_key is None else F.col(block_key).cast("string")
+    here = _on_earth(lat, lon)
     return df.withColumns(
         {
-            "_r": geo.grid_index(lat, 90.0, level),
-            "_c": geo.grid_index(lon, 180.0, level),
+            "_r": F.when(here, geo.grid_index(lat, 90.0, level)),
+            "_c": F.when(here, geo.grid_index(_around(lon), 180.0, level)),
             "_b": block,
         }
     )
@@ -205,17 +218,19 @@ def nearest_k(
 
     Sorted by distance (to the millimetre), then id.  ``radius_km`` leaves out
     poles further away; ``block_key`` (a column of both sides) restricts a point
-    to poles of its own block.  Points without coordinates get an empty array.
+    to poles of its own block.  Longitudes may go around the globe.  Points without a
+    place (a coordinate is null, or the latitude is beyond 90 degrees) get an empty
+    array, and poles without one are nobody's nearest.
 
     The number of poles is measured: few travel as one array value, more are
     found by descending both grids.  ``level`` sets the cell size; cells that
     would hold too many candidates are refined until they do not.
     """
     fields = ["id", "lat", "lon", *carry]
-    named = poles.filter(F.col(pole_lat).isNotNull() & F.col(pole_lon).isNotNull()).select(
+    named = poles.filter(_on_earth(pole_lat, pole_lon)).select(
         F.col(pole_id).alias("id"),
         F.col(pole_lat).cast("double").alias("lat"),
-        F.col(pole_lon).cast("double").alias("lon"),
+        _around(pole_lon).cast("double").alias("lon"),
         *carry,
         *([F.col(block_key).alias("_block")] if block_key else []),
     )

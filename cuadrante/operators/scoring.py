@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -55,6 +56,7 @@ class TrainedModel:
     predictions: DataFrame
     metrics: DataFrame
     quarantined: DataFrame
+    confusion: DataFrame
 
 
 def features(df: DataFrame, cols: Sequence[str], handle_invalid: str = "skip", name: str = "features") -> DataFrame:
@@ -84,9 +86,12 @@ def string_index(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
 
 
 def segment(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = SEED, name: str = "segment") -> DataFrame:
-    """k-means segments on standardised columns: one pipeline, one fit."""
+    """k-means segments on standardised columns: one pipeline, one fit.  Rows with a
+    null in a column have a null segment."""
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
     stages = [*scaled_stages(cols), KMeans(k=k, seed=seed, featuresCol="features", predictionCol=name)]
-    return Pipeline(stages=stages).fit(df).transform(df).drop("features_raw", "features")
+    found = Pipeline(stages=stages).fit(df).transform(df.filter(known)).drop("features_raw", "features")
+    return found.unionByName(df.filter(~known).withColumn(name, F.lit(None).cast("int")))
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], share: float = TRAIN_SHARE, salt: str = "split") -> tuple[DataFrame, DataFrame]:
@@ -142,7 +147,14 @@ def _train(df: DataFrame, config: ModelConfig, keys: Sequence[str], share: float
     model = Pipeline(stages=stages).fit(train)
     predictions = model.transform(held_out)
     scored = evaluate(predictions, label, "prediction", None if config.multiclass else "rawPrediction")
-    return TrainedModel(model, predictions, scored, bad)
+    counts = {"n_train": train.count(), "n_held_out": held_out.count(), "n_quarantined": bad.count()}
+    scored = scored.withColumns({k: F.lit(v).cast("bigint") for k, v in counts.items()})
+    return TrainedModel(model, predictions, scored, bad, confusion_table(predictions, label))
+
+
+def confusion_table(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """Rows per label and prediction, nulls included."""
+    return pred.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def classification_metrics(pred: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -263,6 +263,18 @@ def person_frame(spark, d):
     return frames.person_frame(frames.household_frame(_dwellings(spark, d), ["CVEGEO"]), ["CVEGEO"])
 
 
+@query(
+    "persons_add_up",
+    with_("blocks") + " SELECT CVEGEO, sum(POBTOT)::BIGINT AS persons FROM blocks WHERE VIVTOT > 0 GROUP BY CVEGEO HAVING sum(POBTOT) > 0",
+)
+def persons_add_up(spark, d):
+    """Persons of households and those without one are the census count of each key."""
+    dwellings = _dwellings(spark, d)
+    housed = frames.person_frame(frames.household_frame(dwellings, ["CVEGEO"]), ["CVEGEO"]).select("CVEGEO")
+    everyone = housed.unionByName(frames.unhoused_frame(dwellings, ["CVEGEO"]).select("CVEGEO"))
+    return everyone.groupBy("CVEGEO").agg(F.count(F.lit(1)).alias("persons"))
+
+
 @query(
     "enrich_census",
     """WITH b AS (SELECT p_partkey AS block, lpad((p_partkey % 32 + 1)::VARCHAR, 2, '0') AS ent, lpad((p_partkey % 125)::VARCHAR, 3, '0') AS mun FROM part),
@@ -308,6 +320,39 @@ def nearest_k(spark, d):
     )
 
 
+_FAR = """, fc AS (SELECT client, CASE WHEN client % 11 = 0 THEN NULL WHEN client % 13 = 0 THEN 97.5::DOUBLE ELSE lat END AS lat,
+      CASE WHEN client % 17 = 0 THEN NULL ELSE lon + 360 * (client % 3 - 1) END::DOUBLE AS lon FROM clients),
+    fp AS (SELECT pole_id, CASE WHEN pole_id % 7 = 0 THEN NULL WHEN pole_id % 5 = 0 THEN -120.0::DOUBLE ELSE pole_lat END AS pole_lat,
+      (pole_lon + 360 * (pole_id % 3 - 1))::DOUBLE AS pole_lon FROM poles),
+    fr AS (SELECT client, pole_id, round(6371.0::DOUBLE * acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE,
+      sin(radians(lat)) * sin(radians(pole_lat)) + cos(radians(lat)) * cos(radians(pole_lat)) * cos(radians(pole_lon) - radians(lon))))), 3) AS km
+      FROM fc, fp WHERE lat BETWEEN -90 AND 90 AND pole_lat BETWEEN -90 AND 90 AND lon IS NOT NULL)"""
+
+
+@query(
+    "nearest_k_around",
+    with_("clients", "poles")
+    + _FAR
+    + """, fk AS (SELECT client, km, row_number() OVER (PARTITION BY client ORDER BY km) AS rn FROM fr)
+    SELECT fc.client, rn::INT AS place, km FROM fc LEFT JOIN fk ON fk.client = fc.client AND rn <= 3""",
+)
+def nearest_k_around(spark, d):
+    """Longitudes beyond 180 degrees, and points and poles without a place."""
+    c, p = F.col("client"), F.col("pole_id")
+    points = clients(spark, d).select(
+        "client",
+        F.when(c % 11 == 0, None).when(c % 13 == 0, 97.5).otherwise(F.col("lat")).alias("lat"),
+        F.when(c % 17 == 0, None).otherwise(F.col("lon") + 360 * (c % 3 - 1)).alias("lon"),
+    )
+    far = poles(spark, d).select(
+        "pole_id",
+        F.when(p % 7 == 0, None).when(p % 5 == 0, -120.0).otherwise(F.col("pole_lat")).alias("pole_lat"),
+        (F.col("pole_lon") + 360 * (p % 3 - 1)).alias("pole_lon"),
+    )
+    out = proximity.nearest_k(points, far, 3).select("client", F.posexplode_outer("nearest").alias("place", "p"))
+    return out.select("client", (F.col("place") + 1).alias("place"), F.round("p.d", 3).alias("km"))
+
+
 @query(
     "assign_nearest",
     with_("clients", "poles")

@@ -243,20 +243,29 @@ def stream_json_object(spark, d):
 @query(
     "dead_letter",
     """SELECT 'record' AS part, count(*) AS n, sum(event_id)::BIGINT AS total FROM events
-    UNION ALL SELECT 'dead', count(*), sum(length('garbage ' || event_id))::BIGINT FROM events WHERE event_id % 100 = 0""",
+    UNION ALL SELECT 'half', count(*), sum(event_id)::BIGINT FROM events WHERE event_id % 250 = 0
+    UNION ALL SELECT 'dead', sum(n)::BIGINT, sum(size)::BIGINT FROM (
+      SELECT count(*) AS n, sum(length('garbage ' || event_id)) AS size FROM events WHERE event_id % 100 = 0
+      UNION ALL SELECT count(*), sum(length('{"event_id":"bad' || event_id || '"}')) FROM events WHERE event_id % 250 = 0
+      UNION ALL SELECT count(*), sum(length('[{"event_id":1}] tail' || event_id)) FROM events WHERE event_id % 400 = 0)""",
 )
 def dead_letter(spark, d):
     bad = table(spark, d, "events").filter("event_id % 100 = 0").select(
         F.concat(F.lit("garbage "), F.col("event_id").cast("string")).alias("value")
     )
-    payloads = _payloads(spark, d).unionByName(bad)
+    # An array with one sound record, whose id is made negative, and one bad; text after an array.
+    number = F.col("event_id").cast("string")
+    half = table(spark, d, "events").filter("event_id % 250 = 0").select(
+        F.concat(F.lit('[{"event_id":-'), number, F.lit('},{"event_id":"bad'), number, F.lit('"}]')).alias("value")
+    )
+    tail = table(spark, d, "events").filter("event_id % 400 = 0").select(F.concat(F.lit('[{"event_id":1}] tail'), number).alias("value"))
+    payloads = _payloads(spark, d).unionByName(bad).unionByName(half).unionByName(tail)
     inbox, good, dead, state = (scratch(spark, f"dead-{x}") for x in ("in", "good", "dead", "state"))
     files.write_table(payloads, inbox, fmt="text", max_records=200)
     source = ingest.file_stream_source(spark, inbox, "text", max_files=8)
     ingest.finish_all(ingest.start_split(source, EVENT, good, dead, state))
-    records = files.read_table(spark, good).agg(
-        F.lit("record").alias("part"), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total")
-    )
+    part = F.when(F.col("event_id") < 0, "half").when(F.col("event_id") == 0, F.when(F.col("event_type").isNull(), "half").otherwise("record")).otherwise("record")
+    records = files.read_table(spark, good).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.abs("event_id")).alias("total"))
     letters = files.read_table(spark, dead).agg(
         F.lit("dead").alias("part"), F.count(F.lit(1)).alias("n"), F.sum(F.length("payload")).cast("bigint").alias("total")
     )

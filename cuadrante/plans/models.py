@@ -53,6 +53,18 @@ def string_index(spark, d):
     return scoring.string_index(clients(spark, d).select("client", "tier"), "tier")
 
 
+@query(
+    "confusion_table",
+    f"""SELECT (o_orderstatus = 'F')::INT AS label, ({md5_fraction("o_orderkey", salt="c")} < 0.4)::INT AS prediction, count(*) AS n
+    FROM orders GROUP BY 1, 2""",
+)
+def confusion_table(spark, d):
+    guessed = table(spark, d, "orders").select(
+        (F.col("o_orderstatus") == "F").cast("int").alias("late"), (draws.hash_fraction("o_orderkey", salt="c") < 0.4).cast("int").alias("guess")
+    )
+    return scoring.confusion_table(guessed, "late", "guess")
+
+
 @query("feature_assembly")
 def feature_assembly(spark, d):
     out = scoring.features(training_frame(spark, d), FEATURES, "skip")

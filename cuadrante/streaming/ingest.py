@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,16 +61,30 @@ def parse_json_object(df: DataFrame, schema: StructType, col: str = "value") ->
 
 
 def split_corrupt(df: DataFrame, schema: StructType, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Records of the good payloads, and the payloads that are not JSON.
+    """The good records, and what is not one: payloads that are not JSON from end to
+    end, and single records with a field of another type than the schema's.
 
-    Dead letters keep the raw text under ``payload``.  Null payloads are neither.
+    Dead letters keep the raw text under ``payload``, of the payload or of the one
+    record; the other records of its payload stay.  Null payloads are neither.
     """
-    parsed = df.select(_payload(col).alias("payload")).withColumn(
-        "_records", F.from_json("payload", ArrayType(schema))
+    strings = "array<string>"
+    raw = df.select(_payload(col).alias("payload")).filter("payload IS NOT NULL")
+    # Within brackets the payload must be one value: text after it makes the whole invalid.
+    outer = F.from_json(F.concat(F.lit("["), F.col("payload"), F.lit("]")), strings)
+    whole = F.coalesce((F.size(outer) == 1) & F.ltrim("payload").rlike(r"^[\[{]"), F.lit(False))
+    each = F.when(F.ltrim("payload").startswith("["), F.from_json("payload", strings)).otherwise(F.array("payload"))
+    records = raw.select(F.explode(F.when(whole, each).otherwise(F.array("payload"))).alias("payload"), whole.alias("_whole"))
+    parsed = records.select(
+        F.coalesce("payload", F.lit("null")).alias("payload"),
+        "_whole",
+        F.from_json("payload", schema).alias("_record"),
+        F.from_json("payload", "map<string,string>").alias("_texts"),
     )
-    good = parsed.select(F.explode("_records").alias("data")).select("data.*")
-    bad = parsed.filter(F.col("_records").isNull() & F.col("payload").isNotNull()).select("payload")
-    return good, bad
+    # A field that has a text but no value is of another type.
+    lost = [F.col("_texts")[f.name].isNotNull() & F.col(f"_record.{f.name}").isNull() for f in schema.fields]
+    sound = F.col("_whole") & F.col("_texts").isNotNull() & ~reduce(lambda x, y: x | y, lost)
+    sound = F.coalesce(sound, F.lit(False))
+    return parsed.filter(sound).select("_record.*"), parsed.filter(~sound).select("payload")
 
 
 def stamp(df: DataFrame, batch_id) -> DataFrame:

@@ -106,3 +106,12 @@ def test_busy_cells_are_split(data, monkeypatch, array_poles):
     monkeypatch.setattr(proximity, "BUSY", 3)
     got = found(proximity.nearest_k(p, q, 3, level=5, array_poles=array_poles))
     assert got == brute(points, poles, 3)
+
+
+@pytest.mark.parametrize("array_poles", [0, 20_000])
+def test_the_globe_is_round(spark, array_poles):
+    """Both ways to find candidates agree on longitudes past 180 and odd places."""
+    points = spark.createDataFrame([(1, 0.0, -179.0), (2, 0.0, 541.0), (3, None, 5.0), (4, 91.0, 5.0), (5, 90.0, 180.0)], "id int, lat double, lon double")
+    poles = spark.createDataFrame([(1, 0.0, -190.0), (2, 0.0, 0.0), (3, -95.0, -179.0), (4, None, -179.0), (5, 0.0, 181.5)], "pole_id int, pole_lat double, pole_lon double")
+    got = {r["id"]: [p["id"] for p in r["nearest"]] for r in proximity.nearest_k(points, poles, 2, array_poles=array_poles).collect()}
+    assert got[1] == got[2] == [5, 1] and got[3] == got[4] == [] and len(got[5]) == 2

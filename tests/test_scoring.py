@@ -48,7 +48,9 @@ def test_features_can_refuse_nulls(frame):
 
 
 def test_segments(frame):
-    assert scoring.segment(frame, ["x", "y"], k=3).select("segment").distinct().count() == 3
+    found = scoring.segment(frame, ["x", "y"], k=3)
+    assert found.count() == frame.count() and found.filter("segment IS NOT NULL").select("segment").distinct().count() == 3
+    assert found.filter("(x IS NULL OR y IS NULL) <> (segment IS NULL)").count() == 0
 
 
 def test_split_is_the_same_every_time(frame):
