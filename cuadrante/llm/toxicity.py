@@ -25,6 +25,7 @@ PER_LABEL = 6_000  # labelled documents of either label in the index, about
 TERMS = 512
 MIN_EXAMPLES = 5  # documents of the sample that must hold a term
 MIN_CHI2 = 24.0  # one in a million by chance, as there are very many terms
+MIN_ODDS = 4.0  # by how much a term must raise or lower the odds of label 1
 BEGINNINGS = (4, 5)  # bytes of a longer word that are a term of their own
 K = 25
 BLOCK = 64
@@ -196,7 +197,13 @@ def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, ma
     by_term = held.groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     chi2 = n * F.pow(a * (neg - b) - b * (pos - a), F.lit(2)) / ((a + b) * (n - a - b) * float(pos) * float(neg))
-    telling = by_term.filter(a + b >= MIN_EXAMPLES).filter(a + b < n).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2) if pos and neg else by_term.limit(0).withColumn("chi2", F.lit(0.0))
+    # Common words can be significant in a large sample and still tell next to nothing.
+    odds = (a + 0.5) * (neg - b + 0.5) / ((b + 0.5) * (pos - a + 0.5))
+    if pos and neg:
+        telling = by_term.filter((a + b >= MIN_EXAMPLES) & (a + b < n)).filter((odds >= MIN_ODDS) | (odds <= 1 / MIN_ODDS))
+        telling = telling.withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
+    else:
+        telling = by_term.limit(0).withColumn("chi2", F.lit(0.0))
     terms = np.sort(np.array([r["term"] for r in telling.orderBy(F.desc("chi2"), "term").limit(max_terms).collect()], np.int64))
     idf = np.log((docs.count() + 1) / (document_counts(docs, terms) + 1)) if len(terms) else np.empty(0)
     chosen = spark.createDataFrame([(int(t), k) for k, t in enumerate(terms)], "term long, t int")
