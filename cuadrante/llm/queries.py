@@ -12,6 +12,7 @@ from cuadrante.llm.common import held_out
 from cuadrante.llm.exact_dedup import exact_dedup
 from cuadrante.llm.host_rules import host_rules
 from cuadrante.llm.language import fit_languages, identify
+from cuadrante.llm.line_dedup import line_dedup
 from cuadrante.llm.near_dedup import near_dedup
 from cuadrante.llm.packing import pack, token_pieces
 from cuadrante.llm.quality import fit_quality, score_quality
@@ -78,6 +79,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that ten sites or more share."""
+    out = line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def languages_of(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     """Languages of ``docs`` by a model learned from the documents in ``sf_dir``."""
     return identify(docs, fit_languages(table(spark, sf_dir, "documents").filter(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", "text", "lang")))
@@ -103,7 +110,8 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_ftrl": op6_quality_ftrl,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_line_dedup": op8_line_dedup,
     "op9_language_ecoc": op9_language_ecoc,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES = {"op1_near_dedup": sql.NEAR_DEDUP, "op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP}
+ORACLES = {"op8_line_dedup": sql.LINE_DEDUP, "op1_near_dedup": sql.NEAR_DEDUP, "op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP}

@@ -49,3 +49,14 @@ comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, comp.component_id, d.doc_id = comp.component_id AS kept
 FROM documents d JOIN comp ON comp.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
+
+LINE_DEDUP = """
+WITH t AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, source, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM t),
+k AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS bare FROM l),
+shared AS (SELECT bare FROM k WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10),
+m AS (SELECT k.*, shared.bare IS NOT NULL AS gone FROM k LEFT JOIN shared ON shared.bare = k.bare)
+SELECT doc_id, count(*) FILTER (bare <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS text_sha256
+FROM m GROUP BY doc_id
+"""
