@@ -26,9 +26,9 @@ CAPACITY = 4096
 END_ID = 1
 NODES = 30_000  # of the search; the incumbent at its end is used
 FILLINGS = 6  # tried at a node
-CACHED_WORDS = 900_000  # kept by a worker, some 200 MB
+CACHED_WORDS = 500_000  # kept by a worker, some 110 MB
 CACHED_CHARS = 32
-DOCS = 1000  # encoded at once
+DOCS = 600  # encoded at once
 
 Pattern = tuple[tuple[int, int], ...]  # (length, copies) of one sequence, longest first
 

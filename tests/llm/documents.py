@@ -1,3 +1,5 @@
+"""A fixture that makes documents."""
+
 import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"

@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from documents import frame  # noqa: F401
+
 from cuadrante.llm.exact_dedup import exact_dedup
 from cuadrante.llm.near_dedup import _linked, near_dedup
 from cuadrante.llm.words import SLICE, text_words

@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from documents import frame  # noqa: F401
+
 from cuadrante.llm import language, linear, quality, toxicity
 from cuadrante.llm.common import held_out
 

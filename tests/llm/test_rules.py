@@ -5,6 +5,8 @@ import re
 
 from pyspark.sql import functions as F
 
+from documents import frame  # noqa: F401
+
 from cuadrante.llm.host_rules import host_rates, host_rules
 
 
@@ -48,3 +50,24 @@ def test_rates_shrink(spark):
     assert abs(got["a"] - 0.1) < 0.01 and abs(got["b"] - 0.5) < 0.01 and 0.3 < got["c"] < 1
     alike = flags.filter("h <> 'c'").withColumn("f", F.lit(False))
     assert {r["host_rate"] for r in host_rates(alike, "h", "f").collect()} == {0.0}
+
+
+def test_shared_lines(frame):
+    from cuadrante.llm.line_dedup import line_dedup
+
+    rows = [(i, f"own {i}\n  Share this page \n\nbody {i}\nmany copies", "en", f"site{i % 12}") for i in range(40)]
+    rows += [(100 + i, "nine sites\nrest", "en", f"site{i % 9}") for i in range(30)] + [(200 + i, "ten sites\nten sites", "en", f"site{i}") for i in range(10)]
+    rows += [(300, "Share this page", "en", None), (301, None, "en", "site1"), (302, "", "en", "site1"), (303, "\t\n \n", None, None), (None, "many copies\nx", "en", "site3"), (304, "alone\n" * 5, "en", "s"), (304, "alone\n" * 5, "en", "s")]
+    sites = {}
+    for _, t, _, s in rows:
+        for line in (t or "").split("\n"):
+            if line.strip(" \t\r\x0b\x0c") and s:
+                sites.setdefault(line.strip(" \t\r\x0b\x0c"), set()).add(s)
+    want = []
+    for i, t, *_ in rows:
+        lines = (t or "").split("\n")
+        left = [x for x in lines if len(sites.get(x.strip(" \t\r\x0b\x0c"), ())) < 10]
+        want.append((i, "\n".join(left), sum(bool(x.strip(" \t\r\x0b\x0c")) for x in lines), len(lines) - len(left)))
+    got = [(r["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in line_dedup(frame(rows)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert line_dedup(frame([])).count() == 0

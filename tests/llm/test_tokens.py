@@ -10,6 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from documents import frame  # noqa: F401
+
 from cuadrante.llm.byte_bpe import decode_documents, encode_documents, read_ranks, words_of
 from cuadrante.llm.packing import best_fit, complete_bins, pack, token_pieces
 
