@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuadrante.operators.ranking import HOT_ROWS, row_numbers
@@ -30,16 +30,31 @@ def apportion_remainder(
     are split evenly.  The quotas of a group always add up to its total.
     """
     by = [by] if isinstance(by, str) else list(by)
-    numbered = row_numbers(df, by, order_by, "_rn", hot_rows)
-    sized = with_group_totals(
-        numbered, by, [F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("_n")]
-    )
+    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > F.lit(hot_rows))
+    group, cold = Window.partitionBy(*by), hot.isEmpty()
+    if cold:  # numbers and sums of a group in one shuffle
+        order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+        sized = df.withColumns(
+            {
+                "_rn": F.row_number().over(group.orderBy(*order)).cast("bigint"),
+                "_w": F.sum(weight).over(group),
+                "_n": F.count(F.lit(1)).over(group),
+            }
+        )
+    else:
+        numbered = row_numbers(df, by, order_by, "_rn", hot_rows)
+        sized = with_group_totals(
+            numbered, by, [F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("_n")]
+        )
     t, w = F.col(total).cast("double"), F.coalesce(F.col(weight), F.lit(0))
     base = F.floor(
         F.when(F.col("_w") > 0, t * w / F.col("_w")).otherwise(t / F.col("_n"))
     ).cast("bigint")
     based = sized.withColumn(name, base)
-    rest = with_group_totals(based, by, [F.sum(name).alias("_given")])
+    if cold:
+        rest = based.withColumn("_given", F.sum(name).over(group))
+    else:
+        rest = with_group_totals(based, by, [F.sum(name).alias("_given")])
     extra = F.when(F.col("_rn") <= F.col(total) - F.col("_given"), F.lit(1)).otherwise(F.lit(0))
     return rest.withColumn(name, F.col(name) + extra).drop("_rn", "_w", "_n", "_given")
 
