@@ -11,6 +11,7 @@ import base64
 import hashlib
 import json
 import re
+import struct
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +28,9 @@ from cuadrante.session import pin
 BUCKETS = 1 << 16  # of the rank map, so that a look-up does not scan all of it
 KEPT_WORDS = 1 << 19
 KEPT_CHARS = 64  # longer words are never kept, which bounds what is broadcast
-TAIL_WORDS = 300_000  # other words a worker keeps
+TAIL_WORDS = 400_000  # other words a worker keeps
+LONG_BYTES = 500
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 LONG_WORD = 48  # pieces from which neighbouring equal merges are told apart in one pass
 DOCS = 250  # encoded at once
 
@@ -168,6 +171,26 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one word by the same rule as ``fold_merges``."""
     if word in ranks:
         return [ranks[word]]
+    if len(word) > LONG_BYTES:
+        return _merge_long(word, ranks)
+    find, none = ranks.get, len(ranks) + 1
+    at = list(range(len(word) + 1))  # where pieces start
+    pair = [find(word[i : i + 2], none) for i in range(len(word) - 1)]
+    while pair:
+        least = min(pair)
+        if least == none:
+            break
+        k = pair.index(least)
+        del at[k + 1], pair[k]
+        if k < len(pair):
+            pair[k] = find(word[at[k] : at[k + 2]], none)
+        if k:
+            pair[k - 1] = find(word[at[k - 1] : at[k + 1]], none)
+    return [ranks[word[i:j]] for i, j in zip(at, at[1:])]
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """All pairs of the least rank in one pass, so that long words take few passes."""
     pieces = [word[i : i + 1] for i in range(len(word))]
     while len(pieces) > 1:
         found = [ranks.get(a + b) for a, b in zip(pieces, pieces[1:])]
@@ -175,7 +198,7 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         if least is None:
             break
         after, i = [], 0
-        while i < len(pieces):  # all pairs of that rank, from the left
+        while i < len(pieces):
             if i < len(found) and found[i] == least:
                 after.append(pieces[i] + pieces[i + 1])
                 i += 2
@@ -209,12 +232,19 @@ class _Words:
         return cls.made[name]
 
     def rest(self, word: str) -> bytes:
-        ids = [i for m in self.pattern.findall(word) for i in merge(m.encode(), self.ranks)]
-        out = np.array(ids, "<u4").tobytes()
+        parts = self.pattern.findall(word)
+        if len(parts) > 1:  # a word and what clings to it: often known apart
+            out = b"".join([self.known.get(m) or self._merged(m) for m in parts])
+        else:
+            out = self._merged(word)
         if len(self.known) < self.room and len(word) <= KEPT_CHARS:
             self.known[word] = out
         return out
 
+    def _merged(self, part: str) -> bytes:
+        ids = merge(part.encode(), self.ranks)
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
+
     def encode(self, text: str) -> bytes:
         words = words_of(text)
         found = list(map(self.known.get, words))
