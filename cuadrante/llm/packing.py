@@ -92,6 +92,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
     schema, end = pa.schema(fields), np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # of earlier stages in this worker
         encoder = _Encoder.of(tokenizer)
         for batch in batches:
             for part in (batch.slice(at, DOCS) for at in range(0, batch.num_rows, DOCS)):
