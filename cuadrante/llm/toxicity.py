@@ -1,10 +1,12 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words (runs of letters, A-Z made lower) and word beginnings that a chi-square
-test on the sample of labelled documents finds telling.  Their document frequencies are counted over the
-whole corpus.  The examples' postings are cut into blocks whose largest weights bound
-what any example in a block can score; a query opens blocks in the order of their
-bounds and stops when no closed block can still reach its nearest ``K``.
+Terms are words (runs of letters, A-Z made lower) and word beginnings.  Every term of
+the sample of labelled documents is indexed.  Document frequencies are counted over the
+whole corpus; how surely a term tells the labels apart raises its weight and never
+takes a term out.  The postings of terms that many examples hold are cut into blocks
+whose largest weights bound what any example in a block can score; those of the other
+terms are few and summed at once.  A query opens blocks in the order of their bounds
+and stops when no closed block can still reach its nearest ``K``.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +25,9 @@ from cuadrante.llm.words import mix, text_bytes, text_words, word_spans
 from cuadrante.session import pin
 
 PER_LABEL = 6_000  # labelled documents of either label in the index, about
-TERMS = 512
-MIN_EXAMPLES = 5  # documents of the sample that must hold a term
-MIN_CHI2 = 24.0  # one in a million by chance, as there are very many terms
-MIN_ODDS = 4.0  # by how much a term must raise or lower the odds of label 1
+FLOOR = 0.05  # weight of a term that may tell nothing
+SURE = 3.0  # standard errors taken off a term's log odds ratio
+FEW = 16  # terms that no more examples hold have no blocks
 BEGINNINGS = (4, 5)  # bytes of a longer word that are a term of their own
 K = 25
 BLOCK = 64
@@ -56,8 +58,10 @@ def terms_of(b: np.ndarray) -> np.ndarray:
 class Index(NamedTuple):
     """Labelled examples as blocked postings.
 
-    ``terms`` (ascending hashes) have ``idf``; ``start[t, b]:start[t, b + 1]`` are the postings
-    of term t in block b; ``ceiling[t, b]`` is the largest weight among them.
+    ``terms`` (ascending hashes) have ``idf``; ``start[r, b]:start[r, b + 1]`` are the postings
+    of row r in block b; ``ceiling[r, b]`` is the largest weight among them.  ``row`` has
+    the row of each term, -1 for terms without blocks, and ``first[t]:first[t + 1]`` all
+    postings of term t; without ``row`` each term is its own row.
     """
 
     terms: np.ndarray
@@ -71,6 +75,8 @@ class Index(NamedTuple):
     prior: float
     slope: float
     shift: float
+    row: np.ndarray | None = None
+    first: np.ndarray | None = None
 
 
 def vector(terms: np.ndarray, idf: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,32 +96,49 @@ def nearest(index: Index, at: np.ndarray, w: np.ndarray, k: int = K, without: in
     smaller place.  ``without`` leaves one example out."""
     if not len(at):
         return np.empty(0, np.int64), np.empty(0)
-    bound = w @ index.ceiling[at]
+    own = np.zeros(len(index.label))  # what terms without blocks add
+    if index.row is not None:
+        few = index.row[at] < 0
+        own = _sums(index, index.first[at[few]], index.first[at[few] + 1], w[few])
+        at, w = index.row[at[~few]], w[~few]
+    bound = w @ index.ceiling[at] + np.maximum.reduceat(own, np.arange(0, len(own), BLOCK))
     order = np.argsort(-bound, kind="stable")
     order = order[bound[order] > 0]
     who, score, least, opened = np.empty(0, np.int64), np.empty(0), 0.0, 0
     while opened < len(order) and bound[order[opened]] >= least - 1e-12:
         # The most promising blocks first; then all that can still reach the k-th.
         last = opened + FIRST_BLOCKS if not opened else int(np.searchsorted(-bound[order], -(least - 1e-12), side="right"))
-        hit, got = _scores(index, at, w, order[opened:last])
+        hit, got = _scores(index, at, w, order[opened:last], own)
         opened = max(last, opened + 1)
         hit, got = (hit[hit != without], got[hit != without]) if without >= 0 else (hit, got)
         who, score = np.concatenate([who, hit]), np.concatenate([score, got])
-        best = np.lexsort((who, -np.round(score, 12)))[:k]
+        score = np.round(score, 12)
+        if len(who) > k:  # sort only what can be among the k
+            can = score >= np.partition(score, -k)[-k]
+            who, score = who[can], score[can]
+        best = np.lexsort((who, -score))[:k]
         who, score = who[best], score[best]
         least = score[-1] if len(who) == k else 0.0
     return who, score
 
 
-def _scores(index: Index, at: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The examples of ``blocks`` that share a term with the query, and their cosines."""
-    first, last = index.start[np.ix_(at, blocks)].ravel(), index.start[np.ix_(at, blocks + 1)].ravel()
+def _sums(index: Index, first: np.ndarray, last: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """For each example, the weights of its postings in the given runs times ``w``."""
     n = last - first
     ends = np.cumsum(n)
-    posting = np.arange(ends[-1]) + np.repeat(first - (ends - n), n)
-    part = np.repeat(np.repeat(w, len(blocks)), n) * index.weight[posting]
-    cosine = np.bincount(index.example[posting], part, len(index.label))
-    who = np.flatnonzero(cosine)
+    posting = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - n), n)
+    return np.bincount(index.example[posting], np.repeat(w, n) * index.weight[posting], len(index.label))
+
+
+def _scores(index: Index, at: np.ndarray, w: np.ndarray, blocks: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The examples of ``blocks`` that share a term with the query, and their cosines."""
+    if 2 * len(blocks) > index.ceiling.shape[1]:  # long runs are read faster than many short ones
+        cosine = own + _sums(index, index.start[at, 0], index.start[at, -1], w)
+    else:
+        cosine = own + _sums(index, index.start[np.ix_(at, blocks)].ravel(), index.start[np.ix_(at, blocks + 1)].ravel(), np.repeat(w, len(blocks)))
+    inside = np.zeros(index.ceiling.shape[1], bool)
+    inside[blocks] = True
+    who = np.flatnonzero((cosine > 0) & np.repeat(inside, BLOCK)[: len(cosine)])
     return who, cosine[who]
 
 
@@ -143,17 +166,13 @@ def _calibrate(votes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[fl
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, label, term, n) of the drawn documents."""
+    """(doc_id, label, terms, ns) of the drawn documents."""
     for batch in batches:
         for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
-            ids, labels, terms, ns = [], [], [], []
-            for i, y, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), text_bytes(part.column(2))):
-                t, n = np.unique(terms_of(b), return_counts=True)
-                ids.append(np.full(len(t), i))
-                labels.append(np.full(len(t), y, np.int32))
-                terms.append(t)
-                ns.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), kind) for x, kind in ((ids, pa.int64()), (labels, pa.int32()), (terms, pa.int64()), (ns, pa.int64()))], names=["doc_id", "label", "term", "n"])
+            found = [np.unique(terms_of(b), return_counts=True) for b in text_bytes(part.column(2))]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array([t for t, _ in found], pa.list_(pa.int64())), pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))], names=["doc_id", "label", "terms", "ns"]
+            )
 
 
 def document_counts(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
@@ -169,7 +188,8 @@ def document_counts(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
                 at = np.searchsorted(known, found)
                 at[at == len(known)] = 0
                 total[np.unique(at[known[at] == found])] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(known), dtype=np.int32)), pa.array(total)], names=["t", "n"])
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["t", "n"])
 
     got = docs.select("text").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(terms), np.int64)
@@ -177,64 +197,68 @@ def document_counts(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, max_terms: int = TERMS) -> Index:
-    """An index of about ``per_label`` labelled documents of either label.
+def _telling(a: np.ndarray, b: np.ndarray, pos: int, neg: int) -> np.ndarray:
+    """Weights of terms that ``a`` of ``pos`` and ``b`` of ``neg`` examples hold: the size of
+    the log odds ratio less ``SURE`` standard errors, and ``FLOOR`` for any term."""
+    if not pos or not neg:
+        return np.ones(len(a))
+    a, b, no_a, no_b = a + 0.5, b + 0.5, pos - a + 0.5, neg - b + 0.5
+    return FLOOR + np.maximum(0, np.abs(np.log(a * no_b / (b * no_a))) - SURE * np.sqrt(1 / a + 1 / b + 1 / no_a + 1 / no_b))
+
+
+def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Index:
+    """An index of about ``per_label`` labelled documents of either label by all their terms.
 
     ``docs`` is (doc_id, text), ``labels`` (doc_id, label 0 or 1).  Null ids and labels
     are left out; an id with several labels counts with the largest.  The frequencies of
     the terms are those of all ``docs``.
     """
-    spark = docs.sparkSession
     labels = labels.select("doc_id", F.col("label").cast("int").alias("label"))
     everyone = {r["label"]: r["n"] for r in labels.filter("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two labels
     sample = linear.draw_sample(labels, "label", per_label)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
-    held = pin(rows.mapInArrow(_term_rows, "doc_id long, label int, term long, n long"))
+    got = rows.mapInArrow(_term_rows, "doc_id long, label int, terms array<long>, ns array<int>").toArrow().combine_chunks().sort_by("doc_id")  # bounded by the sample
     drawn = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = drawn.get(1, 0), drawn.get(0, 0)
-    n = pos + neg
-    # Chi-square of holding the term against the label, in a two by two table.
-    by_term = held.groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    chi2 = n * F.pow(a * (neg - b) - b * (pos - a), F.lit(2)) / ((a + b) * (n - a - b) * float(pos) * float(neg))
-    # Common words can be significant in a large sample and still tell next to nothing.
-    odds = (a + 0.5) * (neg - b + 0.5) / ((b + 0.5) * (pos - a + 0.5))
-    if pos and neg:
-        telling = by_term.filter((a + b >= MIN_EXAMPLES) & (a + b < n)).filter((odds >= MIN_ODDS) | (odds <= 1 / MIN_ODDS))
-        telling = telling.withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
-    else:
-        telling = by_term.limit(0).withColumn("chi2", F.lit(0.0))
-    terms = np.sort(np.array([r["term"] for r in telling.orderBy(F.desc("chi2"), "term").limit(max_terms).collect()], np.int64))
-    idf = np.log((docs.count() + 1) / (document_counts(docs, terms) + 1)) if len(terms) else np.empty(0)
-    chosen = spark.createDataFrame([(int(t), k) for k, t in enumerate(terms)], "term long, t int")
-    got = held.join(F.broadcast(chosen), "term").select("doc_id", "label", "t", "n").toArrow()  # bounded by the sample and its telling terms
-    doc, label, t, tf = (got[c].to_numpy() for c in ("doc_id", "label", "t", "n"))
-    w = (1 + np.log(tf)) * idf[t] if len(t) else np.empty(0)
-    ids, place = np.unique(doc, return_inverse=True)
-    norm = np.sqrt(np.bincount(place, w * w, len(ids)))
-    w = w / norm[place] if len(w) else w
+    got = got.filter(pc.greater(pc.list_value_length(got["terms"]), 0)).combine_chunks()
+    names, y = got["doc_id"].to_numpy(), got["label"].to_numpy().astype(np.int64)
+    n = pc.list_value_length(got["terms"]).to_numpy()
+    place = np.repeat(np.arange(len(y), dtype=np.int32), n)
+    terms, t = np.unique(pc.list_flatten(got["terms"]).to_numpy(), return_inverse=True)
+    t, tf = t.astype(np.int32), pc.list_flatten(got["ns"]).to_numpy()
+    del got
+    in_pos = np.bincount(t[y[place] == 1], minlength=len(terms))
+    in_neg = np.bincount(t[y[place] == 0], minlength=len(terms))
+    idf = np.log((docs.count() + 1) / (document_counts(docs, terms) + 1)) * _telling(in_pos, in_neg, pos, neg) if len(terms) else np.empty(0)
+    w = (1 + np.log(tf)) * idf[t]
+    norm = np.sqrt(np.bincount(place, w * w, len(y)))
+    w /= np.where(norm > 0, norm, 1)[place]
     # Examples with the same heaviest term lie together, so blocks are told apart.
-    top = np.zeros(len(ids), np.int64)
-    by_weight = np.lexsort((t, w))
-    top[place[by_weight]] = t[by_weight]
-    rank = np.empty(len(ids), np.int64)
-    rank[np.lexsort((ids, top))] = np.arange(len(ids))
-    place = rank[place]
-    y, names = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-    y[place], names[place] = label, doc
-    order = np.lexsort((place, t))
+    heaviest = np.flatnonzero(w == np.maximum.reduceat(w, np.cumsum(n) - n)[place]) if len(w) else np.empty(0, np.int64)
+    _, at = np.unique(place[heaviest], return_index=True)
+    by_top = np.lexsort((names, t[heaviest[at]]))
+    rank = np.empty(len(y), np.int32)
+    rank[by_top] = np.arange(len(y))
+    names, y, place = names[by_top], y[by_top], rank[place]
+    order = np.argsort(t * np.int64(len(y)) + place)
     t, place, w = t[order], place[order], w[order]
-    ceiling = np.zeros((len(terms), (len(ids) + BLOCK - 1) // BLOCK))
-    np.maximum.at(ceiling, (t, place // BLOCK), w)
+    del order
+    first = np.searchsorted(t, np.arange(len(terms) + 1)).astype(np.int32)
+    many = np.flatnonzero(np.diff(first) > FEW)
+    row = np.full(len(terms), -1, np.int32)
+    row[many] = np.arange(len(many))
+    blocks = (len(y) + BLOCK - 1) // BLOCK
+    ceiling = np.zeros((len(many), blocks))
+    in_row = row[t] >= 0
+    np.maximum.at(ceiling, (row[t[in_row]], place[in_row] // BLOCK), w[in_row])
+    edges = many[:, None] * (blocks + 1) + np.arange(blocks + 1)
+    start = np.searchsorted(t * np.int64(blocks + 1) + place // BLOCK, edges).astype(np.int32)
     share = everyone.get(1, 0) / max(1, sum(everyone.values()))
-    blocks = ceiling.shape[1]
-    edges = np.arange(len(terms))[:, None] * (blocks + 1) + np.arange(blocks + 1)
-    start = np.searchsorted(t * (blocks + 1) + place // BLOCK, edges)
-    index = Index(terms, idf, start, place, w, ceiling, y, names, share, 1.0, 0.0)
+    index = Index(terms, idf, start, place, w, ceiling, y, names, share, 1.0, 0.0, row, first)
     # Votes of each example by the others, weighted back to the labels' own shares; the
-    # sampled texts without a telling term vote as the prior does.
+    # sampled texts without a term vote as the prior does.
     by_example = np.lexsort((t, place))
-    edge = np.searchsorted(place[by_example], np.arange(len(ids) + 1))
+    edge = np.searchsorted(place[by_example], np.arange(len(y) + 1))
     votes = [vote(index, *nearest(index, t[by_example[s:e]], w[by_example[s:e]], without=j)) for j, (s, e) in enumerate(zip(edge[:-1], edge[1:]))]
     silent = [pos - int(y.sum()), neg - int((1 - y).sum())]
     votes = np.array(votes + [vote(index, np.empty(0, np.int64), np.empty(0))] * 2)
@@ -251,8 +275,8 @@ def score_toxicity(docs: DataFrame, index: Index, k: int = K, carry: tuple[str,
     """``carry``, ``score`` (the chance of label 1) and ``evidence``: the ids, labels and
     cosines of the three nearest examples.
 
-    Texts that are null, empty or without a telling term have no neighbours; they are
-    scored by the prior alone.
+    Texts that are null, empty or without a term of any example have no neighbours; they
+    are scored by the prior alone.
     """
     sent = docs.sparkSession.sparkContext.broadcast(index)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)

@@ -125,3 +125,29 @@ def test_toxicity_without_labels(toxic, spark):
     docs, _, _ = toxic
     none = toxicity.fit_index(docs, spark.createDataFrame([], "doc_id long, label int"))
     assert all(r["score"] < 0.01 for r in toxicity.score_toxicity(docs, none).collect())
+
+
+def test_toxicity_of_words_that_one_example_holds(frame, spark):
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, EN, 40) + (" scum vile" if i % 5 == 0 else "")) for i in range(300)] + [(300, "grobbul snarvik zuzzle wemmit"), (301, "snarvik wemmit grobbul quendle")]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(301)], "doc_id long, label int")
+    docs = frame(rows)
+    index = toxicity.fit_index(docs, labels)
+    assert len(index.doc_id) == 301
+    out = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, index).collect()}
+    assert [(e["doc_id"], e["label"]) for e in out[301]["evidence"]] == [(300, 1)]
+    assert all(r["evidence"] for r in out.values())
+
+
+def test_nearest_of_a_fitted_index_is_exact(toxic, spark, monkeypatch):
+    docs, _, rows = toxic
+    monkeypatch.setattr(toxicity, "FEW", 100)
+    index = toxicity.fit_index(docs, spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id long, label int"))
+    assert (index.row < 0).any() and (index.row >= 0).any()
+    dense = np.zeros((len(index.label), len(index.terms)))
+    dense[index.example, np.repeat(np.arange(len(index.terms)), np.diff(index.first))] = index.weight
+    for i in range(0, 600, 7):
+        at, w = toxicity.vector(index.terms, index.idf, toxicity.terms_of(np.frombuffer(rows[i][1].encode(), np.uint8)))
+        full = dense[:, at] @ w
+        who, cosine = toxicity.nearest(index, at, w, 25)
+        assert np.allclose(cosine, np.sort(full)[::-1][:25]) and np.allclose(full[who], cosine)
