@@ -61,7 +61,8 @@ class Index(NamedTuple):
     ``terms`` (ascending hashes) have ``idf``; ``start[r, b]:start[r, b + 1]`` are the postings
     of row r in block b; ``ceiling[r, b]`` is the largest weight among them.  ``row`` has
     the row of each term, -1 for terms without blocks, and ``first[t]:first[t + 1]`` all
-    postings of term t; without ``row`` each term is its own row.
+    postings of term t; without ``row`` each term is its own row.  With the counts ``tf``
+    only what the rest follows from is sent to the tasks.
     """
 
     terms: np.ndarray
@@ -77,6 +78,44 @@ class Index(NamedTuple):
     shift: float
     row: np.ndarray | None = None
     first: np.ndarray | None = None
+    tf: np.ndarray | None = None
+
+    def __reduce__(self):
+        if self.tf is None:
+            return Index, tuple(self)
+        example = self.example.astype(np.min_scalar_type(len(self.label)))
+        return opened, (self.terms, self.idf, example, self.tf, self.first, self.label, self.doc_id, self.prior, self.slope, self.shift)
+
+
+def _weights(t: np.ndarray, place: np.ndarray, tf: np.ndarray, idf: np.ndarray, examples: int) -> np.ndarray:
+    """Weights of postings, of length 1 by example."""
+    w = np.log(tf, dtype=np.float64)
+    w += 1
+    w *= idf[t]
+    norm = np.sqrt(np.bincount(place, w * w, examples))
+    w /= np.where(norm > 0, norm, 1)[place]
+    return w
+
+
+def opened(terms: np.ndarray, idf: np.ndarray, example: np.ndarray, tf: np.ndarray, first: np.ndarray, label: np.ndarray, doc_id: np.ndarray, prior: float, slope: float, shift: float) -> Index:
+    """The index with the weights, blocks and ceilings of its postings, which are in the
+    order of term and example."""
+    t = np.repeat(np.arange(len(terms), dtype=np.int32), np.diff(first))
+    example = example.astype(np.int32)
+    w = _weights(t, example, tf, idf, len(label))
+    many = np.flatnonzero(np.diff(first) > FEW)
+    row = np.full(len(terms), -1, np.int32)
+    row[many] = np.arange(len(many))
+    blocks = (len(label) + BLOCK - 1) // BLOCK
+    place = t * np.int64(blocks + 1) + example // BLOCK
+    start = np.searchsorted(place, many[:, None] * (blocks + 1) + np.arange(blocks + 1)).astype(np.int32)
+    ceiling = np.zeros((len(many), blocks))
+    runs = np.flatnonzero(np.diff(place, prepend=-1)) if len(place) else np.empty(0, np.int64)
+    if len(runs):
+        most, at = np.maximum.reduceat(w, runs), place[runs]
+        in_row = row[at // (blocks + 1)] >= 0
+        ceiling[row[at[in_row] // (blocks + 1)], at[in_row] % (blocks + 1)] = most[in_row]
+    return Index(terms, idf, start, example, w, ceiling, label, doc_id, prior, slope, shift, row, first, tf)
 
 
 def vector(terms: np.ndarray, idf: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +256,8 @@ def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) ->
     everyone = {r["label"]: r["n"] for r in labels.filter("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two labels
     sample = linear.draw_sample(labels, "label", per_label)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
-    got = rows.mapInArrow(_term_rows, "doc_id long, label int, terms array<long>, ns array<int>").toArrow().combine_chunks().sort_by("doc_id")  # bounded by the sample
+    rows = pin(rows)
+    got = rows.mapInArrow(_term_rows, "doc_id long, label int, terms array<long>, ns array<int>").toArrow()  # bounded by the sample
     drawn = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = drawn.get(1, 0), drawn.get(0, 0)
     got = got.filter(pc.greater(pc.list_value_length(got["terms"]), 0)).combine_chunks()
@@ -225,14 +265,13 @@ def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) ->
     n = pc.list_value_length(got["terms"]).to_numpy()
     place = np.repeat(np.arange(len(y), dtype=np.int32), n)
     terms, t = np.unique(pc.list_flatten(got["terms"]).to_numpy(), return_inverse=True)
-    t, tf = t.astype(np.int32), pc.list_flatten(got["ns"]).to_numpy()
+    tf = pc.list_flatten(got["ns"]).to_numpy()
+    t, tf = t.astype(np.int32), tf.astype(np.min_scalar_type(tf.max(initial=0)))
     del got
     in_pos = np.bincount(t[y[place] == 1], minlength=len(terms))
     in_neg = np.bincount(t[y[place] == 0], minlength=len(terms))
     idf = np.log((docs.count() + 1) / (document_counts(docs, terms) + 1)) * _telling(in_pos, in_neg, pos, neg) if len(terms) else np.empty(0)
-    w = (1 + np.log(tf)) * idf[t]
-    norm = np.sqrt(np.bincount(place, w * w, len(y)))
-    w /= np.where(norm > 0, norm, 1)[place]
+    w = _weights(t, place, tf, idf, len(y))
     # Examples with the same heaviest term lie together, so blocks are told apart.
     heaviest = np.flatnonzero(w == np.maximum.reduceat(w, np.cumsum(n) - n)[place]) if len(w) else np.empty(0, np.int64)
     _, at = np.unique(place[heaviest], return_index=True)
@@ -240,37 +279,43 @@ def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) ->
     rank = np.empty(len(y), np.int32)
     rank[by_top] = np.arange(len(y))
     names, y, place = names[by_top], y[by_top], rank[place]
+    del w, heaviest
     order = np.argsort(t * np.int64(len(y)) + place)
-    t, place, w = t[order], place[order], w[order]
-    del order
-    first = np.searchsorted(t, np.arange(len(terms) + 1)).astype(np.int32)
-    many = np.flatnonzero(np.diff(first) > FEW)
-    row = np.full(len(terms), -1, np.int32)
-    row[many] = np.arange(len(many))
-    blocks = (len(y) + BLOCK - 1) // BLOCK
-    ceiling = np.zeros((len(many), blocks))
-    in_row = row[t] >= 0
-    np.maximum.at(ceiling, (row[t[in_row]], place[in_row] // BLOCK), w[in_row])
-    edges = many[:, None] * (blocks + 1) + np.arange(blocks + 1)
-    start = np.searchsorted(t * np.int64(blocks + 1) + place // BLOCK, edges).astype(np.int32)
+    place, tf = place[order], tf[order]
+    first = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=len(terms)))]).astype(np.int32)
+    del order, t
     share = everyone.get(1, 0) / max(1, sum(everyone.values()))
-    index = Index(terms, idf, start, place, w, ceiling, y, names, share, 1.0, 0.0, row, first)
+    index = opened(terms, idf, place, tf, first, y, names, share, 1.0, 0.0)
     # Votes of each example by the others, weighted back to the labels' own shares; the
     # sampled texts without a term vote as the prior does.
-    by_example = np.lexsort((t, place))
-    edge = np.searchsorted(place[by_example], np.arange(len(y) + 1))
-    votes = [vote(index, *nearest(index, t[by_example[s:e]], w[by_example[s:e]], without=j)) for j, (s, e) in enumerate(zip(edge[:-1], edge[1:]))]
-    silent = [pos - int(y.sum()), neg - int((1 - y).sum())]
-    votes = np.array(votes + [vote(index, np.empty(0, np.int64), np.empty(0))] * 2)
-    truth = np.append(y, [1, 0])
-    weight = np.append(np.ones(len(y)), [max(0, s) for s in silent])
-    weight *= np.where(truth == 1, everyone.get(1, 0) / max(1, pos), everyone.get(0, 0) / max(1, neg))
     if not pos or not neg:  # one kind of label, or none: every text gets its share
         return index._replace(slope=0.0, shift=float(np.log((share + 1e-6) / (1 - share + 1e-6))))
+    votes, truth = left_out_votes(rows, index)
+    weight = np.where(truth == 1, everyone.get(1, 0) / pos, everyone.get(0, 0) / neg)
     slope, shift = _calibrate(votes, truth, weight)
     return index._replace(slope=slope, shift=shift)
 
 
+def left_out_votes(rows: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the sampled ``rows`` (doc_id, label, text), in the order of their ids,
+    the vote of the other examples and its label."""
+    sent = rows.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ix = sent.value
+        place = {int(i): j for j, i in enumerate(ix.doc_id)}
+        for batch in batches:
+            votes = [
+                vote(ix, *nearest(ix, *vector(ix.terms, ix.idf, terms_of(b)), without=place.get(i, -1)))
+                for i, b in zip(batch.column(0).to_pylist(), text_bytes(batch.column(2)))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(votes, pa.float64())], names=["doc_id", "label", "vote"])
+
+    got = rows.mapInArrow(run, "doc_id long, label int, vote double").toArrow().sort_by([("doc_id", "ascending"), ("vote", "ascending")])  # bounded by the sample
+    sent.unpersist()
+    return got["vote"].to_numpy(), got["label"].to_numpy()
+
+
 def score_toxicity(docs: DataFrame, index: Index, k: int = K, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry``, ``score`` (the chance of label 1) and ``evidence``: the ids, labels and
     cosines of the three nearest examples.

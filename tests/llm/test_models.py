@@ -151,3 +151,19 @@ def test_nearest_of_a_fitted_index_is_exact(toxic, spark, monkeypatch):
         full = dense[:, at] @ w
         who, cosine = toxicity.nearest(index, at, w, 25)
         assert np.allclose(cosine, np.sort(full)[::-1][:25]) and np.allclose(full[who], cosine)
+
+
+def test_left_out_votes_run_in_tasks(toxic, spark, monkeypatch):
+    docs, index, rows = toxic
+    labels = [(i, int(i % 5 == 0)) for i in range(400)]
+    votes, truth = toxicity.left_out_votes(spark.createDataFrame([(i, y, rows[i][1]) for i, y in labels], "doc_id long, label int, text string"), index)
+    assert truth.tolist() == [y for _, y in labels]
+    for i in range(0, 400, 9):
+        at, w = toxicity.vector(index.terms, index.idf, toxicity.terms_of(np.frombuffer(rows[i][1].encode(), np.uint8)))
+        own = int(np.flatnonzero(index.doc_id == i)[0])
+        assert np.isclose(votes[i], toxicity.vote(index, *toxicity.nearest(index, at, w, without=own)))
+    # The driver itself searches no neighbours.
+    monkeypatch.setattr(toxicity, "nearest", None)
+    monkeypatch.setattr(toxicity, "left_out_votes", lambda rows, index: (votes, truth))
+    again = toxicity.fit_index(docs, spark.createDataFrame(labels + [(None, 1), (3, None)], "doc_id long, label int"))
+    assert np.isclose(again.slope, index.slope) and np.isclose(again.shift, index.shift)
