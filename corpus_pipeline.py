@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over ``documents``, each written and read again.
 
-Documents are told apart by ``doc_id``.  Filters leave rows as they are, with the
-columns of ``documents``; a row without an id passes unless its own text is rejected.
+Filters decide on each row by its own text, whether or not it has an id and whatever
+other rows share the id, and leave the rows they keep as they are, with all columns.
 """
 
 from __future__ import annotations
@@ -13,36 +13,46 @@ from cuadrante.llm.common import bounded
 from cuadrante.llm.exact_dedup import exact_dedup
 from cuadrante.llm.near_dedup import near_dedup
 from cuadrante.llm.queries import languages_of, packed, quality_scores
+from cuadrante.operators.ranking import sequential_id
 from cuadrante.session import pin
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIN_QUALITY = 0.3
+KEY = "_row_key"
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` but for the ids in ``dropped`` (doc_id)."""
-    gone = pin(dropped.select(F.col("doc_id").alias("_gone")).filter("_gone is not null").distinct())
-    return docs.join(bounded(gone), docs["doc_id"] == gone["_gone"], "left_anti").select(*COLUMNS)
+def whole(docs: DataFrame) -> DataFrame:
+    """``docs`` as (doc_id, text, row), where ``row`` is the whole row."""
+    return docs.select("doc_id", "text", F.struct(*(F.col(c) for c in docs.columns)).alias("row"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores below ``MIN_QUALITY`` go."""
-    return without(docs, quality_scores(spark, sf_dir, docs).filter(F.col("score") < MIN_QUALITY))
+    return quality_scores(spark, sf_dir, whole(docs), carry=("row",)).filter(F.col("score") >= MIN_QUALITY).select("row.*")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of no language or of an ambiguous one go."""
-    return without(docs, languages_of(spark, sf_dir, docs).filter("lang_pred = 'und' or ambiguous"))
+    return languages_of(spark, sf_dir, whole(docs), carry=("row",)).filter("lang_pred <> 'und' and not ambiguous").select("row.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of equal texts the document with the largest id stays."""
-    return without(docs, exact_dedup(docs).filter("not kept"))
+    """Of each group of equal texts the document with the largest id stays, one row of it."""
+    kept = pin(exact_dedup(whole(docs), carry=("row",)).filter("kept"))
+    several = kept.filter("group_size > 1").groupBy("doc_id", F.sha2(F.coalesce("row.text", F.lit("")), 256)).agg(F.min("row").alias("row"))
+    return kept.filter("group_size = 1").select("row.*").unionByName(several.select("row.*"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the least id stays."""
-    return without(docs, near_dedup(docs).filter("not kept"))
+    """Of each component of near duplicates the row with the least id stays; rows without
+    an id come after all others."""
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.filter("n > 1 or doc_id is null").isEmpty():
+        keyed = docs.withColumn(KEY, F.col("doc_id"))
+    else:
+        order = [F.col("doc_id").isNull(), F.col("doc_id"), F.sha2(F.coalesce("text", F.lit("")), 256)]
+        keyed = pin(sequential_id(docs, order, start=0, name=KEY))
+    gone = pin(near_dedup(keyed, id_col=KEY).filter("not kept").select(F.col(KEY).alias("_gone")))
+    return keyed.join(bounded(gone), keyed[KEY] == gone["_gone"], "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,10 +62,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-def quality_scores(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+def quality_scores(spark: SparkSession, sf_dir: str, docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Scores of ``docs`` by a model learned from the labelled documents in ``sf_dir``."""
     labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", F.col("quality").alias("label"))
-    return score_quality(docs, fit_quality(table(spark, sf_dir, "documents"), labels))
+    return score_quality(docs, fit_quality(table(spark, sf_dir, "documents"), labels), carry=carry)
 
 
 def op6_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,9 +85,9 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
-def languages_of(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+def languages_of(spark: SparkSession, sf_dir: str, docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Languages of ``docs`` by a model learned from the documents in ``sf_dir``."""
-    return identify(docs, fit_languages(table(spark, sf_dir, "documents").filter(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", "text", "lang")))
+    return identify(docs, fit_languages(table(spark, sf_dir, "documents").filter(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", "text", "lang")), carry=carry)
 
 
 def op9_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:

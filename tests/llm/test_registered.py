@@ -72,3 +72,25 @@ def test_pipeline(spark):
     assert packed.select("doc_id").distinct().count() == docs.count()
     full = packed.groupBy("sequence_id").agg({"length": "sum"}).toDF("s", "n")
     assert full.filter("n > 4096").isEmpty()
+
+
+def test_stages_decide_row_by_row(spark):
+    good = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("n_chars > 600").orderBy("doc_id").limit(3).collect()
+    texts = [r["text"] for r in good]
+    near = texts[1] + " x"
+    rows = [(None, None), (None, "12 ... 34"), (7, texts[0]), (7, texts[0]), (8, texts[1]), (8, texts[2]), (None, texts[0]), (3, "12 ... 34"), (3, texts[2]), (None, near)]
+    docs = spark.createDataFrame([(i, t, None, "s", 1, f"own{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, extra string")
+
+    def after(stage, docs):
+        out = corpus_pipeline.pin(stage(spark, docs, SF_SMALL))
+        assert out.columns == docs.columns
+        return out, sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+
+    scores = {r["text"]: r["score"] for r in corpus_pipeline.quality_scores(spark, SF_SMALL, docs, carry=("text",)).collect()}
+    assert after(corpus_pipeline.quality_stage, docs)[1] == sorted(((i, t) for i, t in rows if scores[t] >= corpus_pipeline.MIN_QUALITY), key=str)
+    docs, got = after(corpus_pipeline.language_stage, docs)
+    assert got == sorted(((i, t) for i, t in rows if t in (*texts, near)), key=str)
+    docs, got = after(corpus_pipeline.exact_stage, docs)
+    assert got == sorted([(7, texts[0]), (8, texts[1]), (8, texts[2]), (None, near)], key=str)
+    docs, got = after(corpus_pipeline.near_stage, docs)
+    assert got == sorted([(7, texts[0]), (8, texts[1]), (8, texts[2])], key=str)
