@@ -31,8 +31,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no language or of an ambiguous one go."""
-    return languages_of(spark, sf_dir, whole(docs), carry=("row",)).filter("lang_pred <> 'und' and not ambiguous").select("row.*")
+    """Documents of no language go.  An ambiguous one stays: a low score alone does not
+    make a short or mixed document unclean."""
+    return languages_of(spark, sf_dir, whole(docs), carry=("row",)).filter("lang_pred <> 'und'").select("row.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,3 +94,10 @@ def test_stages_decide_row_by_row(spark):
     assert got == sorted([(7, texts[0]), (8, texts[1]), (8, texts[2]), (None, near)], key=str)
     docs, got = after(corpus_pipeline.near_stage, docs)
     assert got == sorted([(7, texts[0]), (8, texts[1]), (8, texts[2])], key=str)
+
+
+def test_ambiguous_documents_stay(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "ja yes"), (2, "12")], "doc_id long, text string")
+    found = lambda s, d, x, carry: x.selectExpr(*carry, "IF(doc_id = 1, 'de', 'und') AS lang_pred", "0.5D AS score", "true AS ambiguous")
+    monkeypatch.setattr(corpus_pipeline, "languages_of", found)
+    assert [r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, SF_SMALL).collect()] == [1]
