@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from cuadrante.llm.common import bounded
 from cuadrante.llm.words import mix, ngrams, shingles, text_bytes, text_words
 from cuadrante.operators.clusters import components
+from cuadrante.operators.ranking import sequential_id
 from cuadrante.session import pin
 
 HALVES = 12
@@ -175,6 +176,31 @@ def near_links(docs: DataFrame, signed: DataFrame, percent: int = PERCENT, size:
     return links.unionByName(pin(_linked(pairs, sets, percent)))
 
 
+def _several_texts(docs: DataFrame, classed: DataFrame, several: DataFrame, percent: int, size: int) -> DataFrame:
+    """The result where the ids in ``several`` have rows of different shingle sets.
+
+    Classes are numbered in the order of their least ids, so that two classes with one
+    least id are told apart; the classes of one id are linked.
+    """
+    classes = classed.filter("n_shingles > 0 and doc_id = rep").select("rep", "d1", "d2", "halves").dropDuplicates(["rep", "d1", "d2"])
+    classes = pin(sequential_id(classes, ["rep", "d1", "d2"], start=0, name="class"))
+    texts = docs.join(classes.select(F.col("rep").alias("doc_id"), "class"), "doc_id").select(F.col("class").alias("doc_id"), "text")
+    links = near_links(texts, classes.select(F.col("class").alias("doc_id"), "d1", "halves"), percent, size).select("l", "r")
+    rows = pin(classed.select("doc_id", "n_shingles", "rep", "d1", "d2").join(classes.drop("halves"), ["rep", "d1", "d2"], "left"))
+    shared = rows.join(several, "doc_id", "left_semi").filter("class is not null")
+    least = shared.groupBy("doc_id").agg(F.min("class").alias("l"))
+    same = shared.join(least, "doc_id").filter("l <> class").select("l", F.col("class").alias("r"))
+    edges = pin(links.unionByName(same).distinct())
+    nodes = pin(edges.select(F.col("l").alias("node")).union(edges.select("r")).distinct().select("node", F.col("node").alias("label")))
+    labels = components(nodes, edges).select(F.col("node").alias("class"), "label")
+    named = labels.join(classes.select(F.col("class").alias("label"), F.col("rep").alias("_name")), "label").select("class", "_name")
+    out = pin(rows.join(named, "class", "left").select("doc_id", "n_shingles", F.coalesce("_name", "rep").alias("component_id")))
+    # Rows without shingles go with the other rows of their id.
+    by_id = out.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("_of_id"))
+    component = F.coalesce("_of_id", "component_id")
+    return out.join(by_id, "doc_id", "left").select("doc_id", "n_shingles", component.alias("component_id"), (component.isNull() | F.col("doc_id").eqNullSafe(component)).alias("kept"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row.
 
@@ -189,15 +215,18 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = pin(docs.mapInArrow(_sign(size), _SIGN_SCHEMA))
-    full = signed.filter("n_shingles > 0 and doc_id is not null")
+    differ = (F.min("d1") != F.max("d1")) | (F.min("d2") != F.max("d2"))
+    several = pin(signed.filter("doc_id is not null").groupBy("doc_id").agg(differ.alias("_differ")).filter("_differ").select("doc_id"))
+    full = signed.filter("n_shingles > 0")
     copies = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("_rep"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("d1", "d2", "_rep", F.lit(True).alias("_copied"))
     copies = pin(copies)
     classed = signed.join(bounded(copies), ["d1", "d2"], "left")
     classed = classed.withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("_rep", "doc_id")).otherwise(F.col("doc_id")))
+    if not several.isEmpty():
+        return _several_texts(docs, pin(classed), several, percent, size).withColumnRenamed("doc_id", id_col)
     chosen = pin(classed.filter("n_shingles > 0 and doc_id = rep").select("doc_id", "d1", "halves").dropDuplicates(["doc_id", "d1"]))
     links = near_links(docs, chosen, percent, size)
     ends = links.select(F.col("l").alias("node")).union(links.select("r")).distinct()
-    # An id with several texts links their classes.
     labels = components(pin(ends.select("node", F.col("node").alias("label"))), links.select("l", "r"))
     labels = pin(labels.filter("node <> label").select(F.col("node").alias("rep"), "label"))
     out = classed.select("doc_id", "n_shingles", "rep").join(bounded(labels), "rep", "left")

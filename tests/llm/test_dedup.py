@@ -113,3 +113,14 @@ def test_the_bound_is_included(spark, common, linked):
     sets = spark.createDataFrame([(1, a), (2, b)], "rep long, shingles array<long>")
     pairs = spark.createDataFrame([(1, 2)], "x long, y long")
     assert (_linked(pairs, sets, 85).count() == 1) == linked
+
+
+def test_near_of_ids_with_several_texts(frame):
+    rng = random.Random(11)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(5000)}" for _ in range(100)) for _ in range(5))
+    rows = [(1, a), (10, a + " x"), (12, a + " x"), (4, b), (10, b + " y"), (13, b + " y"), (2, c), (30, c), (30, d), (31, d + " z"), (35, e), (40, ""), (40, e), (50, "alone one"), (50, "alone two"), (60, None), (None, a), (None, "")]
+    own = {1: 1, 10: 1, 12: 1, 4: 1, 13: 1, 2: 2, 30: 2, 31: 2, 35: 35, 40: 35, 50: 50, 60: 60}
+    got_rows = near_dedup(frame(rows)).collect()
+    assert len(got_rows) == len(rows)
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got_rows if r["doc_id"] is not None} == {(i, k, i == k) for i, k in own.items()}
+    assert sorted(((r["component_id"], r["kept"]) for r in got_rows if r["doc_id"] is None), key=str) == [(1, False), (None, True)]
