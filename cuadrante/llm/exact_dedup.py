@@ -1,4 +1,5 @@
-"""Exact duplicates by progressive refinement: length, prefix hash, full hash."""
+"""Exact duplicates by progressive refinement: length and prefix hash in one scan, then
+the full hash."""
 
 from __future__ import annotations
 
