@@ -325,7 +325,7 @@ _FAR = """, fc AS (SELECT client, CASE WHEN client % 11 = 0 THEN NULL WHEN clien
     fp AS (SELECT pole_id, CASE WHEN pole_id % 7 = 0 THEN NULL WHEN pole_id % 5 = 0 THEN -120.0::DOUBLE ELSE pole_lat END AS pole_lat,
       (pole_lon + 360 * (pole_id % 3 - 1))::DOUBLE AS pole_lon FROM poles),
     fr AS (SELECT client, pole_id, round(6371.0::DOUBLE * acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE,
-      sin(radians(lat)) * sin(radians(pole_lat)) + cos(radians(lat)) * cos(radians(pole_lat)) * cos(radians(pole_lon) - radians(lon))))), 3) AS km
+      sin(radians(lat)) * sin(radians(pole_lat)) + cos(radians(lat)) * cos(radians(pole_lat)) * cos(radians(pole_lon) - radians(lon))))), 6) AS km
       FROM fc, fp WHERE lat BETWEEN -90 AND 90 AND pole_lat BETWEEN -90 AND 90 AND lon IS NOT NULL)"""
 
 
@@ -334,7 +334,7 @@ _FAR = """, fc AS (SELECT client, CASE WHEN client % 11 = 0 THEN NULL WHEN clien
     with_("clients", "poles")
     + _FAR
     + """, fk AS (SELECT client, km, row_number() OVER (PARTITION BY client ORDER BY km) AS rn FROM fr)
-    SELECT fc.client, rn::INT AS place, km FROM fc LEFT JOIN fk ON fk.client = fc.client AND rn <= 3""",
+    SELECT fc.client, rn::INT AS place, round(km, 3) AS km FROM fc LEFT JOIN fk ON fk.client = fc.client AND rn <= 3""",
 )
 def nearest_k_around(spark, d):
     """Longitudes beyond 180 degrees, and points and poles without a place."""
