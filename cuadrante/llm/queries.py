@@ -11,6 +11,7 @@ from cuadrante.llm.byte_bpe import encode_documents
 from cuadrante.llm.common import held_out
 from cuadrante.llm.exact_dedup import exact_dedup
 from cuadrante.llm.host_rules import host_rules
+from cuadrante.llm.infill import fill_in_middle, restored
 from cuadrante.llm.language import fit_languages, identify
 from cuadrante.llm.line_dedup import line_dedup
 from cuadrante.llm.near_dedup import near_dedup
@@ -102,6 +103,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, carry=("text_sha256",)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with prefix, middle and suffix exchanged, and restored."""
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_toxicity_knn": op2_toxicity_knn,
@@ -113,5 +120,6 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language_ecoc": op9_language_ecoc,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
-ORACLES = {"op8_line_dedup": sql.LINE_DEDUP, "op1_near_dedup": sql.NEAR_DEDUP, "op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP}
+ORACLES = {"op8_line_dedup": sql.LINE_DEDUP, "op1_near_dedup": sql.NEAR_DEDUP, "op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP, "op12_fill_in_middle": sql.INFILL}
