@@ -17,6 +17,7 @@ from cuadrante.llm.line_dedup import line_dedup
 from cuadrante.llm.near_dedup import near_dedup
 from cuadrante.llm.packing import pack, token_pieces
 from cuadrante.llm.quality import fit_quality, score_quality
+from cuadrante.llm.token_planes import read_ids, write_ids
 from cuadrante.llm.toxicity import fit_index, score_toxicity
 from cuadrante.llm.warc import join_originals, read_archive, write_archive
 from cuadrante.session import scratch
@@ -103,6 +104,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, carry=("text_sha256",)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written in byte planes and read back."""
+    path = scratch(spark, "ids")
+    write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_ids(spark, path)
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with prefix, middle and suffix exchanged, and restored."""
     out = fill_in_middle(table(spark, sf_dir, "documents"))
@@ -120,6 +128,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language_ecoc": op9_language_ecoc,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_token_planes": op11_token_planes,
     "op12_fill_in_middle": op12_fill_in_middle,
 }
 ORACLES = {"op8_line_dedup": sql.LINE_DEDUP, "op1_near_dedup": sql.NEAR_DEDUP, "op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP, "op12_fill_in_middle": sql.INFILL}
