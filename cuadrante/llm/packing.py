@@ -10,7 +10,6 @@ Spark.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cuadrante.llm.word_table import WordTable, between_spaces, text_blocks
 from cuadrante.operators.ranking import sequential_id
 from cuadrante.session import pin
 
@@ -26,79 +26,33 @@ CAPACITY = 4096
 END_ID = 1
 NODES = 30_000  # of the search; the incumbent at its end is used
 FILLINGS = 6  # tried at a node
-CACHED_WORDS = 500_000  # kept by a worker, some 110 MB
-CACHED_CHARS = 32
-DOCS = 600  # encoded at once
 
 Pattern = tuple[tuple[int, int], ...]  # (length, copies) of one sequence, longest first
 
 
-_MARKS = re.compile("[\u0300-\U0010ffff]")
-
-
-class _Encoder:
-    """Token ids as bytes.  The tokenizer never joins what a blank parts, so each run of
-    characters between blanks is encoded once and kept while there is room."""
-
-    loaded: dict[str, "_Encoder"] = {}
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {"": b""}
-
-    @classmethod
-    def of(cls, path: str) -> "_Encoder":
-        if path not in cls.loaded:
-            cls.loaded[path] = cls(path)
-        return cls.loaded[path]
-
-    def _add(self, words: list[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                out[w] = np.array(e.ids, "<u4").tobytes()
-        return out
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        # The tokenizer makes letters lower after composing marks: without marks, A-Z can
-        # be made lower before, so that fewer words are told apart.
-        parts = [(t if _MARKS.search(t) else t.encode().lower().decode()).replace("\n", " ").split(" ") for t in texts]
-        new = self._add(list(set().union(*parts) - self.kept.keys()))
-        for w, ids in new.items():
-            if len(w) <= CACHED_CHARS:
-                if len(self.kept) >= CACHED_WORDS:
-                    break
-                self.kept[w] = ids
-        kept = self.kept
-        for p in parts:
-            found = list(map(kept.get, p))
-            if None in found:
-                found = [new[w] if ids is None else ids for w, ids in zip(p, found)]
-            yield b"".join(found)
-
-
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` (and the ids as little-endian
     unsigned 32-bit numbers) of each piece of ``docs`` (doc_id, text).
 
     A document's ids end with ``END_ID``; only those longer than ``capacity`` are cut.
-    Null text counts as empty and is one piece of length 1.  ``tokenizer`` is the path of
-    a tokenizer file that every executor has.
+    Null text counts as empty and is one piece of length 1.  Rows that repeat an id give
+    pieces of their own; other columns are left out; an empty table gives no rows.
+    ``tokenizer`` is the path of a tokenizer file that every executor has; it must drop
+    blanks and line feeds and never join what stands on their two sides.
     """
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.binary())] * with_ids
     schema, end = pa.schema(fields), np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()  # of earlier stages in this worker
-        encoder = _Encoder.of(tokenizer)
+        table = WordTable.of(tokenizer, between_spaces, fold=True)
         for batch in batches:
-            for part in (batch.slice(at, DOCS) for at in range(0, batch.num_rows, DOCS)):
+            for first, stop, data, offsets in text_blocks(batch.column(1)):
                 rows: list[tuple] = []
-                for i, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()])):
-                    ids += end
+                block, ends = table.encode(data, offsets)
+                block, ends = block.astype("<u4").tobytes(), (4 * ends).tolist()
+                for i, a, b in zip(batch.column(0).slice(first, stop - first).to_pylist(), ends[:-1], ends[1:]):
+                    ids = block[a:b] + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]
                         rows.append((i, k, at // 4, len(own) // 4, zlib.crc32(own)) + ((own,) if with_ids else ()))
