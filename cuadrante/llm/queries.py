@@ -16,6 +16,7 @@ from cuadrante.llm.language import fit_languages, identify
 from cuadrante.llm.line_dedup import line_dedup
 from cuadrante.llm.near_dedup import near_dedup
 from cuadrante.llm.packing import pack, token_pieces
+from cuadrante.llm.phrases import collocations
 from cuadrante.llm.quality import fit_quality, score_quality
 from cuadrante.llm.token_planes import read_ids, write_ids
 from cuadrante.llm.toxicity import fit_index, score_toxicity
@@ -117,6 +118,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language, over all documents."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_toxicity_knn": op2_toxicity_knn,
@@ -130,5 +136,6 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_token_planes": op11_token_planes,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
-ORACLES = {"op8_line_dedup": sql.LINE_DEDUP, "op1_near_dedup": sql.NEAR_DEDUP, "op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP, "op12_fill_in_middle": sql.INFILL}
+ORACLES = {"op8_line_dedup": sql.LINE_DEDUP, "op1_near_dedup": sql.NEAR_DEDUP, "op3_warc_revisits": sql.WARC, "op4_host_rules": sql.HOST_RULES, "op10_exact_dedup": sql.EXACT_DEDUP, "op12_fill_in_middle": sql.INFILL, "op13_phrase_collocations": sql.PHRASES}

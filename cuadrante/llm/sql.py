@@ -72,3 +72,18 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
        sha256(text) AS restored_sha256
 FROM p
 """
+
+PHRASES = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM (SELECT lang, unnest(pieces) AS piece FROM t)),
+g AS (SELECT lang, k, words[i : i + k - 1] AS p FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, range(1, 4) AS r(k) WHERE len(words) >= k)),
+f AS (SELECT lang, k, p, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cuts AS (SELECT c.lang, c.k, c.p, c.a, x.a AS l, y.a AS r, x.k AS cut, (1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a))::BIGINT AS score
+         FROM f c, range(1, 3) AS z(j) JOIN f x ON x.lang = c.lang AND x.p = c.p[1 : j] JOIN f y ON y.lang = c.lang AND y.p = c.p[j + 1 :] WHERE c.k > 1 AND c.a >= 10 AND j < c.k),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+part AS (SELECT lang, p[1 : 2] AS p, a FROM low WHERE k = 3 UNION ALL SELECT lang, p[2 : 3], a FROM low WHERE k = 3),
+kept AS (SELECT low.* FROM low WHERE k = 3 OR NOT EXISTS (SELECT 1 FROM part WHERE part.lang = low.lang AND part.p = low.p AND 100 * part.a >= 50 * low.a)),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, array_to_string(p, ' ') AS phrase, a, l, r, score FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
