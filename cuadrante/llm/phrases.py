@@ -63,9 +63,9 @@ def word_ids(data: np.ndarray, first: np.ndarray, stop: np.ndarray, lang: np.nda
     padded = np.zeros(len(data) + KEY_BYTES + 8, np.uint8)
     padded[: len(data)] = data
     loads = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))  # eight bytes from each byte on
-    h = width.astype(np.uint64) * _ODD[3]
-    for k in range(3):
-        h += (loads[np.minimum(first + 8 * k, len(loads) - 1)] & _MASK[np.clip(width - 8 * k, 0, 8)]) * _ODD[k]
+    h = width.astype(np.uint64)
+    for k in range(3):  # sums alone would be equal for too many words that are alike
+        h = mix(h * _ODD[3] ^ (loads[np.minimum(first + 8 * k, len(loads) - 1)] & _MASK[np.clip(width - 8 * k, 0, 8)]) * _ODD[k])
     for k in np.flatnonzero(width > KEY_BYTES).tolist():
         h[k] = xxhash.xxh3_64_intdigest(data[first[k] : stop[k]].tobytes())
     ids = mix(mix(h) ^ lang)
