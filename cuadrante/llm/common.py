@@ -23,3 +23,11 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 def hash_share(*cols: Column) -> Column:
     """A fixed number in [0, 1) for each value: a reproducible draw."""
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / float(1 << 40)
+
+
+def text_column(carry: tuple[str, ...], text: str = "text") -> tuple[list[Column], int]:
+    """What to select beside ``carry`` for a task to see the text, and the place where it
+    does: a text that is carried anyway is not sent twice."""
+    if text in carry:
+        return [], carry.index(text)
+    return [F.col(text).alias("_text")], len(carry)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuadrante.llm import linear
+from cuadrante.llm.common import text_column
 from cuadrante.llm.words import text_bytes
 from cuadrante.session import pin
 
@@ -137,16 +138,21 @@ def identify(docs: DataFrame, model: Model, bits: int = BITS, min_score: float =
     """``carry``, ``lang_pred``, ``score`` and ``ambiguous`` of each row's whole text.
 
     Null texts and texts without a letter are ``und`` with score 0, as is any text when
-    no language was learned.  ``ambiguous`` marks scores below ``min_score``.
+    no language was learned.  ``ambiguous`` marks scores below ``min_score``.  Rows are
+    kept as they come, repeated ones too; columns that are not carried are left out; an
+    empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model._replace(weights=model.weights.astype(np.float64)))
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.select(*carry).schema)}, lang_pred string, score double, ambiguous boolean"
 
+    own, at = text_column(carry)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # of earlier stages in this worker
         m = sent.value
         for batch in batches:
             names, scores = [], []
-            for b in text_bytes(batch.column(len(carry))):
+            for b in text_bytes(batch.column(at)):
                 if not m.languages or not has_letter(b):
                     name, score = UNKNOWN, 0.0
                 elif len(m.languages) == 1:
@@ -160,4 +166,4 @@ def identify(docs: DataFrame, model: Model, bits: int = BITS, min_score: float =
                 [*batch.columns[: len(carry)], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array([s < min_score for s in scores], pa.bool_())], names=[*carry, "lang_pred", "score", "ambiguous"]
             )
 
-    return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*carry, *own).mapInArrow(run, schema)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuadrante.llm import linear
+from cuadrante.llm.common import text_column
 from cuadrante.llm.words import BLANK, ngrams, text_bytes, text_words, word_spans
 
 BITS = 18
@@ -77,17 +78,22 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL,
 def score_quality(docs: DataFrame, weights: np.ndarray, bits: int = BITS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry`` and ``score``, the chance of label 1, from the whole text of each row.
 
-    Null and empty texts have no features and get the score of the constant alone.
+    Null and empty texts have no features and get the score of the constant alone.  Rows
+    are kept as they come, repeated ones too; columns that are not carried are left out;
+    an empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(weights[:, 0])
     kinds = docs.select(*carry).schema
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in kinds)}, score double"
 
+    own, at = text_column(carry)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # of earlier stages in this worker
         w = sent.value
         for batch in batches:
-            found = (features(b, bits) for b in text_bytes(batch.column(len(carry))))
+            found = (features(b, bits) for b in text_bytes(batch.column(at)))
             scores = [float(linear.probability(w[i] @ x + w[-1])) for i, x in found]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array(scores, pa.float64())], names=[*carry, "score"])
 
-    return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*carry, *own).mapInArrow(run, schema)
