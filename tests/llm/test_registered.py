@@ -97,7 +97,7 @@ def test_stages_decide_row_by_row(spark):
 
 
 def test_ambiguous_documents_stay(spark, monkeypatch):
-    docs = spark.createDataFrame([(1, "ja yes"), (2, "12")], "doc_id long, text string")
-    found = lambda s, d, x, carry: x.selectExpr(*carry, "IF(doc_id = 1, 'de', 'und') AS lang_pred", "0.5D AS score", "true AS ambiguous")
+    docs = spark.createDataFrame([(1, "ja yes", 9), (2, "12", 9)], "doc_id long, text string, row int")
+    found = lambda s, d, x, carry: x.selectExpr(*carry, "IF(row.doc_id = 1, 'de', 'und') AS lang_pred", "0.5D AS score", "true AS ambiguous")
     monkeypatch.setattr(corpus_pipeline, "languages_of", found)
     assert [r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, SF_SMALL).collect()] == [1]
