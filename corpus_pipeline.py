@@ -25,15 +25,28 @@ def whole(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.struct(*(F.col(c) for c in docs.columns)).alias("row"))
 
 
+def parted(docs: DataFrame) -> DataFrame:
+    """``docs`` as (text, row), where ``row`` has the other columns."""
+    return docs.select("text", F.struct(*(F.col(c) for c in docs.columns if c != "text")).alias("row"))
+
+
+def joined(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows of ``parted(docs)`` with the columns of ``docs``."""
+    return rows.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier scores below ``MIN_QUALITY`` go."""
-    return quality_scores(spark, sf_dir, whole(docs), carry=("row",)).filter(F.col("score") >= MIN_QUALITY).select("row.*")
+    """Documents that the quality classifier scores below ``MIN_QUALITY`` go.  A null text
+    counts as empty; repeated rows share a fate; an empty table stays empty."""
+    scored = quality_scores(spark, sf_dir, parted(docs), carry=("text", "row"))
+    return joined(scored.filter(F.col("score") >= MIN_QUALITY), docs)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no language go.  An ambiguous one stays: a low score alone does not
-    make a short or mixed document unclean."""
-    return languages_of(spark, sf_dir, whole(docs), carry=("row",)).filter("lang_pred <> 'und'").select("row.*")
+    """Documents of no language go, null and empty texts among them.  An ambiguous one
+    stays: a low score alone does not make a short or mixed document unclean."""
+    found = languages_of(spark, sf_dir, parted(docs), carry=("text", "row"))
+    return joined(found.filter("lang_pred <> 'und'"), docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
