@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cuadrante.functions import draws
-from cuadrante.operators import clusters, frames, ledger, proximity, ranking, relational, territory
+from cuadrante.operators import clusters, density, frames, ledger, proximity, ranking, relational, territory
 from cuadrante.operators.apportion import apportion_truncate, uncount
 from cuadrante.plans.basics import md5_fraction
 from cuadrante.plans.registry import query, rounded
@@ -525,3 +525,49 @@ def density_clusters(spark, d):
 def cluster_summary(spark, d):
     points = clients(spark, d).select("client", F.col("lon").alias("x"), F.col("lat").alias("y"))
     return clusters.cluster_summary(clusters.density_clusters(points, "client", "x", "y", 0.9, 8, 20))
+
+
+LEVELS = [density.Level("micro", 15, 5, 0.75), density.Level("macro", 200, 20, 1.6)]
+
+
+def _level_sql(v: density.Level) -> str:
+    """Numbers of the clusters of points whose core distance is within the cut."""
+    near = f"(a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {v.cut}::DOUBLE * {v.cut}::DOUBLE"
+    n = v.name
+    return f"""{n}_core AS (SELECT a.k, a.x, a.y FROM p a JOIN p b ON {near} GROUP BY ALL HAVING count(*) >= {v.min_pts}),
+    {n}_edge AS (SELECT a.k AS a, b.k AS b FROM {n}_core a JOIN {n}_core b ON {near}),
+    {n}_reach(a, b) AS (SELECT k, k FROM {n}_core UNION SELECT r.a, e.b FROM {n}_reach r JOIN {n}_edge e ON r.b = e.a),
+    {n}_label AS (SELECT a AS k, min(b) AS label FROM {n}_reach GROUP BY a),
+    {n}_number AS (SELECT label, row_number() OVER (ORDER BY label) AS {n} FROM {n}_label GROUP BY label HAVING count(*) >= {v.min_size})"""
+
+
+@query(
+    "density_levels",
+    with_("clients", recursive=True)
+    + ", p AS (SELECT client AS k, lon AS x, lat AS y FROM clients), "
+    + ", ".join(map(_level_sql, LEVELS))
+    + """ SELECT p.k AS client, coalesce(micro, 0)::BIGINT AS micro, coalesce(macro, 0)::BIGINT AS macro FROM p
+    LEFT JOIN micro_label i ON i.k = p.k LEFT JOIN micro_number ON micro_number.label = i.label
+    LEFT JOIN macro_label a ON a.k = p.k LEFT JOIN macro_number ON macro_number.label = a.label""",
+)
+def density_levels(spark, d):
+    """Micro and macro clusters of the clients side by side, cut from one graph."""
+    points = clients(spark, d).select("client", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    return density.density_levels(points, "client", "x", "y", LEVELS).select("client", "micro", "macro")
+
+
+@query(
+    "core_distances",
+    with_("clients")
+    + """, p AS (SELECT client, lon AS x, lat AS y FROM clients),
+    r AS (SELECT a.client, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2,
+          row_number() OVER (PARTITION BY a.client ORDER BY (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS rn FROM p a, p b)
+    SELECT client, max(CASE WHEN rn = 5 AND d2 <= 2.5::DOUBLE * 2.5::DOUBLE THEN round(sqrt(d2), 9) END) AS core_5,
+      max(CASE WHEN rn = 20 AND d2 <= 2.5::DOUBLE * 2.5::DOUBLE THEN round(sqrt(d2), 9) END) AS core_20 FROM r WHERE rn <= 20 GROUP BY client""",
+)
+def core_distances(spark, d):
+    """The distance of each client to the fifth and the twentieth nearest one, within a reach."""
+    points = clients(spark, d).select("client", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    places, _ = density.reach_graph(points, "client", "x", "y", [5, 20], 2.5)
+    at = points.join(places.select("x", "y", "core2_5", "core2_20"), ["x", "y"])
+    return at.select("client", *[F.round(F.sqrt(f"core2_{k}"), 9).alias(f"core_{k}") for k in (5, 20)])
