@@ -210,14 +210,21 @@ def spanning_forest(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def cut_clusters(places: DataFrame, links: DataFrame, level: Level) -> DataFrame:
-    """The cluster number of each place (p, <name>) that belongs to one at this level."""
+    """The cluster number of each place (p, <name>) that belongs to one at this level.
+
+    Dense places in a cell whose diagonal is below the cut hang together anyway, so
+    components are those of cells, of which there are as many as the area has.
+    """
     core, cut2 = F.col(f"core2_{level.min_pts}"), level.cut * level.cut
-    dense = places.filter(core <= cut2)
-    ends = dense.select("p")
+    dense = _in_cells(places.filter(core <= cut2), level.cut / 2**0.5 * (1 - 1e-9))
+    least = dense.groupBy("cx", "cy").agg(F.min("p").alias("node"))
+    dense = pin(dense.join(least, ["cx", "cy"]).select("p", "n", "first", "node"))
+    ends = dense.select("p", "node")
     low = links.filter(F.col("d2") <= cut2)
-    low = low.join(ends.withColumnRenamed("p", "l"), "l", "left_semi").join(ends.withColumnRenamed("p", "r"), "r", "left_semi")
-    labels = components(ends.select(F.col("p").alias("node"), F.col("p").alias("label")), low.select("l", "r"))
-    placed = pin(labels.select(F.col("node").alias("p"), "label").join(dense.select("p", "n", "first"), "p"))
+    low = low.join(ends.toDF("l", "nl"), "l").join(ends.toDF("r", "nr"), "r").filter("nl <> nr")
+    low = low.select(F.least("nl", "nr").alias("l"), F.greatest("nl", "nr").alias("r")).distinct()
+    labels = components(dense.select("node", F.col("node").alias("label")).distinct(), low)
+    placed = pin(dense.join(labels, "node"))
     sizes = placed.groupBy("label").agg(F.sum("n").alias("_n"), F.min("first").alias("_first")).filter(F.col("_n") >= level.min_size)
     numbered = sequential_id(sizes, ["_first", "label"], name=level.name).select("label", level.name)
     return placed.join(numbered, "label").select("p", level.name)
