@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from cuadrante.operators import maintenance, relational
-from cuadrante.plans.registry import query, rounded
+from cuadrante.plans.registry import ORACLES, query, rounded
 from cuadrante.plans.tables import history, table, with_
 from cuadrante.session import scratch
 from cuadrante.sources import catalog, files
@@ -250,6 +251,14 @@ def stream_json_object(spark, d):
       UNION ALL SELECT count(*), sum(length('[{"event_id":1}] tail' || event_id)) FROM events WHERE event_id % 400 = 0)""",
 )
 def dead_letter(spark, d):
+    inbox, good, dead, state = (scratch(spark, f"dead-{x}") for x in ("in", "good", "dead", "state"))
+    files.write_table(_with_bad_payloads(spark, d), inbox, fmt="text", max_records=200)
+    source = ingest.file_stream_source(spark, inbox, "text", max_files=8)
+    ingest.finish_all(ingest.start_split(source, EVENT, good, dead, state))
+    return _letter_counts(files.read_table(spark, good), files.read_table(spark, dead))
+
+
+def _with_bad_payloads(spark, d):
     bad = table(spark, d, "events").filter("event_id % 100 = 0").select(
         F.concat(F.lit("garbage "), F.col("event_id").cast("string")).alias("value")
     )
@@ -260,16 +269,43 @@ def dead_letter(spark, d):
     )
     tail = table(spark, d, "events").filter("event_id % 400 = 0").select(F.concat(F.lit('[{"event_id":1}] tail'), number).alias("value"))
     payloads = _payloads(spark, d).unionByName(bad).unionByName(half).unionByName(tail)
-    inbox, good, dead, state = (scratch(spark, f"dead-{x}") for x in ("in", "good", "dead", "state"))
-    files.write_table(payloads, inbox, fmt="text", max_records=200)
-    source = ingest.file_stream_source(spark, inbox, "text", max_files=8)
-    ingest.finish_all(ingest.start_split(source, EVENT, good, dead, state))
+    return payloads
+
+
+def _letter_counts(records, letters):
     part = F.when(F.col("event_id") < 0, "half").when(F.col("event_id") == 0, F.when(F.col("event_type").isNull(), "half").otherwise("record")).otherwise("record")
-    records = files.read_table(spark, good).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.abs("event_id")).alias("total"))
-    letters = files.read_table(spark, dead).agg(
-        F.lit("dead").alias("part"), F.count(F.lit(1)).alias("n"), F.sum(F.length("payload")).cast("bigint").alias("total")
-    )
-    return records.unionByName(letters)
+    counts = records.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.abs("event_id")).alias("total"))
+    dead = letters.agg(F.lit("dead").alias("part"), F.count(F.lit(1)).alias("n"), F.sum(F.length("payload")).cast("bigint").alias("total"))
+    return counts.unionByName(dead)
+
+
+class _Stop(RuntimeError):
+    pass
+
+
+@query("exactly_once_restart", ORACLES["dead_letter"])
+def exactly_once_restart(spark, d):
+    """A stream that stops between its two writes, and again after the second, and goes on
+    from its checkpoint: every row is there once."""
+    inbox, good, dead, done, state = (scratch(spark, f"once-{x}") for x in ("in", "good", "dead", "done", "state"))
+    files.write_table(_with_bad_payloads(spark, d), inbox, fmt="text", max_records=200)
+    stops = [(0, "records"), (1, "dead"), (1, "records"), None]
+
+    for at in stops:
+
+        def after(batch_id, sink, at=at):
+            if (batch_id, sink) == at:
+                raise _Stop(f"after {sink} of batch {batch_id}")
+
+        # Two batches at least: half of the files in each.
+        source = ingest.file_stream_source(spark, inbox, "text", max_files=max(1, len(spark.read.text(inbox).inputFiles()) // 2))
+        q = ingest.start_once(source, EVENT, good, dead, done, state, after=after)
+        try:
+            ingest.finish_all([q])
+        except StreamingQueryException as e:
+            if "_Stop" not in str(e):
+                raise
+    return _letter_counts(files.read_table(spark, good), files.read_table(spark, dead))
 
 
 @query(

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import ArrayType, StructType
 
+from cuadrante.sources.files import existing_paths
+
 
 def kafka_options(servers: str, topic: str, max_offsets: int | None = None,
                   starting: str = "earliest", fail_on_loss: bool = False) -> dict[str, str]:
@@ -60,13 +63,9 @@ def parse_json_object(df: DataFrame, schema: StructType, col: str = "value") ->
     return df.select(F.from_json(_payload(col), schema).alias("data")).select("data.*")
 
 
-def split_corrupt(df: DataFrame, schema: StructType, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """The good records, and what is not one: payloads that are not JSON from end to
-    end, and single records with a field of another type than the schema's.
-
-    Dead letters keep the raw text under ``payload``, of the payload or of the one
-    record; the other records of its payload stay.  Null payloads are neither.
-    """
+def judged(df: DataFrame, schema: StructType, col: str = "value") -> DataFrame:
+    """Each record as (payload, _record, _sound): its text, its fields and whether it is
+    one.  A payload that is not JSON from end to end is one record that is not."""
     strings = "array<string>"
     raw = df.select(_payload(col).alias("payload")).filter("payload IS NOT NULL")
     # Within brackets the payload must be one value: text after it makes the whole invalid.
@@ -83,8 +82,21 @@ def split_corrupt(df: DataFrame, schema: StructType, col: str = "value") -> tupl
     # A field that has a text but no value is of another type.
     lost = [F.col("_texts")[f.name].isNotNull() & F.col(f"_record.{f.name}").isNull() for f in schema.fields]
     sound = F.col("_whole") & F.col("_texts").isNotNull() & ~reduce(lambda x, y: x | y, lost)
-    sound = F.coalesce(sound, F.lit(False))
-    return parsed.filter(sound).select("_record.*"), parsed.filter(~sound).select("payload")
+    return parsed.select("payload", "_record", F.coalesce(sound, F.lit(False)).alias("_sound"))
+
+
+def _parted(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return records.filter("_sound").select("_record.*"), records.filter(~F.col("_sound")).select("payload")
+
+
+def split_corrupt(df: DataFrame, schema: StructType, col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """The good records, and what is not one: payloads that are not JSON from end to
+    end, and single records with a field of another type than the schema's.
+
+    Dead letters keep the raw text under ``payload``, of the payload or of the one
+    record; the other records of its payload stay.  Null payloads are neither.
+    """
+    return _parted(judged(df, schema, col))
 
 
 def stamp(df: DataFrame, batch_id) -> DataFrame:
@@ -126,6 +138,61 @@ def start_split(df: DataFrame, schema: StructType, path: str, dead_path: str, ch
     ]
 
 
+def _batch_path(path: str, batch_id: int, sink: str | None = None) -> str:
+    return f"{path}/batch_id={batch_id}" + (f"/sink={sink}" if sink else "")
+
+
+def write_batch(batch_id: int, outputs: Mapping[str, tuple[DataFrame, str]], done: str, fmt: str = "parquet",
+                after: Callable[[int, str], None] | None = None) -> list[str]:
+    """Write one batch to several sinks, each once; the sinks written this time.
+
+    ``outputs`` gives each sink's rows and path.  A sink's rows go to a folder of the
+    batch, which a replay replaces; then a row (batch_id, sink, n_rows) in the table
+    ``done`` says that they are there, and a replay leaves that sink alone.  A job that
+    stops at any point can therefore run the batch again.  ``after`` is called after
+    each sink.
+    """
+    written = []
+    for sink, (df, path) in outputs.items():
+        spark, mark = df.sparkSession, _batch_path(done, batch_id, sink)
+        if existing_paths(spark, [f"{mark}/_SUCCESS"]):
+            continue
+        target = _batch_path(path, batch_id)
+        df.write.format(fmt).mode("overwrite").save(target)
+        n = spark.read.format(fmt).schema(df.schema).load(target).select(F.count(F.lit(1)).alias("n_rows"))
+        n.write.mode("overwrite").parquet(mark)
+        written.append(sink)
+        if after is not None:
+            after(batch_id, sink)
+    return written
+
+
+def start_once(df: DataFrame, schema: StructType, path: str, dead_path: str, done: str, checkpoint: str, col: str = "value",
+               trigger: str | None = None, fmt: str = "parquet", name: str | None = None, after: Callable[[int, str], None] | None = None) -> StreamingQuery:
+    """Records and dead letters of one source as one query that reads it once, each row
+    written exactly once whatever stops the query (see ``write_batch``).
+
+    Both tables carry ``batch_id``.  A restart from ``checkpoint`` runs the last batch
+    again unless it was finished, with the same input.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        records = judged(batch, schema, col).persist(StorageLevel.MEMORY_AND_DISK)  # if lost, it is read again
+        try:
+            good, bad = _parted(records)
+            write_batch(batch_id, {"records": (good, path), "dead": (bad, dead_path)}, done, fmt, after)
+        finally:
+            records.unpersist()
+
+    writer = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger_options(trigger))
+    return (writer.queryName(name) if name else writer).start()
+
+
+def finished_batches(spark: SparkSession, done: str) -> DataFrame:
+    """What ``write_batch`` has finished: batch_id, sink, n_rows."""
+    return spark.read.parquet(done).select(F.col("batch_id").cast("bigint").alias("batch_id"), "sink", "n_rows")
+
+
 def run_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> bool:
     """Wait until any of the queries ends; false when time runs out first.  A
     failed query raises its error here."""

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from cuadrante.sources import files
@@ -81,3 +83,49 @@ def test_options():
     assert options["failOnDataLoss"] == "false" and options["subscribe"] == "clientes"
     assert ingest.trigger_options(None) == {"availableNow": True}
     assert ingest.trigger_options("2 minutes") == {"processingTime": "2 minutes"}
+
+
+class Stop(RuntimeError):
+    pass
+
+
+def test_each_row_once_whatever_stops_the_query(spark, tmp_path):
+    inbox, good, dead, done, state = (str(tmp_path / x) for x in ("in", "good", "dead", "done", "state"))
+    drop(tmp_path / "in", "1.txt", '[{"id": "a"}]', "broken")
+    seen = []
+
+    def run(*stop):
+        def after(batch_id, sink):
+            seen.append((batch_id, sink))
+            if (batch_id, sink) in stop:
+                raise Stop(sink)
+
+        source = ingest.file_stream_source(spark, inbox, "text", max_files=1)
+        q = ingest.start_once(source, SCHEMA, good, dead, done, state, after=after)
+        if stop:
+            with pytest.raises(StreamingQueryException):
+                ingest.finish_all([q])
+        else:
+            ingest.finish_all([q])
+
+    run((0, "records"))
+    assert ids(files.read_table(spark, good)) == ["a"] and seen == [(0, "records")]
+    run((0, "dead"))  # records of the batch are left alone
+    assert seen == [(0, "records"), (0, "dead")]
+    run()  # nothing is left to write
+    assert seen == [(0, "records"), (0, "dead")]
+    drop(tmp_path / "in", "2.txt", '[{"id": "b"}, {"id": "c", "edad": "x"}]')
+    run()
+    assert ids(files.read_table(spark, good)) == ["a", "b"]
+    letters = sorted((r["batch_id"], r["payload"]) for r in files.read_table(spark, dead).collect())
+    assert letters == [(0, "broken"), (1, '{"id":"c","edad":"x"}')]
+    finished = sorted(tuple(r) for r in ingest.finished_batches(spark, done).collect())
+    assert finished == [(0, "dead", 1), (0, "records", 1), (1, "dead", 1), (1, "records", 1)]
+
+
+def test_a_half_written_folder_is_replaced(spark, tmp_path):
+    path, done = str(tmp_path / "out"), str(tmp_path / "done")
+    spark.range(5).write.parquet(f"{path}/batch_id=3")  # written, not marked
+    assert ingest.write_batch(3, {"s": (spark.range(2), path)}, done) == ["s"]
+    assert ingest.write_batch(3, {"s": (spark.range(9), path)}, done) == []
+    assert sorted(r["id"] for r in files.read_table(spark, path).collect()) == [0, 1]
