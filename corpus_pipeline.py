@@ -17,6 +17,7 @@ from cuadrante.operators.ranking import sequential_id
 from cuadrante.session import pin
 
 MIN_QUALITY = 0.3
+BATCH_ROWS = 1000  # whole texts that Spark and Python hold for each other at once
 KEY = "_row_key"
 
 
@@ -25,6 +26,15 @@ def whole(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.struct(*(F.col(c) for c in docs.columns)).alias("row"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_ROWS`` rows at most, so that whole texts going to Python and
+    back hold little memory in either.  Results do not depend on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def parted(docs: DataFrame) -> DataFrame:
     """``docs`` as (text, row), where ``row`` has the other columns."""
     return docs.select("text", F.struct(*(F.col(c) for c in docs.columns if c != "text")).alias("row"))
@@ -38,6 +48,7 @@ def joined(rows: DataFrame, docs: DataFrame) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores below ``MIN_QUALITY`` go.  A null text
     counts as empty; repeated rows share a fate; an empty table stays empty."""
+    small_batches(spark)
     scored = quality_scores(spark, sf_dir, parted(docs), carry=("text", "row"))
     return joined(scored.filter(F.col("score") >= MIN_QUALITY), docs)
 
@@ -45,6 +56,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of no language go, null and empty texts among them.  An ambiguous one
     stays: a low score alone does not make a short or mixed document unclean."""
+    small_batches(spark)
     found = languages_of(spark, sf_dir, parted(docs), carry=("text", "row"))
     return joined(found.filter("lang_pred <> 'und'"), docs)
 
@@ -59,6 +71,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the row with the least id stays; rows without
     an id come after all others."""
+    small_batches(spark)
     ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     if ids.filter("n > 1 or doc_id is null").isEmpty():
         keyed = docs.withColumn(KEY, F.col("doc_id"))
@@ -71,6 +84,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of what is left and their places in sequences."""
+    small_batches(spark)
     return packed(docs)
 
 
