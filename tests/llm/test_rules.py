@@ -68,6 +68,34 @@ def test_shared_lines(frame):
         lines = (t or "").split("\n")
         left = [x for x in lines if len(sites.get(x.strip(" \t\r\x0b\x0c"), ())) < 10]
         want.append((i, "\n".join(left), sum(bool(x.strip(" \t\r\x0b\x0c")) for x in lines), len(lines) - len(left)))
-    got = [(r["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in line_dedup(frame(rows)).collect()]
-    assert sorted(map(str, got)) == sorted(map(str, want))
+    n_shared = sum(len(s) >= 10 for s in sites.values())
+    for sent_lines in (2_000_000, n_shared, n_shared - 1, 0):
+        got = [(r["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in line_dedup(frame(rows), sent_lines=sent_lines).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, want)), sent_lines
     assert line_dedup(frame([])).count() == 0
+
+
+def test_shared_lines_of_long_texts_stay_in_place(spark, frame):
+    """Whole texts are looked through, and no text is shuffled."""
+    from cuadrante.llm.line_dedup import line_dedup
+
+    long = "\n".join(["menu", *(f"line {i} of a long text" for i in range(60_000)), "menu"])
+    rows = [(i, f"menu\nown {i}", "en", f"site{i}") for i in range(15)] + [(99, long, "en", "site0"), (98, "x" * 2_000_000 + "\n menu", "en", None)]
+    out = line_dedup(frame(rows))
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in out.collect()}
+    assert got[99] == (long[5:-5], 2) and got[98] == ("x" * 2_000_000, 1) and got[3] == ("own 3", 1)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = line_dedup(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    joined = line_dedup(docs, sent_lines=0)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in joined
+
+
+def test_hashes_that_agree_by_half(spark):
+    """Lines are compared by both halves of their hashes."""
+    from cuadrante.llm.line_dedup import _sent
+
+    shared = spark.createDataFrame([((1, 2),), ((1, 3),), ((5, 5),)], "h struct<a:long,b:long>")
+    rows = spark.createDataFrame([([1, 1, 1, 5, 0], [2, 3, 4, 5, 0]), ([], []), ([9], [9])], "a array<long>, b array<long>").coalesce(1)
+    got = [r[0] for r in rows.select(_sent(shared)("a", "b")).collect()]
+    assert got == [[True, True, False, True, False], [], [False]]
