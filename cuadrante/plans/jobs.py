@@ -149,7 +149,12 @@ def delete_where(spark, d):
 )
 def upsert(spark, d):
     target = table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    changed = target.filter("c_custkey % 10 = 0").select(
+    return maintenance.upsert(target, _changes(target, F.col("c_custkey") % 10 == 0), "c_custkey", ["c_acctbal"])
+
+
+def _changes(target, changed):
+    """Other balances for the customers of ``changed``, and five new customers."""
+    rows = target.filter(changed).select(
         "c_custkey",
         F.when(F.col("c_custkey") != 20, F.round(F.col("c_acctbal") * F.lit(1.1), 4)).alias("c_acctbal"),
         F.lit("CHANGED").alias("c_mktsegment"),
@@ -161,7 +166,26 @@ def upsert(spark, d):
         (F.col("max_id") + F.col("i")).alias("c_custkey"), F.col("i").cast("double").alias("c_acctbal"),
         F.lit("NEW").alias("c_mktsegment"),
     )
-    return maintenance.upsert(target, changed.unionByName(new), "c_custkey", ["c_acctbal"])
+    return rows.unionByName(new)
+
+
+@query(
+    "upsert_files",
+    """WITH src AS (SELECT c_custkey, CASE WHEN c_custkey = 20 THEN NULL ELSE round(c_acctbal * 1.1::DOUBLE, 4) END AS c_acctbal,
+      'CHANGED' AS c_mktsegment FROM customer WHERE c_custkey % 10 = 0 AND c_custkey <= 150
+      UNION ALL SELECT (SELECT max(c_custkey) FROM customer) + i, i::DOUBLE, 'NEW' FROM range(1, 6) t(i))
+    SELECT c.c_custkey, CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE c.c_acctbal END AS c_acctbal, c.c_mktsegment
+    FROM customer c LEFT JOIN src s ON c.c_custkey = s.c_custkey
+    UNION ALL SELECT c_custkey, c_acctbal, c_mktsegment FROM src WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)""",
+)
+def upsert_files(spark, d):
+    """Customers in files by key range; changes among the first keys replace few of them."""
+    target = table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    path = scratch(spark, "customers")
+    files.write_table(target, path, partitions=16, sort_by=["c_custkey"])
+    source = _changes(target, (F.col("c_custkey") % 10 == 0) & (F.col("c_custkey") <= 150))
+    maintenance.upsert_files(spark, path, source, "c_custkey", ["c_acctbal"])
+    return files.read_table(spark, path)
 
 
 @query(
