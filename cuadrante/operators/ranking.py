@@ -18,6 +18,9 @@ from cuadrante.functions import keys as key_functions
 from cuadrante.session import pin
 
 HOT_ROWS = 5_000_000
+GROUP_LIMIT = 1000  # Spark limits groups before the shuffle up to this (spark.sql.optimizer.windowGroupLimitThreshold)
+BUCKETS = 256  # parts a round of top_k_per_group counts
+ROUNDS = 4  # rounds it takes at most; further rows are left to the numbering
 
 
 def _cols(x) -> list[Column]:
@@ -130,11 +133,64 @@ def daily_account_key(df: DataFrame, ts: str, order_by, width: int = 7,
     return out.withColumn(name, key).drop("_day", "_seq")
 
 
-def top_k_per_group(df: DataFrame, keys, order_by, k: int, name: str = "rn") -> DataFrame:
+def _span(values: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """For each key of ``values`` (keys, _v) with more than ``k`` values: ``_hi``, such that at
+    least ``k`` values are at most ``_hi``, and as few others as the rounds could tell.
+
+    A round cuts what may hold the k-th value into ``BUCKETS`` equal parts, counts them in
+    one aggregation (a row per key and part from each task), and goes on with the part
+    that holds the k-th.  It ends when that part holds few values or a single one.
+    """
+    big = values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    ).filter(F.col("_n") > k)
+    state = pin(big.select(*keys, "_lo", "_hi", F.lit(k).cast("bigint").alias("_need"), "_n"))
+    for _ in range(ROUNDS):
+        open_keys = (F.col("_n") > F.lit(k)) & (F.col("_lo") < F.col("_hi"))
+        if state.filter(open_keys).isEmpty():
+            break
+        match = _same_keys(keys)
+        renamed = state.filter(open_keys).select(*[F.col(c).alias(f"_h_{c}") for c in keys], "_lo", "_hi", "_need")
+        inside = values.join(renamed, match & F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        part = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * BUCKETS), F.lit(BUCKETS - 1))
+        parts = inside.groupBy(*keys, F.coalesce(part, F.lit(0)).alias("_part")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.max("_need").alias("_need")
+        )
+        before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        cut = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).filter(
+            (F.col("_before") < F.col("_need")) & (F.col("_before") + F.col("_n") >= F.col("_need"))
+        )
+        cut = cut.select(*keys, "_lo", "_hi", (F.col("_need") - F.col("_before")).alias("_need"), "_n")
+        state = pin(cut.unionByName(state.filter(~open_keys)))
+    return state.select(*keys, "_hi")
+
+
+def _same_keys(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in keys))
+
+
+def top_k_per_group(df: DataFrame, keys, order_by, k: int, name: str = "rn", lead: Column | None = None,
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """The first k rows of each key, numbered.
 
-    The filter on the row number is pushed below the shuffle (a group limit per
-    map task), so a hot key sends at most k rows per task.
+    Up to ``GROUP_LIMIT`` the filter on the row number is pushed below the shuffle (a
+    group limit per map task), so a hot key sends at most k rows per task.  Spark does
+    not do so for a larger ``k``; then rows beyond a key's threshold go first.  ``lead``
+    is a number that never falls along ``order_by`` (such as ``-F.col("amount")`` for a
+    falling amount): its k-th value of each key is narrowed down by counts, and only rows
+    up to there are numbered, hot keys range by range.  Rows whose ``lead`` is null or NaN
+    all stay to be numbered, as do ties; without ``lead`` all rows do.  The result is the same.
     """
-    w = Window.partitionBy(*_names(keys)).orderBy(*_cols(order_by))
-    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
+    if k <= GROUP_LIMIT:
+        w = Window.partitionBy(*_names(keys)).orderBy(*_cols(order_by))
+        return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
+    keys = _names(keys)
+    if lead is not None:
+        value = lead.cast("double")
+        df = pin(df.withColumn("_v", F.when(~F.isnan(value), value)))
+        ends = _span(df.filter("_v is not null").select(*keys, "_v"), keys, k)
+        ends = ends.select(*[F.col(c).alias(f"_h_{c}") for c in keys], F.col("_hi").alias("_h_end"))
+        df = df.join(ends, _same_keys(keys), "left")
+        df = df.filter(F.col("_h_end").isNull() | F.col("_v").isNull() | (F.col("_v") <= F.col("_h_end")))
+        df = pin(df.drop("_v", "_h_end", *[f"_h_{c}" for c in keys]))
+    return row_numbers(df, keys, order_by, name, hot_rows).filter(F.col(name) <= k).withColumn(name, F.col(name).cast("int"))

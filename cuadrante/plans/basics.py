@@ -262,6 +262,18 @@ def top_k_per_group(spark, d):
     return top.select("client", "event", "amount", "rn")
 
 
+@query(
+    "top_k_hot_key",
+    """SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice, rn::INT AS rn FROM (SELECT *, row_number() OVER
+    (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rn FROM lineitem) WHERE rn <= 5000""",
+)
+def top_k_hot_key(spark, d):
+    """The 5,000 dearest lines of each of three keys, which hold all rows."""
+    lines = table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    order = [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber"]
+    return ranking.top_k_per_group(lines, "l_returnflag", order, 5000, lead=-F.col("l_extendedprice"))
+
+
 @query(
     "weighted_centroid",
     with_("establishments")

@@ -32,6 +32,30 @@ def test_row_numbers_with_null_keys(spark):
     assert rows(got.filter("k = 1").select("rn")) == [(1,)]
 
 
+@pytest.mark.parametrize("k,hot", [(1001, 10**9), (1500, 100), (1999, 10), (5000, 500)])
+def test_large_k(spark, k, hot):
+    """Outliers, ties, nulls, NaN and infinities in the leading column."""
+    lead = F.when(F.col("id") % 97 == 0, None).when(F.col("id") % 101 == 0, float("nan")).when(F.col("id") == 1, float("-inf"))
+    lead = lead.when(F.col("id") % 1000 == 7, F.col("id") * 1e12).when(F.col("id") % 2 == 0, F.lit(5.0)).otherwise(F.rand(3))
+    key = F.when(F.col("id") % 10 < 6, 1).when(F.col("id") % 10 < 9, None).otherwise(F.col("id") % 70)
+    df = spark.range(20_000).select("id", key.alias("k"), lead.alias("x")).withColumn("other", F.lit("z"))
+    want = df.selectExpr("*", "row_number() OVER (PARTITION BY k ORDER BY x, id) AS w").filter(F.col("w") <= k)
+    got = ranking.top_k_per_group(df, "k", ["x", "id"], k, lead=F.col("x"), hot_rows=hot)
+    assert got.columns == ["id", "k", "x", "other", "rn"] and got.count() == want.count()
+    assert got.join(want, "id").filter("rn = w").count() == want.count()
+
+
+def test_large_k_numbers_few_rows(spark, monkeypatch):
+    """Rows beyond the threshold are gone before any of them is numbered."""
+    seen = []
+    plain = ranking.row_numbers
+    monkeypatch.setattr(ranking, "row_numbers", lambda df, *a: seen.append(df.count()) or plain(df, *a))
+    df = spark.range(200_000).select(F.lit(1).alias("k"), "id", (F.rand(1) * F.rand(2)).alias("x"))
+    got = ranking.top_k_per_group(df, "k", [F.desc("x"), "id"], 5000, lead=-F.col("x"))
+    assert got.count() == 5000 and 5000 <= seen[0] <= 10_000
+    assert ranking.top_k_per_group(df.limit(0), "k", ["x"], 5000, lead=F.col("x")).count() == 0
+
+
 def test_sequential_ids_are_dense_and_ordered(spark, skewed):
     got = ranking.sequential_id(skewed.drop("k"), "o", start=11, name="seq")
     want = skewed.selectExpr("id", "row_number() OVER (ORDER BY o) + 10 AS w")
