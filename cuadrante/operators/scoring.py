@@ -15,15 +15,16 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
-from pyspark.storagelevel import StorageLevel
 
 from cuadrante.functions import draws
+from cuadrante.operators import ranking
 from cuadrante.operators.relational import quarantine
+from cuadrante.session import pin
 
 SEED = 42
 TRAIN_SHARE = 0.7
@@ -50,13 +51,15 @@ class ModelConfig:
 
 @dataclass(frozen=True)
 class TrainedModel:
-    """A fitted pipeline with its held-out predictions and their evaluation."""
+    """A fitted pipeline with its held-out predictions and their evaluation.  ``labels`` is
+    the index of a text target's labels, else None."""
 
     model: PipelineModel
     predictions: DataFrame
     metrics: DataFrame
     quarantined: DataFrame
     confusion: DataFrame
+    labels: DataFrame | None = None
 
 
 def features(df: DataFrame, cols: Sequence[str], handle_invalid: str = "skip", name: str = "features") -> DataFrame:
@@ -77,12 +80,30 @@ def scaled_features(df: DataFrame, cols: Sequence[str], handle_invalid: str = "s
     return Pipeline(stages=scaled_stages(cols, handle_invalid)).fit(df).transform(df)
 
 
-def string_index(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """Label index by falling frequency, then alphabetically; nulls are skipped."""
-    indexer = StringIndexer(
-        inputCol=col, outputCol=name or f"{col}_index", handleInvalid="skip", stringOrderType="frequencyDesc"
-    )
-    return indexer.fit(df).transform(df)
+def label_table(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
+    """Labels (``col``) and their index ``name``: 0.0 for the most frequent one, equally
+    frequent ones in alphabetical order.  Nulls have none.
+
+    Labels are counted, sorted into ranges and numbered there, so there may be as many as
+    rows; none of them passes the driver.
+    """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    name = name or f"{col}_index"
+    numbered = ranking.sequential_id(counts, [F.desc("_n"), F.col(col).cast("string")], start=0, name=name)
+    return numbered.select(col, F.col(name).cast("double").alias(name))
+
+
+def string_index(df: DataFrame, col: str, name: str | None = None, labels: DataFrame | None = None) -> DataFrame:
+    """Label index by falling frequency, then alphabetically; nulls are skipped.
+
+    ``labels`` is a table that ``label_table`` made of other rows; rows with a label it
+    does not have are skipped too.  The join is one on equal labels, whose hot side
+    adaptive execution splits.
+    """
+    if labels is None:
+        labels = label_table(df, col, name)
+    index = next(c for c in labels.columns if c != col)
+    return df.join(labels, col).select(*df.columns, F.col(index).alias(name or f"{col}_index"))
 
 
 def segment(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = SEED, name: str = "segment") -> DataFrame:
@@ -124,32 +145,30 @@ def train_models(df: DataFrame, configs: Mapping[str, ModelConfig], keys: Sequen
                  share: float = TRAIN_SHARE) -> dict[str, TrainedModel]:
     """Train each configured model and evaluate it on held-out rows.
 
-    Rows with a null in a model's columns are quarantined for that model.  The
-    shared input is kept on the executors (spilling to disk) for the time of the
-    fits, since every one of them reads it many times.
+    Rows with a null in a model's columns are quarantined for that model.  The columns
+    the models need are written down once: every fit and every later look at
+    predictions reads the same rows, also after an executor is lost.
     """
-    shared = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {name: _train(shared, c, keys, share) for name, c in configs.items()}
-    finally:
-        shared.unpersist()
+    needed = [c for m in configs.values() for c in (*m.features, m.target)]
+    shared = pin(df.select(*dict.fromkeys([*keys, *needed])))
+    return {name: _train(shared, c, keys, share) for name, c in configs.items()}
 
 
 def _train(df: DataFrame, config: ModelConfig, keys: Sequence[str], share: float) -> TrainedModel:
     needed = [*keys, *config.features, config.target]
     ready, bad = quarantine(df.select(*dict.fromkeys(needed)), [*config.features, config.target])
     train, held_out = hash_split(ready, keys, share)
-    stages, label = [], config.target
+    counts = {"n_train": train.count(), "n_held_out": held_out.count(), "n_quarantined": bad.count()}
+    labels, label = None, config.target
     if isinstance(df.schema[config.target].dataType, StringType):
         label = f"{config.target}_indexed"
-        stages.append(StringIndexer(inputCol=config.target, outputCol=label, handleInvalid="skip"))
-    stages += [*scaled_stages(config.features), _classifier(config, label)]
-    model = Pipeline(stages=stages).fit(train)
+        labels = pin(label_table(train, config.target, label))
+        train, held_out = (pin(string_index(part, config.target, label, labels)) for part in (train, held_out))
+    model = Pipeline(stages=[*scaled_stages(config.features), _classifier(config, label)]).fit(train)
     predictions = model.transform(held_out)
     scored = evaluate(predictions, label, "prediction", None if config.multiclass else "rawPrediction")
-    counts = {"n_train": train.count(), "n_held_out": held_out.count(), "n_quarantined": bad.count()}
     scored = scored.withColumns({k: F.lit(v).cast("bigint") for k, v in counts.items()})
-    return TrainedModel(model, predictions, scored, bad, confusion_table(predictions, label))
+    return TrainedModel(model, predictions, scored, bad, confusion_table(predictions, label), labels)
 
 
 def confusion_table(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -53,6 +53,22 @@ def string_index(spark, d):
     return scoring.string_index(clients(spark, d).select("client", "tier"), "tier")
 
 
+@query(
+    "string_index_many_labels",
+    """WITH n AS (SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, l_partkey::VARCHAR) - 1 AS i FROM lineitem GROUP BY l_partkey),
+    o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey::VARCHAR) - 1 AS j FROM orders)
+    SELECT l_orderkey, l_linenumber, i::DOUBLE AS part_index, j::DOUBLE AS order_index
+    FROM lineitem JOIN n USING (l_partkey) JOIN o ON o_orderkey = l_orderkey""",
+)
+def string_index_many_labels(spark, d):
+    """Indices of two columns whose labels grow with the table, one from its own rows and
+    one from the labels of another table."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    orders = scoring.label_table(table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    out = scoring.string_index(scoring.string_index(lines, "l_partkey", "part_index"), "l_orderkey", "order_index", orders)
+    return out.select("l_orderkey", "l_linenumber", "part_index", "order_index")
+
+
 @query(
     "confusion_table",
     f"""SELECT (o_orderstatus = 'F')::INT AS label, ({md5_fraction("o_orderkey", salt="c")} < 0.4)::INT AS prediction, count(*) AS n
@@ -65,16 +81,29 @@ def confusion_table(spark, d):
     return scoring.confusion_table(guessed, "late", "guess")
 
 
-@query("feature_assembly")
+# The rows of training_frame: those whose average is known, and the side they fall on.
+_TRAINING = with_("clients", "history") + f""", frame AS (SELECT clients.*, n_events, client % 19 <> 0 AS known, {md5_fraction("client", salt="split")} < 0.7 AS train
+    FROM clients JOIN (SELECT client, count(*) AS n_events FROM history GROUP BY 1) USING (client))"""
+
+
+@query(
+    "feature_assembly",
+    _TRAINING + " SELECT client, 5 AS n_features, round(income, 6) AS income, round(expense, 6) AS expense, n_events::DOUBLE AS n_events FROM frame WHERE known",
+)
 def feature_assembly(spark, d):
     out = scoring.features(training_frame(spark, d), FEATURES, "skip")
-    return out.select("client", F.size(vector_to_array("features")).alias("n_features"))
+    v = vector_to_array("features")
+    out = out.select("client", F.size(v).alias("n_features"), v[0].alias("income"), v[1].alias("expense"), v[4].alias("n_events"))
+    return rounded(out, 6, "income", "expense")
 
 
-@query("segment")
+@query(
+    "segment",
+    _TRAINING + " SELECT client, known AS has_segment, CASE WHEN known THEN true END AS in_range FROM frame",
+)
 def segment(spark, d):
     out = scoring.segment(training_frame(spark, d), FEATURES)
-    return out.select("client", "segment")
+    return out.select("client", F.col("segment").isNotNull().alias("has_segment"), F.col("segment").between(0, 4).alias("in_range"))
 
 
 @query(
@@ -87,37 +116,56 @@ def hash_split(spark, d):
 
 
 def _evaluated(spark, d, **configs):
+    """Rows on each side of each model, and whether its measures are ones: shares, and an
+    area under the curve unless there are several classes."""
     models = scoring.train_models(training_frame(spark, d), configs, ["client"])
-    frames = [m.metrics.withColumn("model", F.lit(name)) for name, m in models.items()]
+    share = [F.col(c).between(0, 1) for c in ("weighted_precision", "weighted_recall", "weighted_f1")]
+    frames = [
+        m.metrics.select(
+            F.lit(name).alias("model"), "n_train", "n_held_out", "n_quarantined", "n_rows",
+            (reduce(lambda a, b: a & b, share) & (F.col("auc").isNull() if configs[name].multiclass else F.col("auc").between(0, 1))).alias("measured"),
+        )
+        for name, m in models.items()
+    ]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-@query("train_logistic")
+def _rows_of(model: str) -> str:
+    return _TRAINING + f""" SELECT '{model}' AS model, count(*) FILTER (WHERE known AND train) AS n_train, count(*) FILTER (WHERE known AND NOT train) AS n_held_out,
+    count(*) FILTER (WHERE NOT known) AS n_quarantined, count(*) FILTER (WHERE known AND NOT train) AS n_rows, true AS measured FROM frame"""
+
+
+@query("train_logistic", _rows_of("logistic"))
 def train_logistic(spark, d):
     return _evaluated(spark, d, logistic=scoring.ModelConfig("late", FEATURES, "logistic"))
 
 
-@query("train_gbt")
+@query("train_gbt", _rows_of("credit"))
 def train_gbt(spark, d):
     return _evaluated(spark, d, credit=scoring.ModelConfig("late", FEATURES, "gbt"))
 
 
-@query("train_xgboost_alias")
+@query("train_xgboost_alias", _rows_of("liquidity"))
 def train_xgboost_alias(spark, d):
     return _evaluated(spark, d, liquidity=scoring.ModelConfig("minimum", FEATURES, "xgboost"))
 
 
-@query("train_random_forest")
+@query("train_random_forest", _rows_of("status"))
 def train_random_forest(spark, d):
     return _evaluated(spark, d, status=scoring.ModelConfig("status", FEATURES, "random_forest", multiclass=True))
 
 
-@query("train_mlp")
+@query("train_mlp", _rows_of("network"))
 def train_mlp(spark, d):
     return _evaluated(spark, d, network=scoring.ModelConfig("late", FEATURES, "mlp", params={"maxIter": 20}))
 
 
-@query("blended_models")
+@query(
+    "blended_models",
+    _TRAINING
+    + """ SELECT client, CASE WHEN known AND NOT train THEN true END AS in_range, CASE WHEN known AND NOT train THEN 'Score Integral Completo'
+    ELSE 'Datos Insuficientes - Requiere Modelo Reducido' END AS routing FROM frame""",
+)
 def blended_models(spark, d):
     """Two models, their held-out probabilities blended over the full client list."""
     frame = training_frame(spark, d)
@@ -130,7 +178,8 @@ def blended_models(spark, d):
         ["client"],
     )
     scores = {n: m.predictions.select("client", scoring.probability().alias(n)) for n, m in models.items()}
-    return scoring.blend_scores(frame, "client", scores).select("client", "score", "routing")
+    out = scoring.blend_scores(frame, "client", scores)
+    return out.select("client", F.col("score").between(0, 1).alias("in_range"), "routing")
 
 
 _RULE = with_("history") + """, p AS (SELECT CASE status WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 ELSE 2.0 END::DOUBLE AS a,

@@ -65,3 +65,20 @@ def test_missing_score_is_routed(spark):
     q = spark.createDataFrame([(1, 1.0)], "c int, p_liquidity double")
     got = {r["c"]: (r["score"], r["routing"]) for r in scoring.blend_scores(base, "c", {"p_credit": p, "p_liquidity": q}).collect()}
     assert got == {1: (pytest.approx(0.7), scoring.COMPLETE), 2: (None, scoring.INCOMPLETE)}
+
+
+def test_labels_by_frequency(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,), ("",)], "t string").withColumn("other", F.lit(1))
+    got = scoring.string_index(df, "t")
+    assert sorted((r["t"], r["t_index"]) for r in got.collect()) == [("", 1.0), ("a", 2.0), ("b", 3.0), ("c", 0.0), ("c", 0.0)]
+    known = scoring.label_table(df.filter("t <> 'c'"), "t", "i")
+    assert sorted((r["t"], r["x"]) for r in scoring.string_index(df, "t", "x", known).collect()) == [("", 0.0), ("a", 1.0), ("b", 2.0)]
+    assert scoring.string_index(df.limit(0), "t").count() == 0
+
+
+def test_text_target_keeps_its_labels(frame):
+    config = scoring.ModelConfig("status", ["x", "y"], "random_forest", True, {"numTrees": 3})
+    got = scoring.train_models(frame, {"m": config}, ["id"])["m"]
+    counts = {r["status"]: r["status_indexed"] for r in got.labels.collect()}
+    assert sorted(counts.values()) == [0.0, 1.0, 2.0]
+    assert {r["label"] for r in got.confusion.collect()} <= set(counts.values())
