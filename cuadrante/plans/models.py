@@ -8,10 +8,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cuadrante.functions import draws
-from cuadrante.operators import relational, scoring
+from cuadrante.operators import network, relational, scoring
 from cuadrante.plans.basics import md5_fraction
 from cuadrante.plans.registry import query, rounded
 from cuadrante.plans.tables import clients, history, table, with_
+from cuadrante.session import pin
 
 FEATURES = ["income", "expense", "avg_amount", "std_amount", "n_events"]
 
@@ -182,6 +183,28 @@ def blended_models(spark, d):
     return out.select("client", F.col("score").between(0, 1).alias("in_range"), "routing")
 
 
+@query(
+    "train_network",
+    f"""WITH l AS (SELECT {md5_fraction("l_orderkey", "l_linenumber", salt="split")} < 0.7 AS train FROM lineitem)
+    SELECT count(*) FILTER (WHERE train) AS n_train, count(*) FILTER (WHERE NOT train) AS n_held_out, true AS above_floor, true AS probabilities FROM l""",
+)
+def train_network(spark, d):
+    """The network trained by mini-batches in shards: its area under the curve on held-out
+    lines must be above 0.9."""
+    lines = table(spark, d, "lineitem").withColumn("label", (F.col("l_extendedprice") > 35000).cast("double"))
+    lines = lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "label")
+    train, held_out = scoring.hash_split(lines, ["l_orderkey", "l_linenumber"])
+    net = network.train_network(train, ["l_quantity", "l_discount", "l_tax"], "label", ["l_orderkey", "l_linenumber"])
+    p = network.network_probability(net)
+    scored = pin(held_out.select("label", p.alias("p"), (p >= 0.5).cast("double").alias("prediction")))
+    measures = scoring.evaluate(scored, "label", "prediction", "p")
+    sides = scored.agg(F.count(F.lit(1)).alias("n_held_out"), F.min(F.col("p").between(0, 1)).alias("probabilities"))
+    return sides.select(
+        F.lit(train.count()).cast("bigint").alias("n_train"), "n_held_out",
+        F.lit(measures.first()["auc"] > 0.9).alias("above_floor"), "probabilities",
+    )
+
+
 _RULE = with_("history") + """, p AS (SELECT CASE status WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 ELSE 2.0 END::DOUBLE AS a,
       CASE WHEN amount < 150000 THEN 0.0 WHEN amount < 350000 THEN 1.0 ELSE 2.0 END::DOUBLE AS p FROM history)"""
 
