@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from cuadrante.functions import geo, measures
 
@@ -266,3 +267,47 @@ def table_profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool
         ]
     )
     return df.agg(*aggs).select(F.inline(cells))
+
+
+def column_sketches(df: DataFrame, cols: Sequence[str], shares: Sequence[float] = (0.25, 0.5, 0.75), top: int = 5,
+                    accuracy: int = 10_000, counters: int = 4096) -> DataFrame:
+    """One row per column: rows, nulls, distinct values, ``quantiles`` at the given shares
+    (of numbers; null for other types) and the ``top`` most frequent values with their
+    ``estimate``, from a single pass over ``df``.
+
+    All are sketches that tasks merge: their size does not grow with the table.  A
+    quantile's rank is off by at most one in ``accuracy`` of the rows.  Values are counted as
+    text by ``counters`` counters (a power of 2); an estimate is never below the true count
+    and above it by at most ``3.5 / counters`` of the rows.  Nulls are in no quantile and no
+    frequent value.  An empty table has zero rows and no values.
+    """
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(cols):
+        aggs.append(F.count_if(F.col(_quote(c)).isNull()).alias(f"_n{i}"))
+        aggs.append(F.approx_count_distinct(_quote(c)).alias(f"_d{i}"))
+        if c in numeric:
+            aggs.append(F.percentile_approx(F.col(_quote(c)).cast("double"), list(shares), accuracy).alias(f"_q{i}"))
+        aggs.append(F.expr(f"approx_top_k(cast({_quote(c)} as string), {top + 1}, {counters})").alias(f"_t{i}"))
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col("_rows").alias("rows"),
+                F.col(f"_n{i}").alias("nulls"),
+                F.col(f"_d{i}").alias("distinct_values"),
+                (F.col(f"_q{i}") if c in numeric else F.lit(None).cast("array<double>")).alias("quantiles"),
+                F.slice(F.filter(_frequent(f"_t{i}"), lambda x: x["value"].isNotNull()), 1, top).alias("frequent"),
+            )
+            for i, c in enumerate(cols)
+        ]
+    )
+    return df.agg(*aggs).select(F.inline(cells))
+
+
+def _frequent(counted: str) -> Column:
+    return F.transform(counted, lambda x: F.struct(x["item"].alias("value"), x["count"].alias("estimate")))
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

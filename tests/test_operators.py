@@ -203,3 +203,20 @@ def test_dissolve_and_crosstab(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4)], "k string, v int")
     got = {r["k"]: (r["pieces"], r["v"]) for r in relational.dissolve(df, "k", [F.sum("v").alias("v")]).collect()}
     assert got == {"a": (2, 3), None: (2, 7)}
+
+
+def test_column_sketches(spark):
+    n = 100_000
+    hot = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 5 == 0, None).when(F.col("id") % 7 == 0, "warm").otherwise(F.col("id").cast("string"))
+    df = spark.range(n).repartition(7).select("id", hot.alias("a `name`"), F.lit(None).cast("double").alias("nothing"))
+    got = {r["column"]: r for r in relational.column_sketches(df, df.columns, top=2).collect()}
+    true = {r[0]: r["count"] for r in df.groupBy(F.col("`a ``name```")).count().filter("`a ``name``` IN ('hot', 'warm')").collect()}
+    frequent = got["a `name`"]["frequent"]
+    assert [x["value"] for x in frequent] == ["hot", "warm"]
+    assert all(true[x["value"]] <= x["estimate"] <= true[x["value"]] + 3.5 / 4096 * n for x in frequent)
+    assert got["a `name`"]["nulls"] == df.filter("`a ``name``` IS NULL").count() and got["a `name`"]["quantiles"] is None
+    assert all(abs(q - s * n) <= n / 10_000 + 1 for q, s in zip(got["id"]["quantiles"], (0.25, 0.5, 0.75)))
+    assert abs(got["id"]["distinct_values"] / n - 1) < 0.15
+    assert got["nothing"]["nulls"] == n and got["nothing"]["quantiles"] is None and got["nothing"]["frequent"] == []
+    empty = relational.column_sketches(df.limit(0), ["id"]).first()
+    assert (empty["rows"], empty["quantiles"], empty["frequent"]) == (0, None, [])
