@@ -1,12 +1,16 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words (runs of letters, A-Z made lower) and word beginnings.  Every term of
-the sample of labelled documents is indexed.  Document frequencies are counted over the
-whole corpus; how surely a term tells the labels apart raises its weight and never
-takes a term out.  The postings of terms that many examples hold are cut into blocks
-whose largest weights bound what any example in a block can score; those of the other
-terms are few and summed at once.  A query opens blocks in the order of their bounds
-and stops when no closed block can still reach its nearest ``K``.
+the sample of labelled documents is indexed; document frequencies are counted over the
+whole corpus.  Labels play no part in the cosine: they act in the vote alone, where a
+neighbour counts by its closeness and by how much of it comes from terms that tell the
+labels apart.
+
+Texts are searched in groups.  The postings of terms that few examples hold are summed
+at once.  Those of the others are cut into blocks of examples, whose largest weights
+bound what any example in a block can score; each text opens the blocks of the largest
+bounds first, then all that can still reach its nearest ``K``, and no other.  Within a
+block the postings lie dense, so that one matrix product scores all texts that open it.
 """
 
 from __future__ import annotations
@@ -16,23 +20,27 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuadrante.llm import linear
-from cuadrante.llm.words import mix, text_bytes, text_words, word_spans
+from cuadrante.llm.words import SLICE, mix, text_bytes, text_words, word_spans
 from cuadrante.session import pin
 
 PER_LABEL = 6_000  # labelled documents of either label in the index, about
-FLOOR = 0.05  # weight of a term that may tell nothing
+FLOOR = 0.05  # weight in a vote of shared terms that tell nothing
 SURE = 3.0  # standard errors taken off a term's log odds ratio
+COMMON = 2_048  # terms held by most examples, whose postings lie in blocks
 FEW = 16  # terms that no more examples hold have no blocks
 BEGINNINGS = (4, 5)  # bytes of a longer word that are a term of their own
-K = 25
+K = 400
 BLOCK = 64
-FIRST_BLOCKS = 8
+FIRST_BLOCKS = 4  # opened beyond those that K examples fill
+GROUP = 128  # texts searched at once
+SEARCHED = 512  # texts whose order is made to suit
+CLUSTERS, ROUNDS = 16, 6  # of the order of examples
 PRIOR_WEIGHT = 0.5
+ERROR = 1.1 * COMMON * 2.0**-24  # of a single-precision sum of COMMON products up to 1 in all
 
 # Letters and all bytes beyond ASCII stay, A-Z lower; the rest parts words.
 _LETTERS = np.full(256, 32, np.uint8)
@@ -41,50 +49,102 @@ _LETTERS[97:123] = np.arange(97, 123)
 _LETTERS[65:91] = np.arange(97, 123)
 
 
-def terms_of(b: np.ndarray) -> np.ndarray:
-    """Hashes of a text's letter runs and of the beginnings of longer ones."""
+def _terms(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the letter runs of ``b`` and of the beginnings of longer ones, and where
+    each starts."""
     b = _LETTERS[b]
-    out = [text_words(b, fold=False)]
     first, last = word_spans(b)
+    out, starts = [text_words(b, fold=False)], [first]
     for n in BEGINNINGS:
         at = first[last - first > n]
         code = np.full(len(at), n, np.uint64)
         for k in range(n):
             code = code * np.uint64(256) + b[at + k]
         out.append(mix(code))
-    return np.concatenate(out).view(np.int64)
+        starts.append(at)
+    return np.concatenate(out).view(np.int64), np.concatenate(starts)
 
 
-class Index(NamedTuple):
-    """Labelled examples as blocked postings.
+def terms_of(b: np.ndarray) -> np.ndarray:
+    """Hashes of a text's letter runs and of the beginnings of longer ones."""
+    return _terms(b)[0]
+
+
+def known_terms(texts: list[np.ndarray], terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text the places of its terms in ``terms`` (ascending) and their counts.
+    Short texts are joined, so that whole runs of them are hashed and looked up at once."""
+    blank = np.array([32], np.uint8)
+    at = 0
+    while at < len(texts):
+        last, size = at + 1, len(texts[at]) + 1
+        while last < len(texts) and size + len(texts[last]) < SLICE:
+            size += len(texts[last]) + 1
+            last += 1
+        part = texts[at:last]
+        found, starts = _terms(np.concatenate([x for b in part for x in (b, blank)]))
+        ends = np.cumsum([len(b) + 1 for b in part])
+        distinct, which = np.unique(found, return_inverse=True)
+        place = np.searchsorted(terms, distinct)
+        place[place == len(terms)] = 0
+        place[terms[place] != distinct if len(terms) else slice(None)] = -1
+        place = place[which]
+        known = place >= 0
+        text = np.searchsorted(ends, starts[known], side="right")
+        both, n = np.unique(text * np.int64(len(terms)) + place[known], return_counts=True)
+        edges = np.searchsorted(both, np.arange(len(part) + 1) * np.int64(len(terms)))
+        for i in range(len(part)):
+            yield both[edges[i] : edges[i + 1]] - i * len(terms), n[edges[i] : edges[i + 1]]
+        at = last
+
 
-    ``terms`` (ascending hashes) have ``idf``; ``start[r, b]:start[r, b + 1]`` are the postings
-    of row r in block b; ``ceiling[r, b]`` is the largest weight among them.  ``row`` has
-    the row of each term, -1 for terms without blocks, and ``first[t]:first[t + 1]`` all
-    postings of term t; without ``row`` each term is its own row.  With the counts ``tf``
-    only what the rest follows from is sent to the tasks.
+class Index(NamedTuple):
+    """Labelled examples as postings, as the tasks see them; like examples lie together.
+
+    ``terms`` (ascending hashes) have ``idf``.  ``column`` has the place of a common term
+    in ``dense``, which holds the weights of such terms by example (padded to whole
+    blocks), and in ``ceiling``, which holds the largest of each block; it is -1 for the
+    other terms, whose postings are ``first[t]:first[t + 1]``.  ``told`` numbers the
+    telling terms from 1 (0: not telling); ``told_first[e]`` and on are those of example
+    e, at least a 0, and their weights times how telling they are.
     """
 
     terms: np.ndarray
     idf: np.ndarray
-    start: np.ndarray
+    column: np.ndarray
+    dense: np.ndarray
+    ceiling: np.ndarray
+    first: np.ndarray
     example: np.ndarray
     weight: np.ndarray
-    ceiling: np.ndarray
+    told: np.ndarray
+    told_first: np.ndarray
+    told_term: np.ndarray
+    told_weight: np.ndarray
+    label: np.ndarray
+    doc_id: np.ndarray
+    prior: float
+    slope: float
+    shift: float
+
+
+class Examples(NamedTuple):
+    """What an index follows from, as the driver keeps it and sends it to the tasks, which
+    open it once a worker: ``n`` terms an example, with their places in ``terms`` and counts."""
+
+    terms: np.ndarray
+    idf: np.ndarray
+    tell: np.ndarray
+    n: np.ndarray
+    t: np.ndarray
+    tf: np.ndarray
     label: np.ndarray
     doc_id: np.ndarray
     prior: float
     slope: float
     shift: float
-    row: np.ndarray | None = None
-    first: np.ndarray | None = None
-    tf: np.ndarray | None = None
 
     def __reduce__(self):
-        if self.tf is None:
-            return Index, tuple(self)
-        example = self.example.astype(np.min_scalar_type(len(self.label)))
-        return opened, (self.terms, self.idf, example, self.tf, self.first, self.label, self.doc_id, self.prior, self.slope, self.shift)
+        return opened, tuple(self)
 
 
 def _weights(t: np.ndarray, place: np.ndarray, tf: np.ndarray, idf: np.ndarray, examples: int) -> np.ndarray:
@@ -94,98 +154,161 @@ def _weights(t: np.ndarray, place: np.ndarray, tf: np.ndarray, idf: np.ndarray,
     w *= idf[t]
     norm = np.sqrt(np.bincount(place, w * w, examples))
     w /= np.where(norm > 0, norm, 1)[place]
-    return w
-
-
-def opened(terms: np.ndarray, idf: np.ndarray, example: np.ndarray, tf: np.ndarray, first: np.ndarray, label: np.ndarray, doc_id: np.ndarray, prior: float, slope: float, shift: float) -> Index:
-    """The index with the weights, blocks and ceilings of its postings, which are in the
-    order of term and example."""
-    t = np.repeat(np.arange(len(terms), dtype=np.int32), np.diff(first))
-    example = example.astype(np.int32)
-    w = _weights(t, example, tf, idf, len(label))
-    many = np.flatnonzero(np.diff(first) > FEW)
-    row = np.full(len(terms), -1, np.int32)
-    row[many] = np.arange(len(many))
-    blocks = (len(label) + BLOCK - 1) // BLOCK
-    place = t * np.int64(blocks + 1) + example // BLOCK
-    start = np.searchsorted(place, many[:, None] * (blocks + 1) + np.arange(blocks + 1)).astype(np.int32)
-    ceiling = np.zeros((len(many), blocks))
-    runs = np.flatnonzero(np.diff(place, prepend=-1)) if len(place) else np.empty(0, np.int64)
-    if len(runs):
-        most, at = np.maximum.reduceat(w, runs), place[runs]
-        in_row = row[at // (blocks + 1)] >= 0
-        ceiling[row[at[in_row] // (blocks + 1)], at[in_row] % (blocks + 1)] = most[in_row]
-    return Index(terms, idf, start, example, w, ceiling, label, doc_id, prior, slope, shift, row, first, tf)
-
-
-def vector(terms: np.ndarray, idf: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return w.astype(np.float32)
+
+
+def _alike(dense: np.ndarray) -> np.ndarray:
+    """An order of the examples in which those with like common terms lie together."""
+    some = dense[np.linspace(0, max(0, len(dense) - 1), min(CLUSTERS, len(dense))).astype(int)]
+    closest = np.zeros(len(dense), np.int64)
+    for _ in range(ROUNDS if dense.size else 0):
+        closest = (dense @ some.T).argmax(axis=1)
+        for c in range(len(some)):
+            mean = dense[closest == c].sum(axis=0)
+            norm = np.sqrt(mean @ mean)
+            some[c] = mean / norm if norm else 0
+    return np.argsort(closest, kind="stable")
+
+
+def opened(terms: np.ndarray, idf: np.ndarray, tell: np.ndarray, n: np.ndarray, t: np.ndarray, tf: np.ndarray, label: np.ndarray, doc_id: np.ndarray, prior: float, slope: float, shift: float) -> Index:
+    """The index of the examples: weights, blocks and ceilings."""
+    examples = len(label)
+    place = np.repeat(np.arange(examples, dtype=np.int32), n)
+    w = _weights(t, place, tf, idf, examples)
+    held = np.bincount(t, minlength=len(terms))
+    common = np.argsort(-held, kind="stable")[:COMMON]
+    common = np.sort(common[held[common] > FEW])
+    column = np.full(len(terms), -1, np.int32)
+    column[common] = np.arange(len(common))
+    inside = column[t] >= 0
+    blocks = -(-examples // BLOCK)
+    dense = np.zeros((blocks * BLOCK, len(common)), np.float32)
+    dense[place[inside], column[t[inside]]] = w[inside]
+    order = _alike(dense[:examples])
+    dense[:examples] = dense[order]
+    rank = np.empty(examples, np.int32)
+    rank[order] = np.arange(examples)
+    place = rank[place]
+    ceiling = dense.reshape(blocks, BLOCK, len(common)).max(axis=1)
+    told = np.zeros(len(terms), np.int32)
+    told[tell > 0] = np.arange(1, (tell > 0).sum() + 1)
+    telling = np.flatnonzero(told[t])
+    of = np.concatenate([np.arange(examples, dtype=np.int32), place[telling]])
+    by = np.argsort(of, kind="stable")
+    told_first = np.searchsorted(of[by], np.arange(examples + 1))
+    told_term = np.concatenate([np.zeros(examples, np.int32), told[t[telling]]])[by]
+    told_weight = np.concatenate([np.zeros(examples, np.float32), w[telling] * tell[t[telling]].astype(np.float32)])[by]
+    t, place, w = t[~inside], place[~inside], w[~inside]
+    by = np.argsort(t, kind="stable")
+    first = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=len(terms)))])
+    return Index(terms, idf, column, dense, ceiling, first, place[by], w[by], told, told_first, told_term, told_weight, label[order], doc_id[order], prior, slope, shift)
+
+
+def vector(idf: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Known terms of a text and their TF-IDF weights, of length 1."""
-    if not len(found) or not len(terms):
-        return np.empty(0, np.int64), np.empty(0)
-    at = np.searchsorted(terms, found)
-    at[at == len(terms)] = 0
-    at, n = np.unique(at[terms[at] == found], return_counts=True)
     w = (1 + np.log(n)) * idf[at]
     norm = np.sqrt(w @ w)
     return at, w / norm if norm else w
 
 
-def nearest(index: Index, at: np.ndarray, w: np.ndarray, k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """The ``k`` examples of largest cosine above 0 and their cosines; ties go to the
-    smaller place.  ``without`` leaves one example out."""
-    if not len(at):
-        return np.empty(0, np.int64), np.empty(0)
-    own = np.zeros(len(index.label))  # what terms without blocks add
-    if index.row is not None:
-        few = index.row[at] < 0
-        own = _sums(index, index.first[at[few]], index.first[at[few] + 1], w[few])
-        at, w = index.row[at[~few]], w[~few]
-    bound = w @ index.ceiling[at] + np.maximum.reduceat(own, np.arange(0, len(own), BLOCK))
-    order = np.argsort(-bound, kind="stable")
-    order = order[bound[order] > 0]
-    who, score, least, opened = np.empty(0, np.int64), np.empty(0), 0.0, 0
-    while opened < len(order) and bound[order[opened]] >= least - 1e-12:
-        # The most promising blocks first; then all that can still reach the k-th.
-        last = opened + FIRST_BLOCKS if not opened else int(np.searchsorted(-bound[order], -(least - 1e-12), side="right"))
-        hit, got = _scores(index, at, w, order[opened:last], own)
-        opened = max(last, opened + 1)
-        hit, got = (hit[hit != without], got[hit != without]) if without >= 0 else (hit, got)
-        who, score = np.concatenate([who, hit]), np.concatenate([score, got])
-        score = np.round(score, 12)
-        if len(who) > k:  # sort only what can be among the k
-            can = score >= np.partition(score, -k)[-k]
-            who, score = who[can], score[can]
-        best = np.lexsort((who, -score))[:k]
-        who, score = who[best], score[best]
-        least = score[-1] if len(who) == k else 0.0
-    return who, score
-
-
-def _sums(index: Index, first: np.ndarray, last: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """For each example, the weights of its postings in the given runs times ``w``."""
+def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the given runs, and the lengths of the runs."""
     n = last - first
     ends = np.cumsum(n)
-    posting = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - n), n)
-    return np.bincount(index.example[posting], np.repeat(w, n) * index.weight[posting], len(index.label))
-
-
-def _scores(index: Index, at: np.ndarray, w: np.ndarray, blocks: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The examples of ``blocks`` that share a term with the query, and their cosines."""
-    if 2 * len(blocks) > index.ceiling.shape[1]:  # long runs are read faster than many short ones
-        cosine = own + _sums(index, index.start[at, 0], index.start[at, -1], w)
-    else:
-        cosine = own + _sums(index, index.start[np.ix_(at, blocks)].ravel(), index.start[np.ix_(at, blocks + 1)].ravel(), np.repeat(w, len(blocks)))
-    inside = np.zeros(index.ceiling.shape[1], bool)
-    inside[blocks] = True
-    who = np.flatnonzero((cosine > 0) & np.repeat(inside, BLOCK)[: len(cosine)])
-    return who, cosine[who]
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - n), n), n
+
+
+def search(index: Index, queries: list[tuple[np.ndarray, np.ndarray]], k: int = K, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """For each query (terms, weights) the ``k`` examples of largest cosine above 0, their
+    cosines and the share of blocks opened; ties for the last places go to the smaller
+    id.  ``without`` names an example to leave out for each query (-1: none)."""
+    blocks = len(index.ceiling)
+    if not blocks:
+        return [(np.empty(0, np.int64), np.empty(0), 0.0)] * len(queries)
+    asked = np.zeros((len(queries), index.dense.shape[1]), np.float32)
+    for i, (t, w) in enumerate(queries):
+        column = index.column[t]
+        asked[i, column[column >= 0]] = w[column >= 0]
+    promise = asked @ index.ceiling.T
+    order = np.argsort(promise.argmax(axis=1), kind="stable")  # like queries open like blocks
+    out = [None] * len(queries)
+    for at in range(0, len(order), GROUP):
+        group = order[at : at + GROUP]
+        out_of = np.array([without[i] for i in group]) if without else np.full(len(group), -1)
+        found = _search(index, [queries[i] for i in group], asked[group], promise[group], k, out_of)
+        for i, one in zip(group, found):
+            out[i] = one
+    return out
 
 
-def vote(index: Index, who: np.ndarray, cosine: np.ndarray) -> float:
-    """Share of label 1 among the neighbours, each counting by its closeness; few or far
-    neighbours leave it near the share of the sample."""
-    close = cosine / (1.05 - np.minimum(cosine, 1.0))
-    return float((close @ index.label[who] + PRIOR_WEIGHT * index.prior) / (close.sum() + PRIOR_WEIGHT))
+def _search(index: Index, group: list[tuple[np.ndarray, np.ndarray]], asked: np.ndarray, promise: np.ndarray, k: int, without: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    examples, blocks = len(index.label), len(index.ceiling)
+    own = np.zeros((len(group), blocks * BLOCK))  # what terms without blocks add
+    for i, (t, w) in enumerate(group):
+        own[i, :examples] = _rare(index, t, w)
+    bound = promise * (1 + ERROR) + own.reshape(len(group), blocks, BLOCK).max(axis=2) + ERROR
+    most = min(blocks, -(-k // BLOCK) + FIRST_BLOCKS)
+    done = np.zeros(bound.shape, bool)
+    np.put_along_axis(done, np.argpartition(-bound, most - 1, axis=1)[:, :most], True, axis=1)
+    score = np.zeros(own.shape, np.float32)
+    _open(index, asked, own, done, score, without)
+    if most < blocks:  # all others that can still reach the k-th
+        least = np.partition(score, -k, axis=1)[:, -k] - ERROR
+        more = ~done & (bound >= least[:, None])
+        _open(index, asked, own, more, score, without)
+        done |= more
+    for i, (t, w) in enumerate(group):
+        s = score[i]
+        least = np.partition(s, -k)[-k] if k < len(s) else 0
+        who = np.flatnonzero(s >= least - 2 * ERROR if least > 2 * ERROR else s > 0)
+        if len(who) > k:  # some are too near to tell: in double precision
+            close = np.abs(s[who] - least) <= 2 * ERROR
+            sure, close = who[~close], who[close]
+            column = index.column[t]
+            exact = own[i, close] + index.dense[np.ix_(close, column[column >= 0])] @ w[column >= 0]
+            last = np.lexsort((index.doc_id[close], -np.round(exact, 12)))[: k - len(sure)]
+            who = np.concatenate([sure, close[last]])
+        who = who[np.argsort(-s[who], kind="stable")]
+        yield who, s[who].astype(np.float64), done[i].mean()
+
+
+def _rare(index: Index, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """For each example the sum over the query's terms without blocks."""
+    rare = index.column[t] < 0
+    t = t[rare]
+    posting, n = _runs(index.first[t], index.first[t + 1])
+    return np.bincount(index.example[posting], np.repeat(w[rare], n) * index.weight[posting], len(index.label))
+
+
+def _open(index: Index, asked: np.ndarray, own: np.ndarray, wanted: np.ndarray, score: np.ndarray, without: np.ndarray) -> None:
+    """Score the examples of the ``wanted`` blocks of each query.  Blocks that half of the
+    queries want are opened for all of them, neighbours in one product, and so marked."""
+    whole = wanted.mean(axis=0) > 0.5
+    wanted[:, whole] = True
+    edge = np.flatnonzero(np.diff(whole, prepend=False, append=False))
+    for a, b in zip(edge[::2] * BLOCK, edge[1::2] * BLOCK):
+        score[:, a:b] = own[:, a:b] + asked @ index.dense[a:b].T
+    for block in np.flatnonzero(wanted.any(axis=0) & ~whole):
+        inside, who = slice(block * BLOCK, (block + 1) * BLOCK), np.flatnonzero(wanted[:, block])
+        score[who, inside] = own[who, inside] + asked[who] @ index.dense[inside].T
+    at = np.flatnonzero(without >= 0)
+    score[at, without[at]] = 0
+
+
+def vote(index: Index, query: tuple[np.ndarray, np.ndarray], who: np.ndarray, cosine: np.ndarray) -> float:
+    """Share of label 1 among the neighbours, each counting by its closeness and by how
+    telling the terms are that it shares; few, far or untelling neighbours leave it near
+    the share of the labels."""
+    if not len(who):
+        return float(index.prior)
+    asked = np.zeros(index.told.max(initial=0) + 1, np.float32)
+    told = index.told[query[0]]
+    asked[told[told > 0]] = query[1][told > 0]
+    posting, n = _runs(index.told_first[who], index.told_first[who + 1])
+    shared = np.add.reduceat(asked[index.told_term[posting]] * index.told_weight[posting], np.cumsum(n) - n)
+    count = cosine / (1.05 - np.minimum(cosine, 1.0)) * (FLOOR + shared / cosine)
+    rest = FLOOR * PRIOR_WEIGHT
+    return float((count @ index.label[who] + rest * index.prior) / (count.sum() + rest))
 
 
 def _calibrated(index: Index, v: float) -> float:
@@ -222,70 +345,69 @@ def document_counts(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
         known = sent.value
         total = np.zeros(len(known), np.int64)
         for batch in batches:
-            for b in text_bytes(batch.column(0)):
-                found = terms_of(b)
-                at = np.searchsorted(known, found)
-                at[at == len(known)] = 0
-                total[np.unique(at[known[at] == found])] += 1
+            for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
+                for at, _ in known_terms(list(text_bytes(part.column(0))), known):
+                    total[at] += 1
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["t", "n"])
 
     got = docs.select("text").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    sent.unpersist()
     out = np.zeros(len(terms), np.int64)
     out[got["t"].to_numpy()] = got["n"].to_numpy()
     return out
 
 
 def _telling(a: np.ndarray, b: np.ndarray, pos: int, neg: int) -> np.ndarray:
-    """Weights of terms that ``a`` of ``pos`` and ``b`` of ``neg`` examples hold: the size of
-    the log odds ratio less ``SURE`` standard errors, and ``FLOOR`` for any term."""
+    """How telling terms are that ``a`` of ``pos`` and ``b`` of ``neg`` examples hold: the size
+    of the log odds ratio less ``SURE`` standard errors, not below 0."""
     if not pos or not neg:
-        return np.ones(len(a))
+        return np.zeros(len(a))
     a, b, no_a, no_b = a + 0.5, b + 0.5, pos - a + 0.5, neg - b + 0.5
-    return FLOOR + np.maximum(0, np.abs(np.log(a * no_b / (b * no_a))) - SURE * np.sqrt(1 / a + 1 / b + 1 / no_a + 1 / no_b))
+    return np.maximum(0, np.abs(np.log(a * no_b / (b * no_a))) - SURE * np.sqrt(1 / a + 1 / b + 1 / no_a + 1 / no_b))
+
 
+def _packed(examples: DataFrame, terms: np.ndarray) -> DataFrame:
+    """(doc_id, label, t, tf): the places of all terms and their counts as bytes of 32-bit
+    numbers."""
+    sent = examples.sparkSession.sparkContext.broadcast(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (batch.slice(at, 500) for batch in batches for at in range(0, batch.num_rows, 500)):
+            t = [np.searchsorted(sent.value, x.values.to_numpy()).astype(np.int32).tobytes() for x in part.column(2)]
+            tf = [x.values.to_numpy().tobytes() for x in part.column(3)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(t, pa.binary()), pa.array(tf, pa.binary())], names=["doc_id", "label", "t", "tf"])
 
-def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Index:
+    return examples.mapInArrow(run, "doc_id long, label int, t binary, tf binary")
+
+
+def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Examples:
     """An index of about ``per_label`` labelled documents of either label by all their terms.
 
     ``docs`` is (doc_id, text), ``labels`` (doc_id, label 0 or 1).  Null ids and labels
-    are left out; an id with several labels counts with the largest.  The frequencies of
-    the terms are those of all ``docs``.
+    are left out; an id with several labels counts with the largest, and repeated rows of a
+    drawn document are as many examples.  The frequencies of the terms are those of all
+    ``docs``.  Without labels, or with those of one kind, every text gets their share.
+    Spark finds the terms and their counts; the driver gets, for the drawn documents
+    alone, the packed places of their terms.
     """
     labels = labels.select("doc_id", F.col("label").cast("int").alias("label"))
     everyone = {r["label"]: r["n"] for r in labels.filter("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two labels
     sample = linear.draw_sample(labels, "label", per_label)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
-    rows = pin(rows)
-    got = rows.mapInArrow(_term_rows, "doc_id long, label int, terms array<long>, ns array<int>").toArrow()  # bounded by the sample
-    drawn = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = pin(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text"))
+    examples = pin(rows.mapInArrow(_term_rows, "doc_id long, label int, terms array<long>, ns array<int>").filter(F.size("terms") > 0))
+    drawn = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = drawn.get(1, 0), drawn.get(0, 0)
-    got = got.filter(pc.greater(pc.list_value_length(got["terms"]), 0)).combine_chunks()
-    names, y = got["doc_id"].to_numpy(), got["label"].to_numpy().astype(np.int64)
-    n = pc.list_value_length(got["terms"]).to_numpy()
-    place = np.repeat(np.arange(len(y), dtype=np.int32), n)
-    terms, t = np.unique(pc.list_flatten(got["terms"]).to_numpy(), return_inverse=True)
-    tf = pc.list_flatten(got["ns"]).to_numpy()
-    t, tf = t.astype(np.int32), tf.astype(np.min_scalar_type(tf.max(initial=0)))
-    del got
-    in_pos = np.bincount(t[y[place] == 1], minlength=len(terms))
-    in_neg = np.bincount(t[y[place] == 0], minlength=len(terms))
-    idf = np.log((docs.count() + 1) / (document_counts(docs, terms) + 1)) * _telling(in_pos, in_neg, pos, neg) if len(terms) else np.empty(0)
-    w = _weights(t, place, tf, idf, len(y))
-    # Examples with the same heaviest term lie together, so blocks are told apart.
-    heaviest = np.flatnonzero(w == np.maximum.reduceat(w, np.cumsum(n) - n)[place]) if len(w) else np.empty(0, np.int64)
-    _, at = np.unique(place[heaviest], return_index=True)
-    by_top = np.lexsort((names, t[heaviest[at]]))
-    rank = np.empty(len(y), np.int32)
-    rank[by_top] = np.arange(len(y))
-    names, y, place = names[by_top], y[by_top], rank[place]
-    del w, heaviest
-    order = np.argsort(t * np.int64(len(y)) + place)
-    place, tf = place[order], tf[order]
-    first = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=len(terms)))]).astype(np.int32)
-    del order, t
+    held = examples.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+    held = held.toArrow().sort_by("term")  # the sample's terms
+    terms = held["term"].to_numpy()
+    idf = np.log((docs.count() + 1) / (document_counts(docs, terms) + 1)) if len(terms) else np.empty(0)
+    tell = _telling(held["a"].to_numpy(), held["b"].to_numpy(), pos, neg)
+    got = _packed(examples, terms).toArrow().sort_by([("doc_id", "ascending"), ("t", "ascending")])  # bounded by the sample
+    n = np.array([len(x) // 4 for x in got["t"].to_pylist()], np.int64)
+    t, tf = (np.frombuffer(b"".join(got[c].to_pylist()), np.int32) for c in ("t", "tf"))
     share = everyone.get(1, 0) / max(1, sum(everyone.values()))
-    index = opened(terms, idf, place, tf, first, y, names, share, 1.0, 0.0)
+    index = Examples(terms, idf, tell, n, t, tf, got["label"].to_numpy().astype(np.int64), got["doc_id"].to_numpy(), share, 1.0, 0.0)
     # Votes of each example by the others, weighted back to the labels' own shares; the
     # sampled texts without a term vote as the prior does.
     if not pos or not neg:  # one kind of label, or none: every text gets its share
@@ -296,7 +418,7 @@ def fit_index(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) ->
     return index._replace(slope=slope, shift=shift)
 
 
-def left_out_votes(rows: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarray]:
+def left_out_votes(rows: DataFrame, index: Examples, k: int = K) -> tuple[np.ndarray, np.ndarray]:
     """For each of the sampled ``rows`` (doc_id, label, text), in the order of their ids,
     the vote of the other examples and its label."""
     sent = rows.sparkSession.sparkContext.broadcast(index)
@@ -305,10 +427,9 @@ def left_out_votes(rows: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarra
         ix = sent.value
         place = {int(i): j for j, i in enumerate(ix.doc_id)}
         for batch in batches:
-            votes = [
-                vote(ix, *nearest(ix, *vector(ix.terms, ix.idf, terms_of(b)), without=place.get(i, -1)))
-                for i, b in zip(batch.column(0).to_pylist(), text_bytes(batch.column(2)))
-            ]
+            queries = [vector(ix.idf, *f) for f in known_terms(list(text_bytes(batch.column(2))), ix.terms)]
+            found = search(ix, queries, k, [place.get(i, -1) for i in batch.column(0).to_pylist()])
+            votes = [vote(ix, q, who, cosine) for q, (who, cosine, _) in zip(queries, found)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(votes, pa.float64())], names=["doc_id", "label", "vote"])
 
     got = rows.mapInArrow(run, "doc_id long, label int, vote double").toArrow().sort_by([("doc_id", "ascending"), ("vote", "ascending")])  # bounded by the sample
@@ -316,12 +437,15 @@ def left_out_votes(rows: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarra
     return got["vote"].to_numpy(), got["label"].to_numpy()
 
 
-def score_toxicity(docs: DataFrame, index: Index, k: int = K, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``carry``, ``score`` (the chance of label 1) and ``evidence``: the ids, labels and
-    cosines of the three nearest examples.
+def score_toxicity(docs: DataFrame, index: Examples, k: int = K, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``carry``, ``score`` (the chance of label 1), ``evidence``: the ids, labels and cosines
+    of the three nearest examples, and ``opened``: the share of the index's blocks that were
+    scored.
 
     Texts that are null, empty or without a term of any example have no neighbours; they
-    are scored by the prior alone.
+    are scored by the prior alone.  Each row is scored by its own text, so repeated rows
+    score alike and an empty table stays empty; columns beside ``carry`` and ``text`` are
+    not read.  Long texts are scored whole.
     """
     sent = docs.sparkSession.sparkContext.broadcast(index)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
@@ -329,12 +453,13 @@ def score_toxicity(docs: DataFrame, index: Index, k: int = K, carry: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value
-        for batch in batches:
-            scores, shown = [], []
-            for b in text_bytes(batch.column(len(carry))):
-                who, cosine = nearest(ix, *vector(ix.terms, ix.idf, terms_of(b)), k)
-                scores.append(_calibrated(ix, vote(ix, who, cosine)))
+        for part in (batch.slice(at, SEARCHED) for batch in batches for at in range(0, batch.num_rows, SEARCHED)):
+            queries = [vector(ix.idf, *f) for f in known_terms(list(text_bytes(part.column(len(carry)))), ix.terms)]
+            scores, shown, shares = [], [], []
+            for q, (who, cosine, share) in zip(queries, search(ix, queries, k)):
+                scores.append(_calibrated(ix, vote(ix, q, who, cosine)))
                 shown.append([{"doc_id": int(ix.doc_id[j]), "label": int(ix.label[j]), "cosine": float(c)} for j, c in zip(who[:3], cosine[:3])])
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array(scores, pa.float64()), pa.array(shown, evidence)], names=[*carry, "score", "evidence"])
+                shares.append(float(share))
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(carry)], pa.array(scores, pa.float64()), pa.array(shown, evidence), pa.array(shares, pa.float64())], names=[*carry, "score", "evidence", "opened"])
 
-    return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(run, f"{fields}, score double, evidence array<struct<doc_id: long, label: int, cosine: double>>")
+    return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(run, f"{fields}, score double, evidence array<struct<doc_id: long, label: int, cosine: double>>, opened double")

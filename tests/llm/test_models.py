@@ -98,27 +98,40 @@ def test_toxicity(toxic, frame):
     assert toxicity.score_toxicity(frame([]), index).count() == 0
 
 
-def test_nearest_is_exact():
+@pytest.mark.parametrize("common, k", [(2048, 25), (20, 25), (0, 25), (20, 400), (20, 1000)])
+def test_nearest_is_exact(monkeypatch, common, k):
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    monkeypatch.setattr(toxicity, "FEW", 0)
     rng = np.random.default_rng(6)
     examples, terms = 700, 60
-    dense = np.where(rng.random((examples, terms)) < 0.08, rng.random((examples, terms)), 0)
-    dense[100:160] = dense[100]  # ties
-    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
-    t, place = np.nonzero(dense.T)
-    blocks = -(-examples // toxicity.BLOCK)
-    ceiling = np.zeros((terms, blocks))
-    np.maximum.at(ceiling, (t, place // toxicity.BLOCK), dense[place, t])
-    edges = np.arange(terms)[:, None] * (blocks + 1) + np.arange(blocks + 1)
-    start = np.searchsorted(t * (blocks + 1) + place // toxicity.BLOCK, edges)
-    index = toxicity.Index(np.arange(terms), np.ones(terms), start, place, dense[place, t], ceiling, np.zeros(examples, int), np.arange(examples), 0.1, 1.0, 0.0)
-    for q in range(80):
-        at = np.sort(rng.choice(terms, rng.integers(1, 9), replace=False))
-        w = rng.random(len(at))
-        all_scores = np.round(dense[:, at] @ w, 12)
-        best = np.lexsort((np.arange(examples), -all_scores))[:25]
-        best = best[all_scores[best] > 0]
-        who, cosine = toxicity.nearest(index, at, w, 25)
-        assert who.tolist() == best.tolist() and np.allclose(cosine, all_scores[best])
+    counts = np.where(rng.random((examples, terms)) < 0.08, rng.integers(1, 9, (examples, terms)), 0)
+    counts[100:160] = counts[100]  # ties
+    counts[counts.sum(axis=1) == 0, 0] = 1
+    idf = rng.random(terms) + 0.1
+    weight = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
+    weight /= np.linalg.norm(weight, axis=1, keepdims=True)
+    place, t = np.nonzero(counts)
+    ids = rng.permutation(examples)
+    index = toxicity.opened(np.arange(terms), idf, np.zeros(terms), (counts > 0).sum(axis=1), t.astype(np.int32), counts[place, t], np.zeros(examples, int), ids, 0.1, 1.0, 0.0)
+    queries = [(at := np.sort(rng.choice(terms, rng.integers(1, 9), replace=False)), (w := rng.random(len(at))) / np.linalg.norm(w)) for _ in range(300)]
+    without = [int(rng.integers(-1, examples)) for _ in queries]
+    for (at, w), e, (who, cosine, opened) in zip(queries, without, toxicity.search(index, queries, k, without)):
+        scores = dict(zip(ids.tolist(), np.round(weight.astype(np.float32)[:, at].astype(float) @ w, 12)))
+        if e >= 0:
+            del scores[int(index.doc_id[e])]
+        best = sorted((i for i in scores if scores[i] > 0), key=lambda i: (-scores[i], i))[:k]
+        assert sorted(index.doc_id[who].tolist()) == sorted(best) and 0 < opened <= 1
+        assert np.allclose(cosine, [scores[i] for i in index.doc_id[who].tolist()], atol=1e-6)
+
+
+def test_blocks_stay_closed():
+    """Texts of one vocabulary open no blocks of the other's examples."""
+    rng = np.random.default_rng(8)
+    side = np.arange(4000) % 2
+    t = np.sort(np.array([rng.choice(50, 10, replace=False) + 50 * s for s in side]), axis=1).astype(np.int32)
+    index = toxicity.opened(np.arange(100), np.ones(100), np.zeros(100), np.full(4000, 10), t.ravel(), np.ones(40000, int), side, np.arange(4000), 0.5, 1.0, 0.0)
+    found = toxicity.search(index, [(np.arange(10), np.full(10, 0.1**0.5))] * 5, 50)
+    assert all(opened < 0.6 and not index.label[who].any() for who, _, opened in found)
 
 
 def test_toxicity_without_labels(toxic, spark):
@@ -139,31 +152,104 @@ def test_toxicity_of_words_that_one_example_holds(frame, spark):
     assert all(r["evidence"] for r in out.values())
 
 
-def test_nearest_of_a_fitted_index_is_exact(toxic, spark, monkeypatch):
+def queries_of(index, texts):
+    found = toxicity.known_terms([np.frombuffer((t or "").encode(), np.uint8) for t in texts], index.terms)
+    return [toxicity.vector(index.idf, *f) for f in found]
+
+
+def test_terms_of_joined_texts(toxic):
+    _, index, rows = toxic
+    texts = [t for _, t in rows] + ["word " * 100_000 + "scum", "rotten", "", "a\x00b scum"]
+    for text, (at, n) in zip(texts, toxicity.known_terms([np.frombuffer((t or "").encode(), np.uint8) for t in texts], index.terms)):
+        terms, counts = np.unique(toxicity.terms_of(np.frombuffer((text or "").encode(), np.uint8)), return_counts=True)
+        known = np.isin(terms, index.terms)
+        assert (index.terms[at] == terms[known]).all() and (n == counts[known]).all()
+
+
+@pytest.mark.parametrize("common", [0, 30, 2048])
+def test_nearest_of_a_fitted_index_is_exact(toxic, spark, monkeypatch, common):
     docs, _, rows = toxic
-    monkeypatch.setattr(toxicity, "FEW", 100)
-    index = toxicity.fit_index(docs, spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id long, label int"))
-    assert (index.row < 0).any() and (index.row >= 0).any()
-    dense = np.zeros((len(index.label), len(index.terms)))
-    dense[index.example, np.repeat(np.arange(len(index.terms)), np.diff(index.first))] = index.weight
-    for i in range(0, 600, 7):
-        at, w = toxicity.vector(index.terms, index.idf, toxicity.terms_of(np.frombuffer(rows[i][1].encode(), np.uint8)))
-        full = dense[:, at] @ w
-        who, cosine = toxicity.nearest(index, at, w, 25)
-        assert np.allclose(cosine, np.sort(full)[::-1][:25]) and np.allclose(full[who], cosine)
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    fitted = toxicity.fit_index(docs, spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id long, label int"))
+    index = toxicity.opened(*fitted)
+    dense = np.zeros((len(fitted.label), len(fitted.terms)))
+    place = np.repeat(np.arange(len(fitted.label)), fitted.n)
+    dense[place, fitted.t] = (1 + np.log(fitted.tf)) * fitted.idf[fitted.t]
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    queries = queries_of(index, [t for _, t in rows[:600:7]])
+    for (at, w), (who, cosine, _) in zip(queries, toxicity.search(index, queries, 25)):
+        full = dict(zip(fitted.doc_id.tolist(), dense[:, at] @ w))
+        assert np.allclose(cosine, sorted(full.values())[::-1][:25], atol=1e-5)
+        assert np.allclose(cosine, [full[i] for i in index.doc_id[who].tolist()], atol=1e-5)
+
+
+def test_votes_and_scores_against_brute_force(toxic):
+    """Neighbours, telling terms, votes, calibration and scores from their definitions."""
+    docs, fitted, rows = toxic
+    examples = [(i, int(i % 5 == 0)) for i in range(400)]
+    bags = [dict(zip(*np.unique(toxicity.terms_of(np.frombuffer((t or "").encode(), np.uint8)), return_counts=True))) for _, t in rows]
+    df = {}
+    for bag in bags:
+        for t in bag:
+            df[t] = df.get(t, 0) + 1
+    known = {t for i, _ in examples for t in bags[i]}
+    tell = {}
+    for t in known:
+        a, b = (sum(t in bags[i] for i, y in examples if y == label) + 0.5 for label in (1, 0))
+        c, d = 80 - a + 1, 320 - b + 1
+        tell[t] = max(0, abs(np.log(a * d / (b * c))) - 3 * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
+
+    def unit(bag):
+        w = {t: (1 + np.log(n)) * np.log((len(rows) + 1) / (df[t] + 1)) for t, n in bag.items() if t in known}
+        norm = np.sqrt(sum(x * x for x in w.values()))
+        return {t: x / norm for t, x in w.items()} if norm else w
+
+    units = [unit(bag) for bag in bags]
+
+    def voted(q, without=-1):
+        near = []
+        for i, y in examples:
+            shared = {t: q[t] * x for t, x in units[i].items() if t in q}
+            c = sum(shared.values())
+            if i != without and c > 0:
+                near.append((-c, i, y, sum(x * tell[t] for t, x in shared.items())))
+        top, all_ = 0.05 * 0.5 * 0.2, 0.05 * 0.5
+        for c, _, y, told in sorted(near)[: toxicity.K]:
+            g = -c / (1.05 - min(-c, 1)) * (0.05 + told / -c)
+            top, all_ = top + g * y, all_ + g
+        return top / all_
+
+    votes = np.array([voted(units[i], i) for i, _ in examples])
+    slope, shift = toxicity._calibrate(votes, np.array([y for _, y in examples]), np.ones(400))
+    assert np.isclose(fitted.slope, slope, rtol=1e-3) and np.isclose(fitted.shift, shift, rtol=1e-3)
+    out = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, fitted).collect()}
+    for (i, _), q in list(zip(rows, units))[::9]:
+        assert np.isclose(out[i], 1 / (1 + np.exp(-(slope * voted(q) + shift))), atol=1e-4)
+
+
+def test_toxicity_of_long_repeated_and_tied_texts(frame, spark):
+    rng = random.Random(3)
+    rows = [(i % 150, sentence(rng, EN, 30) + (" scum vile" if i % 150 % 5 == 0 else "")) for i in range(300)]  # ids twice
+    rows += [(1000, sentence(rng, EN, 60_000) + " scum vile"), (1001, "same text"), (1002, "same text"), (1002, "same text")]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(150)] + [(1000, 1), (1001, 0), (1002, 0)], "doc_id long, label int")
+    docs = frame(rows)
+    out = toxicity.score_toxicity(docs, toxicity.fit_index(docs, labels)).collect()
+    assert len(out) == len(rows) and len({r["score"] for r in out if r["doc_id"] in (1001, 1002)}) == 1
+    assert all(0 <= r["score"] <= 1 for r in out)
 
 
 def test_left_out_votes_run_in_tasks(toxic, spark, monkeypatch):
-    docs, index, rows = toxic
+    docs, fitted, rows = toxic
     labels = [(i, int(i % 5 == 0)) for i in range(400)]
-    votes, truth = toxicity.left_out_votes(spark.createDataFrame([(i, y, rows[i][1]) for i, y in labels], "doc_id long, label int, text string"), index)
+    votes, truth = toxicity.left_out_votes(spark.createDataFrame([(i, y, rows[i][1]) for i, y in labels], "doc_id long, label int, text string"), fitted)
     assert truth.tolist() == [y for _, y in labels]
-    for i in range(0, 400, 9):
-        at, w = toxicity.vector(index.terms, index.idf, toxicity.terms_of(np.frombuffer(rows[i][1].encode(), np.uint8)))
-        own = int(np.flatnonzero(index.doc_id == i)[0])
-        assert np.isclose(votes[i], toxicity.vote(index, *toxicity.nearest(index, at, w, without=own)))
+    index = toxicity.opened(*fitted)
+    queries = queries_of(index, [rows[i][1] for i in range(0, 400, 9)])
+    own = [int(np.flatnonzero(index.doc_id == i)[0]) for i in range(0, 400, 9)]
+    for i, q, (who, cosine, _) in zip(range(0, 400, 9), queries, toxicity.search(index, queries, without=own)):
+        assert np.isclose(votes[i], toxicity.vote(index, q, who, cosine), atol=1e-5)
     # The driver itself searches no neighbours.
-    monkeypatch.setattr(toxicity, "nearest", None)
+    monkeypatch.setattr(toxicity, "search", None)
     monkeypatch.setattr(toxicity, "left_out_votes", lambda rows, index: (votes, truth))
     again = toxicity.fit_index(docs, spark.createDataFrame(labels + [(None, 1), (3, None)], "doc_id long, label int"))
-    assert np.isclose(again.slope, index.slope) and np.isclose(again.shift, index.shift)
+    assert np.isclose(again.slope, fitted.slope) and np.isclose(again.shift, fitted.shift)
