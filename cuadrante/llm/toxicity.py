@@ -103,9 +103,8 @@ class Index(NamedTuple):
     ``terms`` (ascending hashes) have ``idf``.  ``column`` has the place of a common term
     in ``dense``, which holds the weights of such terms by example (padded to whole
     blocks), and in ``ceiling``, which holds the largest of each block; it is -1 for the
-    other terms, whose postings are ``first[t]:first[t + 1]``.  ``told`` numbers the
-    telling terms from 1 (0: not telling); ``told_first[e]`` and on are those of example
-    e, at least a 0, and their weights times how telling they are.
+    other terms, whose postings are ``first[t]:first[t + 1]``.  ``tell`` is how telling
+    each term is.
     """
 
     terms: np.ndarray
@@ -116,10 +115,7 @@ class Index(NamedTuple):
     first: np.ndarray
     example: np.ndarray
     weight: np.ndarray
-    told: np.ndarray
-    told_first: np.ndarray
-    told_term: np.ndarray
-    told_weight: np.ndarray
+    tell: np.ndarray
     label: np.ndarray
     doc_id: np.ndarray
     prior: float
@@ -190,18 +186,10 @@ def opened(terms: np.ndarray, idf: np.ndarray, tell: np.ndarray, n: np.ndarray,
     rank[order] = np.arange(examples)
     place = rank[place]
     ceiling = dense.reshape(blocks, BLOCK, len(common)).max(axis=1)
-    told = np.zeros(len(terms), np.int32)
-    told[tell > 0] = np.arange(1, (tell > 0).sum() + 1)
-    telling = np.flatnonzero(told[t])
-    of = np.concatenate([np.arange(examples, dtype=np.int32), place[telling]])
-    by = np.argsort(of, kind="stable")
-    told_first = np.searchsorted(of[by], np.arange(examples + 1))
-    told_term = np.concatenate([np.zeros(examples, np.int32), told[t[telling]]])[by]
-    told_weight = np.concatenate([np.zeros(examples, np.float32), w[telling] * tell[t[telling]].astype(np.float32)])[by]
     t, place, w = t[~inside], place[~inside], w[~inside]
     by = np.argsort(t, kind="stable")
     first = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=len(terms)))])
-    return Index(terms, idf, column, dense, ceiling, first, place[by], w[by], told, told_first, told_term, told_weight, label[order], doc_id[order], prior, slope, shift)
+    return Index(terms, idf, column, dense, ceiling, first, place[by].astype(np.intp), w[by], tell, label[order], doc_id[order], prior, slope, shift)
 
 
 def vector(idf: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,25 +237,29 @@ def _search(index: Index, group: list[tuple[np.ndarray, np.ndarray]], asked: np.
     bound = promise * (1 + ERROR) + own.reshape(len(group), blocks, BLOCK).max(axis=2) + ERROR
     most = min(blocks, -(-k // BLOCK) + FIRST_BLOCKS)
     done = np.zeros(bound.shape, bool)
-    np.put_along_axis(done, np.argpartition(-bound, most - 1, axis=1)[:, :most], True, axis=1)
+    best = np.argpartition(-bound, most - 1, axis=1)[:, :most]
+    np.put_along_axis(done, best, True, axis=1)
     score = np.zeros(own.shape, np.float32)
     _open(index, asked, own, done, score, without)
-    if most < blocks:  # all others that can still reach the k-th
-        least = np.partition(score, -k, axis=1)[:, -k] - ERROR
+    least = np.zeros(len(group))
+    if most < blocks:  # all others that can still reach the k-th of these
+        reached = np.take_along_axis(score.reshape(len(group), blocks, BLOCK), best[:, :, None], axis=1).reshape(len(group), -1)
+        least = np.partition(reached, -k, axis=1)[:, -k] - 2 * ERROR
         more = ~done & (bound >= least[:, None])
         _open(index, asked, own, more, score, without)
         done |= more
     for i, (t, w) in enumerate(group):
         s = score[i]
-        least = np.partition(s, -k)[-k] if k < len(s) else 0
-        who = np.flatnonzero(s >= least - 2 * ERROR if least > 2 * ERROR else s > 0)
+        who = np.flatnonzero(s >= least[i] if least[i] > 0 else s > 0)
+        if len(who) > k:
+            last = np.partition(s[who], -k)[-k]
+            who = who[s[who] >= last - 2 * ERROR]
         if len(who) > k:  # some are too near to tell: in double precision
-            close = np.abs(s[who] - least) <= 2 * ERROR
+            close = np.abs(s[who] - last) <= 2 * ERROR
             sure, close = who[~close], who[close]
             column = index.column[t]
             exact = own[i, close] + index.dense[np.ix_(close, column[column >= 0])] @ w[column >= 0]
-            last = np.lexsort((index.doc_id[close], -np.round(exact, 12)))[: k - len(sure)]
-            who = np.concatenate([sure, close[last]])
+            who = np.concatenate([sure, close[np.lexsort((index.doc_id[close], -np.round(exact, 12)))[: k - len(sure)]]])
         who = who[np.argsort(-s[who], kind="stable")]
         yield who, s[who].astype(np.float64), done[i].mean()
 
@@ -301,11 +293,11 @@ def vote(index: Index, query: tuple[np.ndarray, np.ndarray], who: np.ndarray, co
     the share of the labels."""
     if not len(who):
         return float(index.prior)
-    asked = np.zeros(index.told.max(initial=0) + 1, np.float32)
-    told = index.told[query[0]]
-    asked[told[told > 0]] = query[1][told > 0]
-    posting, n = _runs(index.told_first[who], index.told_first[who + 1])
-    shared = np.add.reduceat(asked[index.told_term[posting]] * index.told_weight[posting], np.cumsum(n) - n)
+    t, w = query
+    telling = index.tell[t] > 0
+    t, w = t[telling], w[telling] * index.tell[t[telling]]
+    column = index.column[t]
+    shared = _rare(index, t, w)[who] + index.dense[np.ix_(who, column[column >= 0])] @ w[column >= 0].astype(np.float32)
     count = cosine / (1.05 - np.minimum(cosine, 1.0)) * (FLOOR + shared / cosine)
     rest = FLOOR * PRIOR_WEIGHT
     return float((count @ index.label[who] + rest * index.prior) / (count.sum() + rest))
@@ -454,12 +446,14 @@ def score_toxicity(docs: DataFrame, index: Examples, k: int = K, carry: tuple[st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value
         for part in (batch.slice(at, SEARCHED) for batch in batches for at in range(0, batch.num_rows, SEARCHED)):
-            queries = [vector(ix.idf, *f) for f in known_terms(list(text_bytes(part.column(len(carry)))), ix.terms)]
+            texts = part.column(len(carry)).fill_null("").dictionary_encode()  # equal texts are searched once
+            queries = [vector(ix.idf, *f) for f in known_terms(list(text_bytes(texts.dictionary)), ix.terms)]
             scores, shown, shares = [], [], []
             for q, (who, cosine, share) in zip(queries, search(ix, queries, k)):
                 scores.append(_calibrated(ix, vote(ix, q, who, cosine)))
                 shown.append([{"doc_id": int(ix.doc_id[j]), "label": int(ix.label[j]), "cosine": float(c)} for j, c in zip(who[:3], cosine[:3])])
                 shares.append(float(share))
-            yield pa.RecordBatch.from_arrays([*part.columns[: len(carry)], pa.array(scores, pa.float64()), pa.array(shown, evidence), pa.array(shares, pa.float64())], names=[*carry, "score", "evidence", "opened"])
+            found = (pa.array(scores, pa.float64()), pa.array(shown, evidence), pa.array(shares, pa.float64()))
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(carry)], *(f.take(texts.indices) for f in found)], names=[*carry, "score", "evidence", "opened"])
 
     return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(run, f"{fields}, score double, evidence array<struct<doc_id: long, label: int, cosine: double>>, opened double")
