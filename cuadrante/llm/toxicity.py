@@ -28,8 +28,8 @@ from cuadrante.llm.words import SLICE, mix, text_bytes, text_words, word_spans
 from cuadrante.session import pin
 
 PER_LABEL = 6_000  # labelled documents of either label in the index, about
-FLOOR = 0.05  # weight in a vote of shared terms that tell nothing
-SURE = 3.0  # standard errors taken off a term's log odds ratio
+FLOOR = 0.02  # weight in a vote of shared terms that tell nothing
+SURE = 2.0  # standard errors taken off a term's log odds ratio
 COMMON = 2_048  # terms held by most examples, whose postings lie in blocks
 FEW = 16  # terms that no more examples hold have no blocks
 BEGINNINGS = (4, 5)  # bytes of a longer word that are a term of their own

@@ -197,7 +197,7 @@ def test_votes_and_scores_against_brute_force(toxic):
     for t in known:
         a, b = (sum(t in bags[i] for i, y in examples if y == label) + 0.5 for label in (1, 0))
         c, d = 80 - a + 1, 320 - b + 1
-        tell[t] = max(0, abs(np.log(a * d / (b * c))) - 3 * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
+        tell[t] = max(0, abs(np.log(a * d / (b * c))) - toxicity.SURE * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
 
     def unit(bag):
         w = {t: (1 + np.log(n)) * np.log((len(rows) + 1) / (df[t] + 1)) for t, n in bag.items() if t in known}
@@ -213,9 +213,9 @@ def test_votes_and_scores_against_brute_force(toxic):
             c = sum(shared.values())
             if i != without and c > 0:
                 near.append((-c, i, y, sum(x * tell[t] for t, x in shared.items())))
-        top, all_ = 0.05 * 0.5 * 0.2, 0.05 * 0.5
+        top, all_ = toxicity.FLOOR * 0.5 * 0.2, toxicity.FLOOR * 0.5
         for c, _, y, told in sorted(near)[: toxicity.K]:
-            g = -c / (1.05 - min(-c, 1)) * (0.05 + told / -c)
+            g = -c / (1.05 - min(-c, 1)) * (toxicity.FLOOR + told / -c)
             top, all_ = top + g * y, all_ + g
         return top / all_
 
