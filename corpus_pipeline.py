@@ -13,6 +13,7 @@ from cuadrante.llm.common import bounded
 from cuadrante.llm.exact_dedup import exact_dedup
 from cuadrante.llm.near_dedup import near_dedup
 from cuadrante.llm.queries import languages_of, packed, quality_scores
+from cuadrante.llm.word_table import BLOCK, PLACES
 from cuadrante.operators.ranking import sequential_id
 from cuadrante.session import pin
 
@@ -83,9 +84,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of what is left and their places in sequences."""
+    """The token pieces of what is left and their places in sequences.  The executors' heaps
+    are large by now, so a worker holds half the words and a quarter of the bytes at once."""
     small_batches(spark)
-    return packed(docs)
+    return packed(docs, places=PLACES // 2, block=BLOCK // 4)
 
 
 STAGES = [

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cuadrante.llm import linear
 from cuadrante.llm.common import text_column
 from cuadrante.llm.words import text_bytes
+from cuadrante.llm.worker import lean
 from cuadrante.session import pin
 
 BITS = 14
@@ -124,7 +125,7 @@ def _bits_right(rows: DataFrame, model: Model, bits: int) -> DataFrame:
                 [pa.array(np.repeat(np.array(langs, object), n), pa.string()), pa.array(np.tile(np.arange(n, dtype=np.int32), len(langs))), pa.array(np.concatenate(right).astype(np.int32) if right else [], pa.int32())], names=["lang", "bit", "right"]
             )
 
-    return rows.mapInArrow(run, "lang string, bit int, right int")
+    return rows.mapInArrow(lean(run), "lang string, bit int, right int")
 
 
 def decode(margins: np.ndarray, model: Model) -> tuple[int, float]:
@@ -148,7 +149,6 @@ def identify(docs: DataFrame, model: Model, bits: int = BITS, min_score: float =
     own, at = text_column(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # of earlier stages in this worker
         m = sent.value
         for batch in batches:
             names, scores = [], []
@@ -166,4 +166,4 @@ def identify(docs: DataFrame, model: Model, bits: int = BITS, min_score: float =
                 [*batch.columns[: len(carry)], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array([s < min_score for s in scores], pa.bool_())], names=[*carry, "lang_pred", "score", "ambiguous"]
             )
 
-    return docs.select(*carry, *own).mapInArrow(run, schema)
+    return docs.select(*carry, *own).mapInArrow(lean(run), schema)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cuadrante.llm.common import hash_share
 from cuadrante.llm.words import text_bytes
+from cuadrante.llm.worker import give_back, lean
 from cuadrante.session import pin
 
 Features = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -61,13 +62,14 @@ def _examples(features: Features, outputs: int):
                     [part.column(0), part.column(1).cast(pa.list_(pa.float64())), pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32())), pa.array([x for _, x in found], pa.list_(pa.float64()))], schema=schema
                 )
 
-    return run
+    return lean(run)
 
 
 def _fit_shard(size: int, outputs: int, epochs: int, settings: dict):
     schema = pa.schema([("i", pa.int32()), ("w", pa.list_(pa.float64()))])
 
     def run(table: pa.Table) -> pa.Table:
+        give_back()
         table = table.sort_by("doc_id").combine_chunks()
         order = np.random.default_rng(7).permutation(table.num_rows)
         y = np.array(table["y"].to_pylist()).reshape(-1, outputs)

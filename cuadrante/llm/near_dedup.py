@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from cuadrante.llm.common import bounded
 from cuadrante.llm.words import mix, ngrams, shingles, text_bytes, text_words
+from cuadrante.llm.worker import lean
 from cuadrante.operators.clusters import components
 from cuadrante.operators.ranking import sequential_id
 from cuadrante.session import pin
@@ -67,7 +68,6 @@ def _text_shingles(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 def _sign(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # of earlier stages in this worker
         for batch in batches:
             counts, d1, d2, halves = [], [], [], []
             for s in _text_shingles(batch.column(1), size):
@@ -78,12 +78,11 @@ def _sign(size: int):
                 halves.append(half_keys(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(halves, pa.list_(pa.int64()))], schema=_SIGN_ARROW)
 
-    return run
+    return lean(run)
 
 
 def _gather_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # of earlier stages in this worker
         for batch in batches:
             for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
                 d1, sets = [], []
@@ -92,7 +91,7 @@ def _gather_sets(size: int):
                     sets.append(s.view(np.int64))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(d1, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], schema=_SETS_ARROW)
 
-    return run
+    return lean(run)
 
 
 def _tables(classes: DataFrame) -> DataFrame:

@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuadrante.llm.word_table import WordTable, between_spaces, text_blocks
+from cuadrante.llm.word_table import BLOCK, PLACES, WordTable, between_spaces, text_blocks
+from cuadrante.llm.worker import lean
 from cuadrante.operators.ranking import sequential_id
 from cuadrante.session import pin
 
@@ -30,7 +31,7 @@ FILLINGS = 6  # tried at a node
 Pattern = tuple[tuple[int, int], ...]  # (length, copies) of one sequence, longest first
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False, places: int = PLACES, block: int = BLOCK) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` (and the ids as little-endian
     unsigned 32-bit numbers) of each piece of ``docs`` (doc_id, text).
 
@@ -38,21 +39,22 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
     Null text counts as empty and is one piece of length 1.  Rows that repeat an id give
     pieces of their own; other columns are left out; an empty table gives no rows.
     ``tokenizer`` is the path of a tokenizer file that every executor has; it must drop
-    blanks and line feeds and never join what stands on their two sides.
+    blanks and line feeds and never join what stands on their two sides.  ``places`` of the
+    word table and ``block``, the bytes of texts cut at once, bound what a worker holds;
+    the pieces do not depend on them.
     """
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.binary())] * with_ids
     schema, end = pa.schema(fields), np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # of earlier stages in this worker
-        table = WordTable.of(tokenizer, between_spaces, fold=True)
+        table = WordTable.of(tokenizer, between_spaces, fold=True, places=places)
         for batch in batches:
-            for first, stop, data, offsets in text_blocks(batch.column(1)):
+            for first, stop, data, offsets in text_blocks(batch.column(1), block):
                 rows: list[tuple] = []
-                block, ends = table.encode(data, offsets)
-                block, ends = block.astype("<u4").tobytes(), (4 * ends).tolist()
+                coded, ends = table.encode(data, offsets)
+                coded, ends = coded.astype("<u4").tobytes(), (4 * ends).tolist()
                 for i, a, b in zip(batch.column(0).slice(first, stop - first).to_pylist(), ends[:-1], ends[1:]):
-                    ids = block[a:b] + end
+                    ids = coded[a:b] + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]
                         rows.append((i, k, at // 4, len(own) // 4, zlib.crc32(own)) + ((own,) if with_ids else ()))
@@ -60,7 +62,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, fields)], schema=schema)
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ddl)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run, tables=False), ddl)
 
 
 def fillings(counts: np.ndarray, room: int) -> list[list[int]]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cuadrante.llm import linear
 from cuadrante.llm.common import text_column
 from cuadrante.llm.words import BLANK, ngrams, text_bytes, text_words, word_spans
+from cuadrante.llm.worker import lean
 
 BITS = 18
 PER_LABEL = 4_000  # labelled rows of either label that a model is fitted on, about
@@ -89,11 +90,10 @@ def score_quality(docs: DataFrame, weights: np.ndarray, bits: int = BITS, carry:
     own, at = text_column(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # of earlier stages in this worker
         w = sent.value
         for batch in batches:
             found = (features(b, bits) for b in text_bytes(batch.column(at)))
             scores = [float(linear.probability(w[i] @ x + w[-1])) for i, x in found]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array(scores, pa.float64())], names=[*carry, "score"])
 
-    return docs.select(*carry, *own).mapInArrow(run, schema)
+    return docs.select(*carry, *own).mapInArrow(lean(run), schema)

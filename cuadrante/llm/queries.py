@@ -54,9 +54,9 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, **bounds: int) -> DataFrame:
     """Token pieces of ``docs`` in sequences of at most 4096 tokens."""
-    pieces = token_pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    pieces = token_pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), **bounds)
     return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -106,11 +106,11 @@ class WordTable:
         self.ids = np.zeros((places, KEPT_IDS), self.kind)
 
     @classmethod
-    def of(cls, path: str, cut: Callable[[np.ndarray, np.ndarray], Cut], fold: bool = False) -> "WordTable":
-        key = (path, cut.__name__, fold)
+    def of(cls, path: str, cut: Callable[[np.ndarray, np.ndarray], Cut], fold: bool = False, places: int = PLACES) -> "WordTable":
+        key = (path, cut.__name__, fold, places)
         if key not in cls.made:
             cls.made.clear()
-            cls.made[key] = cls(path, cut, fold)
+            cls.made[key] = cls(path, cut, fold, places)
         return cls.made[key]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
