@@ -6,11 +6,12 @@ whole corpus.  Labels play no part in the cosine: they act in the vote alone, wh
 neighbour counts by its closeness and by how much of it comes from terms that tell the
 labels apart.
 
-Texts are searched in groups.  The postings of terms that few examples hold are summed
-at once.  Those of the others are cut into blocks of examples, whose largest weights
-bound what any example in a block can score; each text opens the blocks of the largest
-bounds first, then all that can still reach its nearest ``K``, and no other.  Within a
-block the postings lie dense, so that one matrix product scores all texts that open it.
+Texts are searched in groups of like ones.  The postings of terms that few examples hold,
+or few texts of the group, are summed at once.  Those of the others are cut into blocks of
+examples, whose largest weights bound what any example in a block can score; each text
+opens the blocks of the largest bounds first, then all that can still reach its nearest
+``K``, and no other.  Within a block the postings lie dense, so that one matrix product
+scores all texts that open it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from cuadrante.llm import linear
 from cuadrante.llm.words import SLICE, mix, text_bytes, text_words, word_spans
+from cuadrante.llm.worker import lean
 from cuadrante.session import pin
 
 PER_LABEL = 6_000  # labelled documents of either label in the index, about
@@ -37,10 +39,12 @@ K = 400
 BLOCK = 64
 FIRST_BLOCKS = 4  # opened beyond those that K examples fill
 GROUP = 128  # texts searched at once
-SEARCHED = 512  # texts whose order is made to suit
+SEARCHED = 2_048  # texts whose order is made to suit
+WORTH = 1.0  # postings an example, of a term in a group, from which a product costs less
 CLUSTERS, ROUNDS = 16, 6  # of the order of examples
 PRIOR_WEIGHT = 0.5
-ERROR = 1.1 * COMMON * 2.0**-24  # of a single-precision sum of COMMON products up to 1 in all
+ERROR = 1.1 * 2.0**-24  # of a single-precision sum of products up to 1 in all, for each that is not 0
+POSTING = np.dtype([("example", np.int32), ("weight", np.float32)])
 
 # Letters and all bytes beyond ASCII stay, A-Z lower; the rest parts words.
 _LETTERS = np.full(256, 32, np.uint8)
@@ -100,11 +104,12 @@ def known_terms(texts: list[np.ndarray], terms: np.ndarray) -> Iterator[tuple[np
 class Index(NamedTuple):
     """Labelled examples as postings, as the tasks see them; like examples lie together.
 
-    ``terms`` (ascending hashes) have ``idf``.  ``column`` has the place of a common term
-    in ``dense``, which holds the weights of such terms by example (padded to whole
-    blocks), and in ``ceiling``, which holds the largest of each block; it is -1 for the
-    other terms, whose postings are ``first[t]:first[t + 1]``.  ``tell`` is how telling
-    each term is.
+    ``terms`` (ascending hashes) have ``idf``; the postings of each are ``first[t]:first[t +
+    1]``.  ``column`` has the place of a common term in ``dense``, which holds the weights of
+    such a term for all examples (padded to whole blocks), in ``ceiling``, which holds the
+    largest of each block, and in ``held``, the share of examples that hold it; it is -1 for
+    the other terms.  ``tell`` is how telling each term is; ``told`` holds by example the
+    weights times that of common terms that tell something, whose places are in ``place``.
     """
 
     terms: np.ndarray
@@ -112,10 +117,12 @@ class Index(NamedTuple):
     column: np.ndarray
     dense: np.ndarray
     ceiling: np.ndarray
+    held: np.ndarray
     first: np.ndarray
-    example: np.ndarray
-    weight: np.ndarray
+    posting: np.ndarray
     tell: np.ndarray
+    told: np.ndarray
+    place: np.ndarray
     label: np.ndarray
     doc_id: np.ndarray
     prior: float
@@ -178,18 +185,25 @@ def opened(terms: np.ndarray, idf: np.ndarray, tell: np.ndarray, n: np.ndarray,
     column[common] = np.arange(len(common))
     inside = column[t] >= 0
     blocks = -(-examples // BLOCK)
-    dense = np.zeros((blocks * BLOCK, len(common)), np.float32)
-    dense[place[inside], column[t[inside]]] = w[inside]
-    order = _alike(dense[:examples])
-    dense[:examples] = dense[order]
+    rows = np.zeros((examples, len(common)), np.float32)
+    rows[place[inside], column[t[inside]]] = w[inside]
+    order = _alike(rows)
+    dense = np.zeros((len(common), blocks * BLOCK), np.float32)
+    for at in range(0, examples, 1024):
+        dense[:, at : min(examples, at + 1024)] = rows[order[at : at + 1024]].T
+    del rows
     rank = np.empty(examples, np.int32)
     rank[order] = np.arange(examples)
-    place = rank[place]
-    ceiling = dense.reshape(blocks, BLOCK, len(common)).max(axis=1)
-    t, place, w = t[~inside], place[~inside], w[~inside]
+    ceiling = np.ascontiguousarray(dense.reshape(len(common), blocks, BLOCK).max(axis=2).T)
+    telling = np.flatnonzero(tell[common] > 0)
+    told = np.ascontiguousarray((dense[telling, :examples] * tell[common[telling], None].astype(np.float32)).T)
+    at = np.full(len(terms), -1, np.int32)
+    at[common[telling]] = np.arange(len(telling))
     by = np.argsort(t, kind="stable")
-    first = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=len(terms)))])
-    return Index(terms, idf, column, dense, ceiling, first, place[by].astype(np.intp), w[by], tell, label[order], doc_id[order], prior, slope, shift)
+    first = np.concatenate([[0], np.cumsum(held)])
+    posting = np.empty(len(by), POSTING)
+    posting["example"], posting["weight"] = rank[place[by]], w[by]
+    return Index(terms, idf, column, dense, ceiling, held[common] / max(1, examples), first, posting.view(np.int64), tell, told, at, label[order], doc_id[order], prior, slope, shift)
 
 
 def vector(idf: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -213,76 +227,80 @@ def search(index: Index, queries: list[tuple[np.ndarray, np.ndarray]], k: int =
     blocks = len(index.ceiling)
     if not blocks:
         return [(np.empty(0, np.int64), np.empty(0), 0.0)] * len(queries)
-    asked = np.zeros((len(queries), index.dense.shape[1]), np.float32)
+    asked = np.zeros((len(queries), len(index.dense)), np.float32)
     for i, (t, w) in enumerate(queries):
         column = index.column[t]
         asked[i, column[column >= 0]] = w[column >= 0]
-    promise = asked @ index.ceiling.T
-    order = np.argsort(promise.argmax(axis=1), kind="stable")  # like queries open like blocks
+    order = np.argsort((asked @ index.ceiling.T).argmax(axis=1), kind="stable")  # like queries open like blocks
     out = [None] * len(queries)
     for at in range(0, len(order), GROUP):
         group = order[at : at + GROUP]
         out_of = np.array([without[i] for i in group]) if without else np.full(len(group), -1)
-        found = _search(index, [queries[i] for i in group], asked[group], promise[group], k, out_of)
+        found = _search(index, [queries[i] for i in group], asked[group], k, out_of)
         for i, one in zip(group, found):
             out[i] = one
     return out
 
 
-def _search(index: Index, group: list[tuple[np.ndarray, np.ndarray]], asked: np.ndarray, promise: np.ndarray, k: int, without: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+def _search(index: Index, group: list[tuple[np.ndarray, np.ndarray]], asked: np.ndarray, k: int, without: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     examples, blocks = len(index.label), len(index.ceiling)
-    own = np.zeros((len(group), blocks * BLOCK))  # what terms without blocks add
+    used = np.count_nonzero(asked, axis=0) * index.held > WORTH
+    asked, dense = asked[:, used], index.dense[used]
+    summed = np.append(~used, True)  # by column; the last one is that of terms without
+    own = np.zeros((len(group), blocks * BLOCK))  # what terms add that are summed
     for i, (t, w) in enumerate(group):
-        own[i, :examples] = _rare(index, t, w)
-    bound = promise * (1 + ERROR) + own.reshape(len(group), blocks, BLOCK).max(axis=2) + ERROR
+        own[i, :examples] = _sums(index, t, w, summed[index.column[t]])
+    error = ERROR * (2 + np.count_nonzero(asked, axis=1))  # adding 0 has none
+    bound = asked @ index.ceiling[:, used].T * (1 + error[:, None]) + own.reshape(len(group), blocks, BLOCK).max(axis=2) + error[:, None]
     most = min(blocks, -(-k // BLOCK) + FIRST_BLOCKS)
     done = np.zeros(bound.shape, bool)
     best = np.argpartition(-bound, most - 1, axis=1)[:, :most]
     np.put_along_axis(done, best, True, axis=1)
     score = np.zeros(own.shape, np.float32)
-    _open(index, asked, own, done, score, without)
+    _open(dense, asked, own, done, score, without)
     least = np.zeros(len(group))
     if most < blocks:  # all others that can still reach the k-th of these
         reached = np.take_along_axis(score.reshape(len(group), blocks, BLOCK), best[:, :, None], axis=1).reshape(len(group), -1)
-        least = np.partition(reached, -k, axis=1)[:, -k] - 2 * ERROR
+        least = np.partition(reached, -k, axis=1)[:, -k] - 2 * error
         more = ~done & (bound >= least[:, None])
-        _open(index, asked, own, more, score, without)
+        _open(dense, asked, own, more, score, without)
         done |= more
     for i, (t, w) in enumerate(group):
         s = score[i]
         who = np.flatnonzero(s >= least[i] if least[i] > 0 else s > 0)
         if len(who) > k:
             last = np.partition(s[who], -k)[-k]
-            who = who[s[who] >= last - 2 * ERROR]
+            who = who[s[who] >= last - 2 * error[i]]
         if len(who) > k:  # some are too near to tell: in double precision
-            close = np.abs(s[who] - last) <= 2 * ERROR
+            close = np.abs(s[who] - last) <= 2 * error[i]
             sure, close = who[~close], who[close]
             column = index.column[t]
-            exact = own[i, close] + index.dense[np.ix_(close, column[column >= 0])] @ w[column >= 0]
+            rest = ~summed[column]
+            exact = own[i, close] + w[rest] @ index.dense[np.ix_(column[rest], close)]
             who = np.concatenate([sure, close[np.lexsort((index.doc_id[close], -np.round(exact, 12)))[: k - len(sure)]]])
         who = who[np.argsort(-s[who], kind="stable")]
         yield who, s[who].astype(np.float64), done[i].mean()
 
 
-def _rare(index: Index, t: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """For each example the sum over the query's terms without blocks."""
-    rare = index.column[t] < 0
-    t = t[rare]
-    posting, n = _runs(index.first[t], index.first[t + 1])
-    return np.bincount(index.example[posting], np.repeat(w[rare], n) * index.weight[posting], len(index.label))
+def _sums(index: Index, t: np.ndarray, w: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """For each example the sum over ``some`` of the query's terms, by their postings."""
+    t = t[some]
+    place, n = _runs(index.first[t], index.first[t + 1])
+    posting = index.posting[place].view(POSTING)  # both parts of a posting are read at once
+    return np.bincount(posting["example"], np.repeat(w[some], n) * posting["weight"], len(index.label))
 
 
-def _open(index: Index, asked: np.ndarray, own: np.ndarray, wanted: np.ndarray, score: np.ndarray, without: np.ndarray) -> None:
+def _open(dense: np.ndarray, asked: np.ndarray, own: np.ndarray, wanted: np.ndarray, score: np.ndarray, without: np.ndarray) -> None:
     """Score the examples of the ``wanted`` blocks of each query.  Blocks that half of the
     queries want are opened for all of them, neighbours in one product, and so marked."""
     whole = wanted.mean(axis=0) > 0.5
     wanted[:, whole] = True
     edge = np.flatnonzero(np.diff(whole, prepend=False, append=False))
     for a, b in zip(edge[::2] * BLOCK, edge[1::2] * BLOCK):
-        score[:, a:b] = own[:, a:b] + asked @ index.dense[a:b].T
+        score[:, a:b] = own[:, a:b] + asked @ dense[:, a:b]
     for block in np.flatnonzero(wanted.any(axis=0) & ~whole):
         inside, who = slice(block * BLOCK, (block + 1) * BLOCK), np.flatnonzero(wanted[:, block])
-        score[who, inside] = own[who, inside] + asked[who] @ index.dense[inside].T
+        score[who, inside] = own[who, inside] + asked[who] @ dense[:, inside]
     at = np.flatnonzero(without >= 0)
     score[at, without[at]] = 0
 
@@ -294,10 +312,11 @@ def vote(index: Index, query: tuple[np.ndarray, np.ndarray], who: np.ndarray, co
     if not len(who):
         return float(index.prior)
     t, w = query
-    telling = index.tell[t] > 0
-    t, w = t[telling], w[telling] * index.tell[t[telling]]
-    column = index.column[t]
-    shared = _rare(index, t, w)[who] + index.dense[np.ix_(who, column[column >= 0])] @ w[column >= 0].astype(np.float32)
+    place, tell = index.place[t], index.tell[t]
+    common = place >= 0
+    asked = np.zeros(index.told.shape[1], np.float32)
+    asked[place[common]] = w[common]
+    shared = _sums(index, t, w * tell, (tell > 0) & ~common)[who] + index.told[who] @ asked
     count = cosine / (1.05 - np.minimum(cosine, 1.0)) * (FLOOR + shared / cosine)
     rest = FLOOR * PRIOR_WEIGHT
     return float((count @ index.label[who] + rest * index.prior) / (count.sum() + rest))
@@ -343,7 +362,7 @@ def document_counts(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["t", "n"])
 
-    got = docs.select("text").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    got = docs.select("text").mapInArrow(lean(run), "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
     sent.unpersist()
     out = np.zeros(len(terms), np.int64)
     out[got["t"].to_numpy()] = got["n"].to_numpy()
@@ -424,7 +443,7 @@ def left_out_votes(rows: DataFrame, index: Examples, k: int = K) -> tuple[np.nda
             votes = [vote(ix, q, who, cosine) for q, (who, cosine, _) in zip(queries, found)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(votes, pa.float64())], names=["doc_id", "label", "vote"])
 
-    got = rows.mapInArrow(run, "doc_id long, label int, vote double").toArrow().sort_by([("doc_id", "ascending"), ("vote", "ascending")])  # bounded by the sample
+    got = rows.mapInArrow(lean(run), "doc_id long, label int, vote double").toArrow().sort_by([("doc_id", "ascending"), ("vote", "ascending")])  # bounded by the sample
     sent.unpersist()
     return got["vote"].to_numpy(), got["label"].to_numpy()
 
@@ -456,4 +475,4 @@ def score_toxicity(docs: DataFrame, index: Examples, k: int = K, carry: tuple[st
             found = (pa.array(scores, pa.float64()), pa.array(shown, evidence), pa.array(shares, pa.float64()))
             yield pa.RecordBatch.from_arrays([*part.columns[: len(carry)], *(f.take(texts.indices) for f in found)], names=[*carry, "score", "evidence", "opened"])
 
-    return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(run, f"{fields}, score double, evidence array<struct<doc_id: long, label: int, cosine: double>>, opened double")
+    return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(lean(run), f"{fields}, score double, evidence array<struct<doc_id: long, label: int, cosine: double>>, opened double")

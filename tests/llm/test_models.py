@@ -253,3 +253,32 @@ def test_left_out_votes_run_in_tasks(toxic, spark, monkeypatch):
     monkeypatch.setattr(toxicity, "left_out_votes", lambda rows, index: (votes, truth))
     again = toxicity.fit_index(docs, spark.createDataFrame(labels + [(None, 1), (3, None)], "doc_id long, label int"))
     assert np.isclose(again.slope, fitted.slope) and np.isclose(again.shift, fitted.shift)
+
+
+@pytest.mark.parametrize("worth", [0, 1, 4, 1000])
+def test_products_take_only_terms_that_a_group_uses(monkeypatch, worth):
+    """Two vocabularies: the product of a group has no rows for the other one's terms, and
+    the neighbours and votes are those of all cosines."""
+    monkeypatch.setattr(toxicity, "WORTH", worth)
+    monkeypatch.setattr(toxicity, "FEW", 0)
+    taken, opened = [], toxicity._open
+    monkeypatch.setattr(toxicity, "_open", lambda dense, *rest: (taken.append(len(dense)), opened(dense, *rest)))
+    rng = np.random.default_rng(11)
+    side, idf, tell = np.arange(1000) % 2, rng.random(100) + 0.1, np.maximum(0, rng.random(100) - 0.5)
+    t = np.sort(np.array([rng.choice(50, 10, replace=False) + 50 * s for s in side]), axis=1).astype(np.int32)
+    tf = rng.integers(1, 9, t.shape)
+    weight = np.zeros((1000, 100))
+    np.put_along_axis(weight, t, (1 + np.log(tf)) * np.take(idf, t), axis=1)
+    weight /= np.linalg.norm(weight, axis=1, keepdims=True)
+    index = toxicity.opened(np.arange(100), idf, tell, np.full(1000, 10), t.ravel(), tf.ravel(), side, np.arange(1000), 0.5, 1.0, 0.0)
+    queries = [(np.sort(rng.choice(50, 8, replace=False)) + 50 * (i % 2), np.full(8, 8**-0.5)) for i in range(256)]
+    queries = queries[::2] + queries[1::2]
+    found = toxicity.search(index, queries[:128], 40) + toxicity.search(index, queries[128:], 40)
+    assert taken and max(taken) <= (50 if worth < 1000 else 0)
+    for (at, w), (who, cosine, _) in zip(queries, found):
+        full = weight[:, at] @ w
+        assert np.allclose(cosine, np.sort(full)[::-1][:40], atol=1e-6) and np.allclose(cosine, full[index.doc_id[who]], atol=1e-6)
+        told = weight[np.ix_(index.doc_id[who], at)] @ (w * tell[at])
+        count = cosine / (1.05 - np.minimum(cosine, 1)) * (toxicity.FLOOR + told / cosine)
+        rest = toxicity.FLOOR * toxicity.PRIOR_WEIGHT
+        assert np.isclose(toxicity.vote(index, (at, w), who, cosine), (count @ index.label[who] + rest * 0.5) / (count.sum() + rest), atol=1e-5)
