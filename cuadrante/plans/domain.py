@@ -584,5 +584,5 @@ def core_distances(spark, d):
     """The distance of each client to the fifth and the twentieth nearest one, within a reach."""
     points = clients(spark, d).select("client", F.col("lon").alias("x"), F.col("lat").alias("y"))
     places, _ = density.reach_graph(points, "client", "x", "y", [5, 20], 2.5)
-    at = points.join(places.select("x", "y", "core2_5", "core2_20"), ["x", "y"])
+    at = points.join(places.select("x", "y", "core2_5", "core2_20").hint("merge"), ["x", "y"])
     return at.select("client", *[F.round(F.sqrt(f"core2_{k}"), 9).alias(f"core_{k}") for k in (5, 20)])

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cuadrante.operators import density
 from cuadrante.operators.density import Level
+from cuadrante.plans import domain
+from conftest import SF_SMALL
 
 
 def frame(spark, points):
@@ -115,3 +117,29 @@ def test_points_exactly_at_the_cut_count(spark):
     for cut, label in ((1.0, 1), (0.99, 0)):
         got = density.density_levels(frame(spark, points), "id", "x", "y", [Level("c", 1, 2, cut)]).collect()
         assert {r["c"] for r in got} == {label}
+
+
+# What may be sent to all tasks has a row for each range of a numbering or each cell of a level.
+SMALL = ("[_part#", "[label#")
+
+
+def sent(plans):
+    assert sum("SortMergeJoin" in p for p in plans) > 2
+    return [line for p in plans for line in p.splitlines() if "Broadcast" in line and "Join" in line and not any(s in line for s in SMALL)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def pinned_plans(monkeypatch):
+    plans, keep = [], density.pin
+    monkeypatch.setattr(density, "pin", lambda df: plans.append(plan(df)) or keep(df))
+    return plans
+
+
+def test_places_are_not_broadcast(spark, monkeypatch):
+    """Their files are below Spark's threshold long before their rows fit the driver."""
+    plans = pinned_plans(monkeypatch)
+    plans.append(plan(domain.core_distances(spark, SF_SMALL)))
+    assert not sent(plans)
