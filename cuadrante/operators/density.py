@@ -195,7 +195,7 @@ def weighted_links(places: DataFrame, links: DataFrame, min_pts: int) -> DataFra
     core = F.col(f"core2_{min_pts}")
     ends = places.filter(core.isNotNull())
     left, right = ends.select(F.col("p").alias("l"), core.alias("_cl")), ends.select(F.col("p").alias("r"), core.alias("_cr"))
-    return links.join(left, "l").join(right, "r").select("l", "r", F.greatest("d2", "_cl", "_cr").alias("w2"))
+    return links.join(_sorted(left), "l").join(_sorted(right), "r").select("l", "r", F.greatest("d2", "_cl", "_cr").alias("w2"))
 
 
 def spanning_forest(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -206,7 +206,7 @@ def spanning_forest(nodes: DataFrame, links: DataFrame) -> DataFrame:
     parts: list[DataFrame] = []
     while True:
         left, right = trees.select(F.col("node").alias("l"), F.col("label").alias("tl")), trees.select(F.col("node").alias("r"), F.col("label").alias("tr"))
-        links = pin(links.select("l", "r", "w2").join(left, "l").join(right, "r").filter("tl <> tr"))
+        links = pin(links.select("l", "r", "w2").join(_sorted(left), "l").join(_sorted(right), "r").filter("tl <> tr"))
         if links.isEmpty():
             break
         least = F.min(F.struct("w2", "l", "r", "tl", "tr")).alias("_e")
@@ -214,7 +214,7 @@ def spanning_forest(nodes: DataFrame, links: DataFrame) -> DataFrame:
         taken = pin(own.select("_e.*").distinct())
         parts.append(taken.select("l", "r", "w2"))
         merged = components(trees.select(F.col("label").alias("node"), "label").distinct(), taken.select(F.col("tl").alias("l"), F.col("tr").alias("r")))
-        trees = pin(trees.join(merged.select(F.col("node").alias("label"), F.col("label").alias("_to")), "label").select("node", F.col("_to").alias("label")))
+        trees = pin(trees.join(_sorted(merged.select(F.col("node").alias("label"), F.col("label").alias("_to"))), "label").select("node", F.col("_to").alias("label")))
     out = links.select("l", "r", "w2")
     for part in parts:
         out = out.unionByName(part)
@@ -230,16 +230,16 @@ def cut_clusters(places: DataFrame, links: DataFrame, level: Level) -> DataFrame
     core, cut2 = F.col(f"core2_{level.min_pts}"), level.cut * level.cut
     dense = _in_cells(places.filter(core <= cut2), level.cut / 2**0.5 * (1 - 1e-9))
     least = dense.groupBy("cx", "cy").agg(F.min("p").alias("node"))
-    dense = pin(dense.join(least, ["cx", "cy"]).select("p", "n", "first", "node"))
+    dense = pin(dense.join(_sorted(least), ["cx", "cy"]).select("p", "n", "first", "node"))
     ends = dense.select("p", "node")
     low = links.filter(F.col("d2") <= cut2)
-    low = low.join(ends.toDF("l", "nl"), "l").join(ends.toDF("r", "nr"), "r").filter("nl <> nr")
+    low = low.join(_sorted(ends.toDF("l", "nl")), "l").join(_sorted(ends.toDF("r", "nr")), "r").filter("nl <> nr")
     low = low.select(F.least("nl", "nr").alias("l"), F.greatest("nl", "nr").alias("r")).distinct()
     labels = components(dense.select("node", F.col("node").alias("label")).distinct(), low)
-    placed = pin(dense.join(labels, "node"))
+    placed = pin(dense.join(_sorted(labels), "node"))
     sizes = placed.groupBy("label").agg(F.sum("n").alias("_n"), F.min("first").alias("_first")).filter(F.col("_n") >= level.min_size)
     numbered = sequential_id(sizes, ["_first", "label"], name=level.name).select("label", level.name)
-    return placed.join(numbered, "label").select("p", level.name)
+    return placed.join(_sorted(numbered), "label").select("p", level.name)
 
 
 def density_levels(df: DataFrame, key: str, x: str, y: str, levels: Sequence[Level]) -> DataFrame:
@@ -252,7 +252,7 @@ def density_levels(df: DataFrame, key: str, x: str, y: str, levels: Sequence[Lev
     places, links = reach_graph(df, key, x, y, sorted({v.min_pts for v in levels}), max(v.cut for v in levels))
     numbers = places.select("p", F.col("x").alias("_x"), F.col("y").alias("_y"))
     for level in levels:
-        numbers = numbers.join(cut_clusters(places, links, level), "p", "left")
+        numbers = numbers.join(_sorted(cut_clusters(places, links, level)), "p", "left")
     match = (F.col(x).cast("double") == F.col("_x")) & (F.col(y).cast("double") == F.col("_y"))
-    out = df.join(pin(numbers).drop("p"), match, "left").drop("_x", "_y")
+    out = df.join(_sorted(pin(numbers).drop("p")), match, "left").drop("_x", "_y")
     return out.withColumns({v.name: F.coalesce(F.col(v.name), F.lit(0)).cast("bigint") for v in levels})

@@ -143,3 +143,12 @@ def test_places_are_not_broadcast(spark, monkeypatch):
     plans = pinned_plans(monkeypatch)
     plans.append(plan(domain.core_distances(spark, SF_SMALL)))
     assert not sent(plans)
+
+
+def test_levels_do_not_broadcast_places(spark, monkeypatch):
+    places, links = density.reach_graph(frame(spark, mixed()), "id", "x", "y", [5, 20], 1.1)
+    monkeypatch.setattr(density, "reach_graph", lambda *a: (places, links))
+    plans = pinned_plans(monkeypatch)
+    plans.append(plan(density.density_levels(frame(spark, mixed()), "id", "x", "y", LEVELS)))
+    plans.append(plan(density.weighted_links(places, links, 5)))
+    assert not sent(plans)
